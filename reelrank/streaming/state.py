@@ -1,0 +1,99 @@
+"""State that micro-batches leave behind.
+
+Everything is keyed by the micro-batch id and overwritten on a retry, so a
+batch that runs twice leaves the same files. Merges go by an order found in
+the data, so they do not depend on the order in which batches arrive.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+BATCH_ID = "batch_id"
+
+
+def _with_batch_id(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField(BATCH_ID, T.LongType())])
+
+
+class BatchLog:
+    """Append-only table with one directory per micro-batch.
+
+    A batch writes only its own rows, whatever the size of the table; readers
+    merge (newest value per key wins). ``compact`` folds a prefix of the log
+    into a snapshot so that readers need not go back to the start.
+    """
+
+    def __init__(
+        self, root: str, schema: T.StructType | None = None, snapshot: int | None = None
+    ):
+        self.root = root
+        self.schema = schema
+        self.snapshot = snapshot
+
+    def append(self, rows: DataFrame, batch_id: int) -> None:
+        self.schema = rows.schema
+        rows.write.mode("overwrite").parquet(f"{self.root}/log/{BATCH_ID}={batch_id}")
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        """All logged rows with their batch id."""
+        return spark.read.schema(_with_batch_id(self.schema)).parquet(f"{self.root}/log")
+
+    def compact(
+        self, spark: SparkSession, upto: int, merge: Callable[[DataFrame], DataFrame]
+    ) -> None:
+        """Snapshot of the merged log up to and including batch ``upto``.
+
+        ``merge`` must rank rows by ``batch_id``: the snapshot takes the id
+        ``upto`` and so is older than every batch after it.
+        """
+        rows = merge(self.since_snapshot(spark).where(F.col(BATCH_ID) <= upto))
+        rows.drop(BATCH_ID).write.mode("overwrite").parquet(f"{self.root}/base/{BATCH_ID}={upto}")
+        self.snapshot = upto
+
+    def since_snapshot(self, spark: SparkSession) -> DataFrame:
+        """Newest snapshot (if any) and the log after it; merging this equals
+        merging the whole log."""
+        if self.snapshot is None:
+            return self.read(spark)
+        base = spark.read.schema(_with_batch_id(self.schema)).parquet(f"{self.root}/base")
+        return base.where(F.col(BATCH_ID) == self.snapshot).unionByName(
+            self.read(spark).where(F.col(BATCH_ID) > self.snapshot)
+        )
+
+
+class FoldedList:
+    """Small bounded state, rewritten each micro-batch from the previous one."""
+
+    def __init__(self, root: str, schema: T.StructType | None = None):
+        self.root = root
+        self.schema = schema
+
+    def fold(
+        self,
+        rows: DataFrame,
+        batch_id: int,
+        merge: Callable[[DataFrame, DataFrame], DataFrame],
+    ) -> None:
+        """``merge(previous, rows)`` becomes the state after ``batch_id``."""
+        self.schema = rows.schema
+        spark = rows.sparkSession
+        if batch_id == 0:
+            previous = rows.limit(0)
+        else:
+            previous = spark.read.schema(self.schema).parquet(self._at(batch_id - 1))
+        merged = merge(previous, rows).select(*rows.columns)
+        merged.coalesce(1).write.mode("overwrite").parquet(self._at(batch_id))
+
+    def _at(self, batch_id: int) -> str:
+        return f"{self.root}/{BATCH_ID}={batch_id}"
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        """State after the newest micro-batch."""
+        states = spark.read.schema(_with_batch_id(self.schema)).parquet(self.root)
+        newest = states.agg(F.max(BATCH_ID)).scalar()
+        return states.where(F.col(BATCH_ID) == newest).drop(BATCH_ID)
