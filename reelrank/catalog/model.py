@@ -103,10 +103,10 @@ FROM buffer LEFT JOIN bu USING (userId) LEFT JOIN bm USING (movieId)""",
 )
 def join_batch(inputs: Inputs) -> DataFrame:
     buffer, _ = training_buffer(inputs)
-    features = feature_tables_for(
-        inputs.history(), inputs.movies(), buffer.select("userId"), buffer.select("movieId")
-    )
-    return join_batch_features(buffer, features).drop("rating")
+    user_ids = buffer.select("userId").distinct()
+    movie_ids = buffer.select("movieId").distinct()
+    features = feature_tables_for(inputs.history(), inputs.movies(), user_ids, movie_ids)
+    return join_batch_features(buffer, features, user_ids, movie_ids).drop("rating")
 
 
 @query("training_set", _training_sql(as_written=False))

@@ -28,6 +28,7 @@ from reelrank.plans.feature_tables import (
     streaming_feature_tables,
 )
 from reelrank.schemas import FEATURE_COLUMNS, INTERCEPT_IDX
+from reelrank.session import stage
 from reelrank.sinks.tables import params_table
 
 
@@ -85,13 +86,14 @@ def build(inputs: Inputs, with_batch: bool = True) -> Serving:
     counts = log.where("entity = 'movie'").select(
         "batch_day", F.col("id").alias("movieId"), "cnt"
     )
-    batch = batch_feature_tables(inputs.history(), movies) if with_batch else None
+    popular = popular_bounded(counts, "batch_day").select("pos", "movieId")
+    hot = genre_hot_last_batch(counts, movies, "batch_day").select("genreId", "pos", "movieId")
     return Serving(
         movies,
         streaming_feature_tables(log, "batch_day"),
-        popular_bounded(counts, "batch_day").select("pos", "movieId"),
-        genre_hot_last_batch(counts, movies, "batch_day").select("genreId", "pos", "movieId"),
-        batch,
+        stage(popular, "popular"),
+        stage(hot, "genre-hot"),
+        batch_feature_tables(inputs.history(), movies) if with_batch else None,
     )
 
 

@@ -31,9 +31,9 @@ def with_mask(ratings: DataFrame, movies: DataFrame) -> DataFrame:
 
 def unpivot_genres(wide: DataFrame, *keys: str, value: str) -> DataFrame:
     """``g0`` .. ``g18`` columns -> (keys, genreId, value) rows, nulls dropped."""
-    return wide.select(
-        *keys, F.posexplode(F.array(*GENRE_FLAGS)).alias("genreId", value)
-    ).where(F.col(value).isNotNull())
+    pairs = [c for g, name in enumerate(GENRE_FLAGS) for c in (F.lit(g), F.col(name))]
+    stacked = F.stack(F.lit(NUM_GENRES), *pairs).alias("genreId", value)
+    return wide.select(*keys, stacked).where(F.col(value).isNotNull())
 
 
 def user_genre_ratio(ratings: DataFrame, movies: DataFrame, *batch_keys: str) -> DataFrame:
@@ -52,21 +52,12 @@ def user_genre_ratio(ratings: DataFrame, movies: DataFrame, *batch_keys: str) ->
             *(hit.alias(g) for hit, g in zip(hits, GENRE_FLAGS, strict=True)),
         )
     )
-    return (
-        counts.select(
-            "userId",
-            *batch_keys,
-            "total",
-            F.posexplode(F.array(*GENRE_FLAGS)).alias("genreId", "hits"),
-        )
-        .where("hits > 0")
-        .select(
-            "userId",
-            *batch_keys,
-            "genreId",
-            (F.col("hits").cast("double") / F.col("total")).alias("ratio"),
-        )
-    )
+    return _as_ratio(unpivot_genres(counts, "userId", *batch_keys, "total", value="hits"))
+
+
+def _as_ratio(hits: DataFrame) -> DataFrame:
+    ratio = F.col("hits").cast("double") / F.col("total")
+    return hits.where("hits > 0").withColumn("ratio", ratio).drop("hits", "total")
 
 
 def user_genre_share(ratings: DataFrame, movies: DataFrame) -> DataFrame:
@@ -78,15 +69,8 @@ def user_genre_share(ratings: DataFrame, movies: DataFrame) -> DataFrame:
         .agg(*(hit.alias(g) for hit, g in zip(hits, GENRE_FLAGS, strict=True)))
     )
     all_hits = sum((F.col(g) for g in GENRE_FLAGS[1:]), F.col(GENRE_FLAGS[0]))
-    return (
-        counts.select(
-            "userId",
-            all_hits.alias("total"),
-            F.posexplode(F.array(*GENRE_FLAGS)).alias("genreId", "hits"),
-        )
-        .where("hits > 0")
-        .select("userId", "genreId", (F.col("hits").cast("double") / F.col("total")).alias("ratio"))
-    )
+    totals = counts.withColumn("total", all_hits)
+    return _as_ratio(unpivot_genres(totals, "userId", "total", value="hits"))
 
 
 def genre_movie_counts(ratings: DataFrame, movies: DataFrame, *batch_keys: str) -> DataFrame:
@@ -111,8 +95,7 @@ def genre_record_counts(ratings: DataFrame, movies: DataFrame) -> DataFrame:
             for g in range(NUM_GENRES)
         )
     )
-    long = totals.select(F.posexplode(F.array(*GENRE_FLAGS)).alias("genreId", "cnt"))
-    return genre_names(long, genres_dim(ratings.sparkSession))
+    return genre_names(unpivot_genres(totals, value="cnt"), genres_dim(ratings.sparkSession))
 
 
 def genre_names(counts: DataFrame, genres: DataFrame) -> DataFrame:

@@ -27,10 +27,15 @@ def only_keys(table: DataFrame, bounded_keys: DataFrame) -> DataFrame:
     return table.join(F.broadcast(bounded_keys), keys, "left_semi")
 
 
-def bounded_lookup(bounded: DataFrame, table: DataFrame, key: str) -> DataFrame:
-    """Left join a bounded frame to a table that is unique on ``key``."""
-    matches = only_keys(table, bounded.select(key))
-    return bounded.join(F.broadcast(matches), key, "left")
+def bounded_lookup(bounded: DataFrame, table: DataFrame, ids: DataFrame) -> DataFrame:
+    """Left join a bounded frame to a table that is unique on the id column.
+
+    ``ids`` holds the distinct ids of ``bounded``. It is given separately so
+    that chained lookups cut every table by the same small frame instead of
+    by the joins made so far.
+    """
+    (key,) = ids.columns
+    return bounded.join(F.broadcast(only_keys(table, ids)), key, "left")
 
 
 def default_zero(df: DataFrame, *columns: str) -> DataFrame:

@@ -35,10 +35,8 @@ def window_counts(
     movieId, rating); ``length`` is its number of records."""
     half = max(length // 2, 1)
     pos = is_positive(F.col("rating"), "truncating")
-    genres = bounded_lookup(
-        buffer.select("movieId").distinct(), movies.select("movieId", "genres"), "movieId"
-    )
-    records = buffer.join(F.broadcast(genres), "movieId", "left").select(
+    genres = movies.select("movieId", "genres")
+    records = bounded_lookup(buffer, genres, buffer.select("movieId").distinct()).select(
         "i",
         "userId",
         "movieId",

@@ -18,18 +18,23 @@ def latest_by_key(rows: DataFrame, keys: Sequence[str], order: Sequence[Column])
 
 
 def latest_metrics(
-    versions: DataFrame, keys: Sequence[str], metrics: Sequence[str], version: str
+    versions: DataFrame,
+    keys: Sequence[str],
+    metrics: Sequence[str],
+    version: str,
+    required: Sequence[str] = ("pos_cnt", "neg_cnt"),
 ) -> DataFrame:
     """Per key and per metric, the value of the highest version that has one.
 
     A version that did not emit a metric (null) leaves the older value alone.
     ``max_by`` keeps fixed-width state, so this is a hash aggregation with
-    map-side combine.
+    map-side combine. A key needs one of the ``required`` metrics to exist;
+    genre ratios never come without a positive count.
     """
     newest = [
         F.max_by(m, F.when(F.col(m).isNotNull(), F.col(version))).alias(m) for m in metrics
     ]
-    return versions.groupBy(*keys).agg(*newest).where(any_emitted(metrics))
+    return versions.groupBy(*keys).agg(*newest).where(any_emitted(required))
 
 
 def any_emitted(metrics: Sequence[str]) -> Column:

@@ -100,9 +100,9 @@ def candidate_movies(
     """The at most 220 movies that can be recommended, with all they need."""
     ids = popular.select("movieId").union(hot.select("movieId")).distinct()
     dim = movies.select("movieId", "title", genre_mask(F.col("genres")).alias("mask"))
-    rows = bounded_lookup(ids, dim, "movieId")
+    rows = bounded_lookup(ids, dim, ids)
     for prefix, table in (("b", batch.movies), ("s", streaming.movies)):
-        rows = bounded_lookup(rows, _prefixed(table, "movieId", prefix, "movie"), "movieId")
+        rows = bounded_lookup(rows, _prefixed(table, "movieId", prefix, "movie"), ids)
     return default_zero(rows, *MOVIE_FEATURES).withColumn("mask", F.coalesce("mask", F.lit(0)))
 
 

@@ -16,10 +16,12 @@ from reelrank.schemas import FEATURE_COLUMNS, GENRE_FLAGS
 MAX_ITER = 20
 
 
-def join_batch_features(records: DataFrame, features: FeatureTables) -> DataFrame:
+def join_batch_features(
+    records: DataFrame, features: FeatureTables, user_ids: DataFrame, movie_ids: DataFrame
+) -> DataFrame:
     """Buffered records with the batch counts of their user and movie.
 
-    Records are bounded, so the feature tables are scanned for the few keys
+    Records are bounded, so the feature tables are scanned for the few ids
     that occur and never shuffled.
     """
     users = features.users.select(
@@ -28,15 +30,10 @@ def join_batch_features(records: DataFrame, features: FeatureTables) -> DataFram
     movies = features.movies.select(
         "movieId", F.col("pos_cnt").alias("b_movie_pos"), F.col("neg_cnt").alias("b_movie_neg")
     )
-    joined = _lookup_ids(_lookup_ids(records, users, "userId"), movies, "movieId")
+    joined = bounded_lookup(bounded_lookup(records, users, user_ids), movies, movie_ids)
     return default_zero(joined, "b_user_pos", "b_user_neg", "b_movie_pos", "b_movie_neg")
 
 
-def _lookup_ids(records: DataFrame, table: DataFrame, key: str) -> DataFrame:
-    found = bounded_lookup(records.select(key).distinct(), table, key)
-    return records.join(F.broadcast(found), key, "left")
-
-
 def training_set(
     buffer: DataFrame,
     movies: DataFrame,
@@ -51,14 +48,16 @@ def training_set(
     of the movie.
     """
     counts = window_counts(buffer, movies, length, as_written)
-    joined = join_batch_features(counts, features)
-    joined = _lookup_ids(joined, features.users.select("userId", *GENRE_FLAGS), "userId")
+    user_ids = buffer.select("userId").distinct()
+    movie_ids = buffer.select("movieId").distinct()
+    joined = join_batch_features(counts, features, user_ids, movie_ids)
+    joined = bounded_lookup(joined, features.users.select("userId", *GENRE_FLAGS), user_ids)
     ratios = [F.col(g) for g in GENRE_FLAGS]
     if as_written:
         affinity = sum((F.coalesce(r, F.lit(0.0)) for r in ratios), F.lit(0.0))
     else:
         masks = movies.select("movieId", genre_mask(F.col("genres")).alias("mask"))
-        joined = _lookup_ids(joined, masks, "movieId")
+        joined = bounded_lookup(joined, masks, movie_ids)
         affinity = masked_sum(F.coalesce("mask", F.lit(0)), ratios)
     values = [
         F.col("b_user_pos"),

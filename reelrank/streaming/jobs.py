@@ -145,7 +145,7 @@ def cumulative_features(ratings: DataFrame, movies: DataFrame) -> DataFrame:
         )
     ).alias("e")
     rows = masked.select("rating", F.coalesce("mask", F.lit(0)).alias("mask"), entities).select(
-        "e.entity", "e.id", "rating", "mask"
+        "e.entity", "e.id", "rating", F.when(F.col("e.entity") == "user", F.col("mask")).alias("mask")
     )
     rating = F.col("rating")
     hits = genre_hits(F.col("mask"), is_positive(rating))
