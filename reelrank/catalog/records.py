@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelrank.catalog.registry import Inputs, query, sql, text
-from reelrank.functions.genres import flags_to_genres
+from reelrank.catalog.registry import Inputs, query, sql
 from reelrank.functions.messages import record_json
 from reelrank.functions.polarity import is_positive
 from reelrank.operators.cells import (
@@ -18,8 +17,13 @@ from reelrank.operators.cells import (
 )
 from reelrank.operators.upsert import latest_by_key
 from reelrank.schemas import GENRE_FLAGS, MESSAGES
-from reelrank.session import new_path, stage
-from reelrank.sinks.messages import publish_files, to_messages, write_envelopes
+from reelrank.session import new_path
+from reelrank.sinks.messages import (
+    publish_files,
+    rating_body,
+    to_messages,
+    write_envelopes,
+)
 from reelrank.sinks.tables import (
     stored_ratings,
     write_keyed_ratings,
@@ -40,10 +44,9 @@ from reelrank.sources.files import (
 RATING_SQL = 'SELECT "key", userId, movieId, rating, "timestamp" FROM stream'
 
 
-def plain(ratings: DataFrame) -> DataFrame:
-    return ratings.select(
-        "key", "userId", "movieId", F.col("rating").cast("double").alias("rating"), "timestamp"
-    )
+def plain(ratings: DataFrame, *extra: str) -> DataFrame:
+    rating = F.col("rating").cast("double").alias("rating")
+    return ratings.select("key", "userId", "movieId", rating, "timestamp", *extra)
 
 
 def _envelopes(inputs: Inputs, nested: bool) -> DataFrame:
@@ -205,26 +208,8 @@ def decode_rating_json(inputs: Inputs) -> DataFrame:
     """Messages of each day's first hour are cut off; they are quarantined."""
     cut = F.when(F.hour("ts") == 0, F.left("value", F.lit(12))).otherwise(F.col("value"))
     stream = inputs.stream()
-    messages = stream.select("ts", "key", to_messages_value()).withColumn("value", cut)
-    decoded = decode_ratings(messages, on_bad="quarantine")
-    return plain_with(decoded, "bad")
-
-
-def to_messages_value():
-    from reelrank.sinks.messages import rating_body
-
-    return rating_body().alias("value")
-
-
-def plain_with(ratings: DataFrame, *extra: str) -> DataFrame:
-    return ratings.select(
-        "key",
-        "userId",
-        "movieId",
-        F.col("rating").cast("double").alias("rating"),
-        "timestamp",
-        *extra,
-    )
+    messages = stream.select("ts", "key", rating_body().alias("value")).withColumn("value", cut)
+    return plain(decode_ratings(messages, on_bad="quarantine"), "bad")
 
 
 @query(

@@ -15,11 +15,7 @@ from reelrank.catalog.registry import (
     rounded,
     sql,
 )
-from reelrank.operators.topk import (
-    favorite_genre,
-    genre_hot_last_batch,
-    popular_bounded,
-)
+from reelrank.operators.topk import genre_hot_last_batch, popular_bounded
 from reelrank.plans import serving
 from reelrank.plans.feature_tables import (
     FeatureTables,
@@ -27,7 +23,7 @@ from reelrank.plans.feature_tables import (
     stage_microbatches,
     streaming_feature_tables,
 )
-from reelrank.schemas import FEATURE_COLUMNS, INTERCEPT_IDX
+from reelrank.schemas import FEATURE_COLUMNS, GENRE_FLAGS, INTERCEPT_IDX
 from reelrank.session import stage
 from reelrank.sinks.tables import params_table
 
@@ -42,11 +38,9 @@ class Serving:
     hot: DataFrame
     batch: FeatureTables | None = None
 
-    def users(self) -> DataFrame:
-        return self.streaming.users.select("userId")
-
     def favorites(self) -> DataFrame:
-        return favorite_genre(self.streaming.ratio(), self.users())
+        favorite = serving.favorite_of(GENRE_FLAGS)
+        return self.streaming.users.select("userId", favorite.alias("genreId"))
 
     def recalled(self) -> DataFrame:
         return serving.recall(self.favorites(), self.popular, self.hot)

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from reelrank.schemas import NUM_GENRES
+from reelrank.schemas import GENRE_FLAGS
 
 
 def flags_to_genres(flags: Sequence[Column]) -> Column:
@@ -27,18 +27,24 @@ def genre_mask(genres: Column) -> Column:
     )
 
 
-def has_genre(mask: Column, genre_id: int) -> Column:
-    return mask.bitwiseAND(F.lit(1 << genre_id)) != 0
+def has_genre(genre_id: int, mask: str = "mask") -> str:
+    """SQL predicate: the genre is in the mask column.
 
+    Expressions over all 19 genres are SQL text: one parsed expression each,
+    rather than a call per node.
+    """
+    return f"{mask} & {1 << genre_id} != 0"
 
-def genre_hits(mask: Column, counted: Column) -> list[Column]:
-    """One ``count_if`` per genre over the rows where ``counted`` holds."""
-    return [F.count_if(counted & has_genre(mask, g)) for g in range(NUM_GENRES)]
 
+def genre_hits(counted: str = "true") -> list[Column]:
+    """Columns ``g0`` .. ``g18``: rows with the genre among those ``counted``."""
+    return [
+        F.expr(f"count_if({counted} AND {has_genre(g)}) AS {name}")
+        for g, name in enumerate(GENRE_FLAGS)
+    ]
 
-def masked_sum(mask: Column, values: Sequence[Column]) -> Column:
-    """Sum of the per-genre ``values`` whose genre is in ``mask``, nulls as 0."""
-    total = F.lit(0.0)
-    for g, value in enumerate(values):
-        total = total + F.when(has_genre(mask, g), F.coalesce(value, F.lit(0.0))).otherwise(0.0)
-    return total
+
+def masked_sum(values: Sequence[str], mask: str = "mask") -> Column:
+    """Sum of the per-genre columns ``values`` whose genre is in the mask, nulls as 0."""
+    terms = [f"IF({has_genre(g, mask)}, coalesce({v}, 0D), 0D)" for g, v in enumerate(values)]
+    return F.expr(" + ".join(terms))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from reelrank.functions.genres import genre_hits
 from reelrank.functions.polarity import is_positive, neg_count, pos_count
-from reelrank.schemas import GENRE_FLAGS, NUM_GENRES
+from reelrank.schemas import GENRE_FLAGS
 
 
 def positive_counts(ratings: DataFrame, key: str, rule: str = "exact") -> DataFrame:
@@ -69,30 +69,22 @@ def features_single_pass(
         neg_count(rating, rule).alias("neg_cnt"),
     ]
     if genres:
-        hits = genre_hits(F.col("mask"), is_positive(rating, rule))
-        for_users = F.grouping(user) == 0
-        aggregates += [
-            F.when(for_users, hit).alias(g) for hit, g in zip(hits, GENRE_FLAGS, strict=True)
-        ]
+        aggregates += genre_hits("positive")
+        ratings = ratings.withColumn("positive", is_positive(rating, rule))
     grouped = ratings.groupingSets([[*keys, user], [*keys, movie]], *keys, user, movie).agg(
         *aggregates
     )
-    return grouped.select(
-        F.when(F.col("is_movie") == 0, "user").otherwise("movie").alias("entity"),
-        F.coalesce(user, movie).alias("id"),
+    return grouped.selectExpr(
+        "IF(is_movie = 0, 'user', 'movie') AS entity",
+        "coalesce(userId, movieId) AS id",
         *batch_keys,
         "cnt",
         "pos_cnt",
         "neg_cnt",
-        *(GENRE_FLAGS if genres else []),
+        *(f"IF(is_movie = 0, {g}, NULL) AS {g}" for g in GENRE_FLAGS if genres),
     )
 
 
-def genre_ratio_columns(pos: str = "pos_cnt") -> list[Column]:
+def genre_ratios() -> list[str]:
     """Per genre: share of the positive ratings that carry it, null if none."""
-    return [
-        (F.nullif(F.col(GENRE_FLAGS[g]), F.lit(0)).cast("double") / F.col(pos)).alias(
-            GENRE_FLAGS[g]
-        )
-        for g in range(NUM_GENRES)
-    ]
+    return [f"CAST(nullif({g}, 0) AS DOUBLE) / pos_cnt AS {g}" for g in GENRE_FLAGS]

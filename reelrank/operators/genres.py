@@ -31,9 +31,9 @@ def with_mask(ratings: DataFrame, movies: DataFrame) -> DataFrame:
 
 def unpivot_genres(wide: DataFrame, *keys: str, value: str) -> DataFrame:
     """``g0`` .. ``g18`` columns -> (keys, genreId, value) rows, nulls dropped."""
-    pairs = [c for g, name in enumerate(GENRE_FLAGS) for c in (F.lit(g), F.col(name))]
-    stacked = F.stack(F.lit(NUM_GENRES), *pairs).alias("genreId", value)
-    return wide.select(*keys, stacked).where(F.col(value).isNotNull())
+    pairs = ", ".join(f"{g}, {name}" for g, name in enumerate(GENRE_FLAGS))
+    stacked = f"stack({NUM_GENRES}, {pairs}) AS (genreId, {value})"
+    return wide.selectExpr(*keys, stacked).where(F.col(value).isNotNull())
 
 
 def user_genre_ratio(ratings: DataFrame, movies: DataFrame, *batch_keys: str) -> DataFrame:
@@ -43,14 +43,10 @@ def user_genre_ratio(ratings: DataFrame, movies: DataFrame, *batch_keys: str) ->
     and ratings are not multiplied by their genres.
     """
     positive = ratings.where(is_positive(F.col("rating"))).select("userId", "movieId", *batch_keys)
-    hits = genre_hits(F.col("mask"), F.lit(True))
     counts = (
         with_mask(positive, movies)
         .groupBy("userId", *batch_keys)
-        .agg(
-            F.count(F.lit(1)).alias("total"),
-            *(hit.alias(g) for hit, g in zip(hits, GENRE_FLAGS, strict=True)),
-        )
+        .agg(F.count(F.lit(1)).alias("total"), *genre_hits())
     )
     return _as_ratio(unpivot_genres(counts, "userId", *batch_keys, "total", value="hits"))
 
@@ -62,14 +58,9 @@ def _as_ratio(hits: DataFrame) -> DataFrame:
 
 def user_genre_share(ratings: DataFrame, movies: DataFrame) -> DataFrame:
     """Loader variant: all ratings, shares of the user's genre hits (sum 1)."""
-    hits = genre_hits(F.col("mask"), F.lit(True))
-    counts = (
-        with_mask(ratings.select("userId", "movieId"), movies)
-        .groupBy("userId")
-        .agg(*(hit.alias(g) for hit, g in zip(hits, GENRE_FLAGS, strict=True)))
-    )
-    all_hits = sum((F.col(g) for g in GENRE_FLAGS[1:]), F.col(GENRE_FLAGS[0]))
-    totals = counts.withColumn("total", all_hits)
+    masked = with_mask(ratings.select("userId", "movieId"), movies)
+    counts = masked.groupBy("userId").agg(*genre_hits())
+    totals = counts.withColumn("total", F.expr(" + ".join(GENRE_FLAGS)))
     return _as_ratio(unpivot_genres(totals, "userId", "total", value="hits"))
 
 
@@ -89,10 +80,8 @@ def genre_record_counts(ratings: DataFrame, movies: DataFrame) -> DataFrame:
     masked = with_mask(per_movie, movies)
     totals = masked.agg(
         *(
-            F.coalesce(F.sum(F.when(has_genre(F.col("mask"), g), F.col("cnt"))), F.lit(0)).alias(
-                GENRE_FLAGS[g]
-            )
-            for g in range(NUM_GENRES)
+            F.expr(f"coalesce(sum(IF({has_genre(g)}, cnt, 0)), 0) AS {name}")
+            for g, name in enumerate(GENRE_FLAGS)
         )
     )
     return genre_names(unpivot_genres(totals, value="cnt"), genres_dim(ratings.sparkSession))

@@ -106,13 +106,3 @@ def genre_first(
     """First ``k`` records of each genre by arrival, repeats included."""
     exploded = explode_genres(ratings.select("movieId", *order), movies)
     return top_per_group(exploded, ["genreId"], [F.asc(c) for c in order], k)
-
-
-def favorite_genre(ratio: DataFrame, users: DataFrame) -> DataFrame:
-    """Genre of the highest ratio per user; ties and no ratio go to the lowest id."""
-    best = ratio.groupBy("userId").agg(
-        F.max(F.struct("ratio", (-F.col("genreId")).alias("low_id"))).alias("best")
-    )
-    return users.join(best, "userId", "left").select(
-        "userId", F.coalesce(-F.col("best.low_id"), F.lit(0)).alias("genreId")
-    )

@@ -32,7 +32,7 @@ def latest_metrics(
     genre ratios never come without a positive count.
     """
     newest = [
-        F.max_by(m, F.when(F.col(m).isNotNull(), F.col(version))).alias(m) for m in metrics
+        F.expr(f"max_by({m}, IF({m} IS NOT NULL, {version}, NULL)) AS {m}") for m in metrics
     ]
     return versions.groupBy(*keys).agg(*newest).where(any_emitted(required))
 

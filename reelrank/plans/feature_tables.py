@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelrank.operators.counts import features_single_pass, genre_ratio_columns
+from reelrank.operators.counts import features_single_pass, genre_ratios
 from reelrank.operators.genres import unpivot_genres, with_mask
 from reelrank.operators.upsert import latest_metrics
 from reelrank.schemas import GENRE_FLAGS
@@ -46,7 +46,7 @@ def split(metrics: DataFrame) -> FeatureTables:
 def with_ratios(counts: DataFrame) -> DataFrame:
     """Genre counts -> genre ratios, other columns kept."""
     rest = [c for c in counts.columns if c not in GENRE_FLAGS]
-    return counts.select(*rest, *genre_ratio_columns())
+    return counts.selectExpr(*rest, *genre_ratios())
 
 
 def cumulative_metrics(ratings: DataFrame, movies: DataFrame) -> DataFrame:
@@ -73,10 +73,9 @@ def batch_feature_tables(ratings: DataFrame, movies: DataFrame) -> FeatureTables
 
 def metrics_long(metrics: DataFrame, *keys: str) -> DataFrame:
     """Wide metrics -> (entity, id, keys, metric, value), emitted ones only."""
-    doubles = metrics.select("entity", "id", *keys, *(F.col(m).cast("double") for m in METRICS))
-    return doubles.unpivot(["entity", "id", *keys], METRICS, "metric", "value").where(
-        "value IS NOT NULL"
-    )
+    pairs = ", ".join(f"'{m}', CAST({m} AS DOUBLE)" for m in METRICS)
+    stacked = f"stack({len(METRICS)}, {pairs}) AS (metric, value)"
+    return metrics.selectExpr("entity", "id", *keys, stacked).where("value IS NOT NULL")
 
 
 def stage_microbatches(ratings: DataFrame, movies: DataFrame, batch_key: str) -> DataFrame:

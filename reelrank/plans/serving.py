@@ -18,7 +18,7 @@ from reelrank.functions.scoring import linear_score, logistic
 from reelrank.operators.lookup import bounded_lookup, default_zero
 from reelrank.operators.topk import top_per_group
 from reelrank.plans.feature_tables import FeatureTables
-from reelrank.schemas import FEATURE_COLUMNS, GENRE_FLAGS, INTERCEPT_IDX, NUM_GENRES, TOP_K
+from reelrank.schemas import FEATURE_COLUMNS, GENRE_FLAGS, INTERCEPT_IDX, TOP_K
 
 USER_FEATURES = ["b_user_pos", "b_user_neg", "s_user_pos", "s_user_neg"]
 MOVIE_FEATURES = ["b_movie_pos", "b_movie_neg", "s_movie_pos", "s_movie_neg"]
@@ -28,8 +28,8 @@ STREAM_RATIOS = [f"s_{g}" for g in GENRE_FLAGS]
 
 def _prefixed(table: DataFrame, key: str, prefix: str, entity: str) -> DataFrame:
     names = {"pos_cnt": f"{prefix}_{entity}_pos", "neg_cnt": f"{prefix}_{entity}_neg"}
-    return table.select(
-        key, *(F.col(c).alias(names.get(c, f"{prefix}_{c}")) for c in table.columns if c != key)
+    return table.selectExpr(
+        key, *(f"{c} AS {names.get(c, f'{prefix}_{c}')}" for c in table.columns if c != key)
     )
 
 
@@ -46,17 +46,15 @@ def user_profiles(
         live = users.select("userId").join(live, "userId", "left")
     joined = live.join(_prefixed(batch.users, "userId", "b", "user"), "userId", "left")
     return default_zero(joined, *USER_FEATURES).withColumn(
-        "genreId", favorite_of([F.col(c) for c in STREAM_RATIOS])
+        "genreId", favorite_of(STREAM_RATIOS)
     )
 
 
-def favorite_of(ratios: Sequence[Column]) -> Column:
+def favorite_of(ratios: Sequence[str]) -> Column:
     """Position of the highest ratio; ties and no ratio go to the lowest."""
-    best = F.greatest(*ratios)
-    picked = F.lit(0)
-    for g in reversed(range(NUM_GENRES)):
-        picked = F.when(ratios[g] == best, F.lit(g)).otherwise(picked)
-    return picked
+    values = F.array(*ratios)
+    position = F.array_position(values, F.array_max(values)).cast("int")
+    return F.coalesce(position - 1, F.lit(0))
 
 
 def list_in_order(entries: DataFrame, *keys: str) -> DataFrame:
@@ -113,11 +111,11 @@ def join_candidates(recalled: DataFrame, pool: DataFrame) -> DataFrame:
 
 def batch_affinity() -> Column:
     """Sum over the movie's genres of the user's batch ratio."""
-    return masked_sum(F.col("mask"), [F.col(c) for c in BATCH_RATIOS])
+    return masked_sum(BATCH_RATIOS)
 
 
 def streaming_affinity() -> Column:
-    return masked_sum(F.col("mask"), [F.col(c) for c in STREAM_RATIOS])
+    return masked_sum(STREAM_RATIOS)
 
 
 def feature_vector(joined: DataFrame, *keep: str, as_written: bool = False) -> DataFrame:

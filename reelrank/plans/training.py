@@ -52,13 +52,12 @@ def training_set(
     movie_ids = buffer.select("movieId").distinct()
     joined = join_batch_features(counts, features, user_ids, movie_ids)
     joined = bounded_lookup(joined, features.users.select("userId", *GENRE_FLAGS), user_ids)
-    ratios = [F.col(g) for g in GENRE_FLAGS]
     if as_written:
-        affinity = sum((F.coalesce(r, F.lit(0.0)) for r in ratios), F.lit(0.0))
+        affinity = F.expr(" + ".join(f"coalesce({g}, 0D)" for g in GENRE_FLAGS))
     else:
         masks = movies.select("movieId", genre_mask(F.col("genres")).alias("mask"))
         joined = bounded_lookup(joined, masks, movie_ids)
-        affinity = masked_sum(F.coalesce("mask", F.lit(0)), ratios)
+        affinity = masked_sum(GENRE_FLAGS, "coalesce(mask, 0)")
     values = [
         F.col("b_user_pos"),
         F.col("b_user_neg"),

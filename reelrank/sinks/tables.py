@@ -14,7 +14,6 @@ from reelrank.schemas import (
     GENRE_FLAGS,
     INTERCEPT_IDX,
     MODEL_PARAMS,
-    NUM_GENRES,
 )
 
 
@@ -24,10 +23,9 @@ def write_movies(movies: DataFrame, path: str) -> None:
 
 def write_movies_onehot(movies: DataFrame, path: str) -> None:
     """Movies as header CSV with one 0/1 column per genre."""
-    mask = genre_mask(F.col("genres"))
-    flags = [has_genre(F.col("mask"), g).cast("int").alias(GENRE_FLAGS[g]) for g in range(NUM_GENRES)]
-    movies.withColumn("mask", mask).select(
-        "movieId", "title", F.lit("").alias("unused1"), F.lit("").alias("unused2"), *flags
+    flags = [f"CAST({has_genre(g)} AS INT) AS {name}" for g, name in enumerate(GENRE_FLAGS)]
+    movies.withColumn("mask", genre_mask(F.col("genres"))).selectExpr(
+        "movieId", "title", "'' AS unused1", "'' AS unused2", *flags
     ).write.mode("overwrite").csv(path, header=True)
 
 

@@ -21,7 +21,7 @@ from reelrank.operators.genres import explode_genres
 from reelrank.operators.topk import latest_genre_lists, popular_of_counts, top_per_group
 from reelrank.operators.upsert import append_bounded, latest_by_key
 from reelrank.plans.feature_tables import microbatch_metrics, with_ratios
-from reelrank.schemas import GENRE_FLAGS, POPULAR_SIZE, RECENT_SIZE, TOP_K
+from reelrank.schemas import POPULAR_SIZE, RECENT_SIZE, TOP_K
 from reelrank.sources.files import decode_ratings
 from reelrank.streaming.state import BatchLog, FoldedList
 
@@ -148,11 +148,14 @@ def cumulative_features(ratings: DataFrame, movies: DataFrame) -> DataFrame:
         "e.entity", "e.id", "rating", F.when(F.col("e.entity") == "user", F.col("mask")).alias("mask")
     )
     rating = F.col("rating")
-    hits = genre_hits(F.col("mask"), is_positive(rating))
-    return rows.groupBy("entity", "id").agg(
-        pos_count(rating).alias("pos_cnt"),
-        neg_count(rating).alias("neg_cnt"),
-        *(hit.alias(g) for hit, g in zip(hits, GENRE_FLAGS, strict=True)),
+    return (
+        rows.withColumn("positive", is_positive(rating))
+        .groupBy("entity", "id")
+        .agg(
+            pos_count(rating).alias("pos_cnt"),
+            neg_count(rating).alias("neg_cnt"),
+            *genre_hits("positive"),
+        )
     )
 
 
