@@ -2,12 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reelrank.schemas import CELL, ENVELOPE, RATING_BODY
 
 
+def parse_once(df: DataFrame, parsed: Column, name: str) -> DataFrame:
+    """Adds a parsed struct as a generated column.
+
+    A plain computed column would be inlined into every filter and field
+    access above it, parsing the same text again each time; optimizer rules do
+    not move expressions across a generator.
+    """
+    return df.select("*", F.explode(F.array(parsed)).alias(name))
+
+
 def parse_body(text: Column) -> Column:
     """Rating body; every field is read as text first, so numbers may be quoted."""
     as_text = ", ".join(f"{f.name} string" for f in RATING_BODY.fields)

@@ -17,12 +17,8 @@ from reelrank.schemas import CELL_COLUMNS, CELL_FAMILY, MISSING_CELL
 
 def explode_cells(rows: DataFrame) -> DataFrame:
     """Newline-joined JSON cells -> (row_key, qualifier, value)."""
-    cell = F.explode(F.split("value", "\n")).alias("cell")
-    return (
-        rows.select("row_key", cell)
-        .select("row_key", parse_cell(F.col("cell")).alias("cell"))
-        .select("row_key", "cell.qualifier", "cell.value")
-    )
+    cells = F.transform(F.split("value", "\n"), parse_cell)
+    return rows.select("row_key", F.inline(cells))
 
 
 def cell_value(cells: Column, qualifier: str) -> Column:

@@ -44,13 +44,12 @@ def shared_dir(spark: SparkSession) -> str:
     Only a local session (tests, bench) may go without one; it then gets a
     temporary folder that is dropped when the process ends.
     """
-    context = spark.sparkContext
-    named = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
+    named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
     if not is_local(spark):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    app = context.applicationId
+    app = spark.sparkContext.applicationId
     if app not in _LOCAL_DIRS:
         _LOCAL_DIRS[app] = tempfile.mkdtemp(prefix="reelrank-", dir="/tmp")
         atexit.register(shutil.rmtree, _LOCAL_DIRS[app], ignore_errors=True)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from reelrank import schemas
 from reelrank.functions.genres import flags_to_genres
-from reelrank.functions.messages import parse_body, parse_envelope
+from reelrank.functions.messages import parse_body, parse_envelope, parse_once
 
 ON_BAD = ("fail", "drop", "quarantine")
 
@@ -24,7 +24,7 @@ def decode_ratings(messages: DataFrame, on_bad: str = "drop") -> DataFrame:
     fields = schemas.RATING_BODY.fields
     rest = [c for c in messages.columns if c not in ("key", "value")]
     typed = (
-        messages.withColumn("body", parse_body(F.col("value")))
+        parse_once(messages, parse_body(F.col("value")), "body")
         .select(
             "key",
             *(F.col(f"body.{f.name}").try_cast(f.dataType).alias(f.name) for f in fields),
@@ -47,8 +47,8 @@ def decode_ratings(messages: DataFrame, on_bad: str = "drop") -> DataFrame:
 
 def open_envelopes(lines: DataFrame) -> DataFrame:
     """JSON lines -> (key, value); the body may be a JSON string or an object."""
-    envelope = lines.select(parse_envelope(F.col("value")).alias("envelope"))
-    return envelope.select(
+    envelopes = parse_once(lines, parse_envelope(F.col("value")), "envelope")
+    return envelopes.select(
         F.col("envelope.headers.key").alias("key"), F.col("envelope.body").alias("value")
     )
 

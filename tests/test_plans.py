@@ -74,15 +74,11 @@ def test_hot_movie_is_split_by_the_skew_join(spark):
     for k, v in settings.items():
         spark.conf.set(k, v)
     try:
-        got = user_genre_ratio(frame, movies)
-        rows = got.agg(F.count("*"), F.sum("ratio")).collect()
-        assert rows[0][0] >= 300_000
-        got.write.format("noop").mode("overwrite").save()
-        skewed = got._jdf.queryExecution()
-        total = got.groupBy().count()
-        total.collect()
+        total = user_genre_ratio(frame, movies).agg(F.round(F.sum("ratio")))
+        users = frame.select("userId").distinct().count()
+        assert total.collect()[0][0] == users
         plan = total._jdf.queryExecution().executedPlan().toString()
-        assert "isFinalPlan=true" in plan and re.search(r"skew(ed)?=true", plan), skewed
+        assert "isFinalPlan=true" in plan and re.search(r"skew(ed)?=true", plan)
     finally:
         for k, v in old.items():
             if v is None:
@@ -91,8 +87,9 @@ def test_hot_movie_is_split_by_the_skew_join(spark):
                 spark.conf.set(k, v)
 
 
-def test_features_take_one_shuffle(spark, ratings, movies):
-    plan = plan_of(cumulative_metrics(ratings([(1, 1, 1)]), movies))
+def test_features_take_one_shuffle(spark):
+    stream = driver_tables.ratings_stream(spark, SF_DIR)
+    plan = plan_of(cumulative_metrics(stream, driver_tables.movies(spark, SF_DIR)))
     assert plan.count("Exchange hashpartitioning") == 1
     assert plan.count("Expand") == 1
 
@@ -117,6 +114,12 @@ def test_scan_reads_only_what_is_used(spark, ratings):
     assert "ReadSchema: struct<movieId:string>" in plan
 
 
+def test_each_message_is_parsed_once(spark):
+    """Filters on decoded fields must not repeat the JSON parsing below them."""
+    plan = plan_of(driver.queries()["read_envelope_string_body"](spark, SF_DIR))
+    assert plan.count("from_json") == 2
+
+
 def test_filters_reach_the_scan(spark):
     late = driver_tables.ratings_stream(spark, SF_DIR).where("seq > 500")
     assert "GreaterThan(event_id,500)" in plan_of(late)
