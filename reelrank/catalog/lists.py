@@ -37,10 +37,7 @@ def popular_per_batch(inputs: Inputs) -> DataFrame:
     )
 
 
-POPULAR_SQL = sql("popular", "SELECT pos, movieId FROM popular")
-
-
-@query("popular_bounded30", POPULAR_SQL)
+@query("popular_bounded30", sql("popular", "SELECT pos, movieId FROM popular"))
 def popular_30(inputs: Inputs) -> DataFrame:
     return popular_bounded(day_movie_counts(inputs), "batch_day").select("pos", "movieId")
 
@@ -64,10 +61,7 @@ def hot(inputs: Inputs) -> DataFrame:
     return genre_hot_topk(inputs.stream(), inputs.movies())
 
 
-HOT_LAST_SQL = sql("hot", "SELECT genreId, pos, movieId, cnt FROM hot")
-
-
-@query("genre_hot_last_batch", HOT_LAST_SQL)
+@query("genre_hot_last_batch", sql("hot", "SELECT genreId, pos, movieId, cnt FROM hot"))
 def hot_last_batch(inputs: Inputs) -> DataFrame:
     lists = genre_hot_last_batch(day_movie_counts(inputs), inputs.movies(), "batch_day")
     return lists.select("genreId", "pos", "movieId", "cnt")

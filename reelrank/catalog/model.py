@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reelrank.catalog.registry import Inputs, query, rounded, sql
+from reelrank.operators.lookup import IdSet
 from reelrank.operators.topk import recent_ratings
 from reelrank.operators.training_window import COUNTS, window_counts
 from reelrank.plans.feature_tables import feature_tables_for
@@ -64,9 +65,8 @@ def training_buffer(inputs: Inputs) -> tuple[DataFrame, int]:
 def build_training_set(inputs: Inputs, as_written: bool = False) -> DataFrame:
     buffer, length = training_buffer(inputs)
     movies = inputs.movies()
-    features = feature_tables_for(
-        inputs.history(), movies, buffer.select("userId"), buffer.select("movieId")
-    )
+    user_ids, movie_ids = IdSet.of(buffer, "userId"), IdSet.of(buffer, "movieId")
+    features = feature_tables_for(inputs.history(), movies, user_ids, movie_ids)
     return training_set(buffer, movies, features, length, as_written)
 
 
@@ -103,8 +103,7 @@ FROM buffer LEFT JOIN bu USING (userId) LEFT JOIN bm USING (movieId)""",
 )
 def join_batch(inputs: Inputs) -> DataFrame:
     buffer, _ = training_buffer(inputs)
-    user_ids = buffer.select("userId").distinct()
-    movie_ids = buffer.select("movieId").distinct()
+    user_ids, movie_ids = IdSet.of(buffer, "userId"), IdSet.of(buffer, "movieId")
     features = feature_tables_for(inputs.history(), inputs.movies(), user_ids, movie_ids)
     return join_batch_features(buffer, features, user_ids, movie_ids).drop("rating")
 

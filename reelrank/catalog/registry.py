@@ -23,6 +23,13 @@ COEFFICIENTS = [0.02, -0.02, 0.01, -0.01, 0.3, 0.1, -0.1, 0.05, -0.05, 0.4]
 INTERCEPT = -0.25
 
 
+# Streaming runs cut the 30 days into slices; each slice is one micro-batch.
+FIRST_DAY = "2024-01-01"
+SLICE_DAYS = 8
+SLICES = 4
+SLICE_SQL = f"datediff('day', DATE '{FIRST_DAY}', batch_day) // {SLICE_DAYS}"
+
+
 class Inputs:
     """Driver tables of one scale factor as engine inputs."""
 
@@ -45,6 +52,11 @@ class Inputs:
     def history(self) -> DataFrame:
         return driver_tables.ratings_history(self.spark, self.sf_dir)
 
+    def slice(self, n: int, days: int = SLICE_DAYS) -> DataFrame:
+        """Live ratings of the ``n``-th run of ``days`` days."""
+        day = F.date_diff("batch_day", F.lit(FIRST_DAY).cast("date"))
+        return self.stream().where((day >= n * days) & (day < (n + 1) * days))
+
     def early(self) -> DataFrame:
         return self.stream().where(F.col("batch_day") <= F.lit(CUTOFF).cast("date"))
 
@@ -170,6 +182,20 @@ VIEWS = {
     "vectors_as_written": """
   SELECT userId, movieId, bup AS f0, bun AS f1, bmp AS f2, bmn AS f3, b_aff AS f4,
          sup AS f5, sup AS f6, smp AS f7, smn AS f8, b_aff AS f9 FROM joined""",
+    # The same lists with a slice as the batch.
+    "slice_movie": f"""
+  SELECT {SLICE_SQL} AS slice, movieId, count(*) AS cnt FROM stream GROUP BY slice, movieId""",
+    "slice_popular": """
+  SELECT row_number() OVER (ORDER BY slice, rank) - 1 AS pos, movieId
+  FROM (SELECT *, row_number() OVER (PARTITION BY slice ORDER BY cnt DESC, movieId) AS rank
+        FROM slice_movie QUALIFY rank <= 10 ORDER BY slice DESC, rank DESC LIMIT 30)""",
+    "slice_hot": """
+  SELECT genreId, movieId, cnt,
+         row_number() OVER (PARTITION BY genreId ORDER BY cnt DESC, movieId) AS pos
+  FROM slice_movie JOIN movie_genres USING (movieId)
+  JOIN (SELECT genreId, max(slice) AS slice
+        FROM slice_movie JOIN movie_genres USING (movieId) GROUP BY genreId)
+  USING (genreId, slice) QUALIFY pos <= 10""",
     # Training.
     "buffer": """
   SELECT row_number() OVER (ORDER BY ts, seq) - 1 AS i, *
@@ -196,6 +222,9 @@ NEEDS = {
     "day_top": ["day_movie"],
     "popular": ["day_top"],
     "hot": ["day_movie", "movie_genres"],
+    "slice_movie": ["stream"],
+    "slice_popular": ["slice_movie"],
+    "slice_hot": ["slice_movie", "movie_genres"],
     "fav": ["su", "sr"],
     "recalled": ["fav", "popular", "hot"],
     "affinity": ["recalled", "movie_genres", "br", "sr"],

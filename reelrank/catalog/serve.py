@@ -24,7 +24,7 @@ from reelrank.plans.feature_tables import (
     streaming_feature_tables,
 )
 from reelrank.schemas import FEATURE_COLUMNS, GENRE_FLAGS, INTERCEPT_IDX
-from reelrank.session import stage
+from reelrank.session import concurrently, stage
 from reelrank.sinks.tables import params_table
 
 
@@ -74,21 +74,24 @@ class Serving:
 
 def build(inputs: Inputs, with_batch: bool = True) -> Serving:
     """Feature jobs as they run before serving: the stream log and the batch
-    features are each computed in one pass and stored."""
+    features are each computed in one pass and stored, side by side."""
     movies = inputs.movies()
-    log = stage_microbatches(inputs.stream(), movies, "batch_day")
-    counts = log.where("entity = 'movie'").select(
-        "batch_day", F.col("id").alias("movieId"), "cnt"
-    )
-    popular = popular_bounded(counts, "batch_day").select("pos", "movieId")
-    hot = genre_hot_last_batch(counts, movies, "batch_day").select("genreId", "pos", "movieId")
-    return Serving(
-        movies,
-        streaming_feature_tables(log, "batch_day"),
-        stage(popular, "popular"),
-        stage(hot, "genre-hot"),
-        batch_feature_tables(inputs.history(), movies) if with_batch else None,
-    )
+
+    def live() -> tuple[FeatureTables, DataFrame, DataFrame]:
+        log = stage_microbatches(inputs.stream(), movies, "batch_day")
+        counts = log.where("entity = 'movie'").selectExpr("batch_day", "id AS movieId", "cnt")
+        popular = popular_bounded(counts, "batch_day").select("pos", "movieId")
+        hot = genre_hot_last_batch(counts, movies, "batch_day").select("genreId", "pos", "movieId")
+        lists = concurrently(
+            inputs.spark, lambda: stage(popular, "popular"), lambda: stage(hot, "genre-hot")
+        )
+        return streaming_feature_tables(log, "batch_day"), *lists
+
+    def history() -> FeatureTables | None:
+        return batch_feature_tables(inputs.history(), movies) if with_batch else None
+
+    (streaming, popular, hot), batch = concurrently(inputs.spark, live, history)
+    return Serving(movies, streaming, popular, hot, batch)
 
 
 @query("favorite_genre", sql("fav", "SELECT userId, genreId FROM fav"))

@@ -1,7 +1,7 @@
 """Structured Streaming runs over the live ratings.
 
-Messages go to a file topic, whole days per file; the day in the message is
-the batch number, so results do not depend on how files fall into triggers.
+Messages go to a file topic slice by slice, in as many files as Spark writes.
+A drained slice is one micro-batch, as one trigger would deliver it.
 """
 
 from __future__ import annotations
@@ -9,48 +9,57 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelrank.catalog.features import CUMULATIVE_SQL, LAST_BATCH_SQL, PER_BATCH_SQL, long_rounded
-from reelrank.catalog.lists import HOT_LAST_SQL, POPULAR_SQL, RECENT_SQL, recent_columns
+from reelrank.catalog.features import (
+    CUMULATIVE_SQL,
+    HALVES_LAST_SQL,
+    PER_SLICE_SQL,
+    SLICE_LAST_SQL,
+    long_rounded,
+)
+from reelrank.catalog.lists import RECENT_SQL, recent_columns
 from reelrank.catalog.records import RATING_SQL, plain
-from reelrank.catalog.registry import Inputs, query, sql
+from reelrank.catalog.registry import SLICE_DAYS, SLICES, Inputs, query, sql
 from reelrank.operators.topk import number_rows
-from reelrank.operators.upsert import latest_by_key
+from reelrank.operators.upsert import latest_by_key, latest_metrics
 from reelrank.plans.feature_tables import METRICS, last_batch_metrics
-from reelrank.operators.upsert import latest_metrics
-from reelrank.session import new_path
+from reelrank.session import concurrently, new_path
 from reelrank.sinks.messages import publish_files, to_messages
 from reelrank.sources.streams import file_messages
 from reelrank.streaming import jobs
 from reelrank.streaming.state import BATCH_ID, BatchLog, FoldedList
 
 ALL_NOW = {"availableNow": True}
-TOPIC_FILES = 6
-
-
-def publish(ratings: DataFrame, path: str) -> None:
-    publish_files(to_messages(ratings.repartition(TOPIC_FILES, "batch_day")), path)
 
 
 class Run:
     """A file topic and the folders of one streaming run."""
 
-    def __init__(self, inputs: Inputs, ratings: DataFrame | None = None):
+    def __init__(self, inputs: Inputs):
+        self.inputs = inputs
         self.spark = inputs.spark
         self.root = new_path(inputs.spark, "stream")
         self.topic = f"{self.root}/topic"
-        if ratings is not None:
-            publish(ratings, self.topic)
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def ratings(self, files_per_trigger: int = 2) -> DataFrame:
-        messages = file_messages(self.spark, self.topic, files_per_trigger)
-        return jobs.ratings_of(messages, batch=F.to_date(F.col("timestamp").try_cast("timestamp_ntz")))
+    def publish(self, ratings: DataFrame) -> None:
+        publish_files(to_messages(ratings), self.topic)
+
+    def ratings(self) -> DataFrame:
+        return jobs.ratings_of(file_messages(self.spark, self.topic, None))
+
+    def drain(self, *handlers: jobs.Job) -> None:
+        """Process what the topic holds beyond the checkpoint, as one micro-batch."""
+        jobs.start(
+            self.ratings(), handlers, self.path("checkpoint"), ALL_NOW
+        ).awaitTermination()
 
-    def run(self, *handlers: jobs.Job, name: str = "run") -> None:
-        started = jobs.start(self.ratings(), handlers, self.path(f"checkpoint-{name}"), ALL_NOW)
-        started.awaitTermination()
+    def follow(self, *handlers: jobs.Job, slices: int = SLICES) -> None:
+        """Publish slice after slice; each is drained before the next."""
+        for n in range(slices):
+            self.publish(self.inputs.slice(n, SLICE_DAYS * SLICES // slices))
+            self.drain(*handlers)
 
 
 def _keep(log: BatchLog) -> jobs.Job:
@@ -64,9 +73,10 @@ def _skip(batch: DataFrame, batch_id: int) -> None:
 @query("stream_ratings_replay", sql("stream", RATING_SQL))
 def replay(inputs: Inputs) -> DataFrame:
     """The whole topic, history first."""
-    run = Run(inputs, inputs.stream())
+    run = Run(inputs)
     log = BatchLog(run.path("log"))
-    run.run(_keep(log))
+    run.publish(inputs.stream())
+    run.drain(_keep(log))
     return plain(log.read(inputs.spark))
 
 
@@ -76,11 +86,12 @@ def replay(inputs: Inputs) -> DataFrame:
 )
 def latest(inputs: Inputs) -> DataFrame:
     """Only records that arrive after the stream took up its position."""
-    run = Run(inputs, inputs.early())
-    run.run(_skip)
-    publish(inputs.late(), run.topic)
+    run = Run(inputs)
     log = BatchLog(run.path("log"))
-    run.run(_keep(log))
+    run.publish(inputs.early())
+    run.drain(_skip)
+    run.publish(inputs.late())
+    run.drain(_keep(log))
     return plain(log.read(inputs.spark))
 
 
@@ -95,53 +106,56 @@ QUALIFY row_number() OVER (PARTITION BY userId, movieId ORDER BY ts DESC) = 1"""
 )
 def upsert(inputs: Inputs) -> DataFrame:
     """Keyed table fed by micro-batches; the key is the user and movie pair."""
-    ratings = inputs.stream().withColumn("key", F.concat_ws("-", "userId", "movieId"))
-    run = Run(inputs, ratings)
+    run = Run(inputs)
     log = BatchLog(run.path("log"))
-    run.run(jobs.keyed_ratings_job(log, order=("ts",)))
+    for ratings in (inputs.early(), inputs.late()):
+        run.publish(ratings.withColumn("key", F.concat_ws("-", "userId", "movieId")))
+        run.drain(jobs.keyed_ratings_job(log, order=("ts",)))
     return plain(latest_by_key(log.read(inputs.spark), ["key"], [F.desc("ts")]))
 
 
 def _feature_log(inputs: Inputs) -> DataFrame:
-    run = Run(inputs, inputs.stream())
+    run = Run(inputs)
     log = BatchLog(run.path("log"))
-    run.run(jobs.features_job(log, inputs.movies()))
+    run.follow(jobs.features_job(log, inputs.movies()))
     return log.read(inputs.spark)
 
 
-@query("microbatch_feature_counts", PER_BATCH_SQL)
+@query("microbatch_feature_counts", PER_SLICE_SQL)
 def per_batch(inputs: Inputs) -> DataFrame:
     return long_rounded(_feature_log(inputs), "batch")
 
 
-@query("stream_features_last_batch", LAST_BATCH_SQL)
+@query("stream_features_last_batch", SLICE_LAST_SQL)
 def last_batch(inputs: Inputs) -> DataFrame:
     return long_rounded(last_batch_metrics(_feature_log(inputs), "batch"))
 
 
 @query("stream_recent_buffer", RECENT_SQL)
 def recent(inputs: Inputs) -> DataFrame:
-    run = Run(inputs, inputs.stream())
+    run = Run(inputs)
     state = FoldedList(run.path("recent"))
-    run.run(jobs.recent_job(state))
+    run.follow(jobs.recent_job(state))
     rows = number_rows(state.read(inputs.spark), F.asc("ts"), F.asc("seq"))
     return recent_columns(rows)
 
 
-@query("stream_popular", POPULAR_SQL)
+@query("stream_popular", sql("slice_popular", "SELECT pos, movieId FROM slice_popular"))
 def popular(inputs: Inputs) -> DataFrame:
-    run = Run(inputs, inputs.stream())
+    run = Run(inputs)
     state = FoldedList(run.path("popular"))
-    run.run(jobs.popular_job(state))
+    run.follow(jobs.popular_job(state))
     rows = number_rows(state.read(inputs.spark), F.asc("batch"), F.asc("rank"))
     return rows.select("pos", "movieId")
 
 
-@query("stream_genre_hot", HOT_LAST_SQL)
+@query(
+    "stream_genre_hot", sql("slice_hot", "SELECT genreId, pos, movieId, cnt FROM slice_hot")
+)
 def genre_hot(inputs: Inputs) -> DataFrame:
-    run = Run(inputs, inputs.stream())
+    run = Run(inputs)
     state = FoldedList(run.path("hot"))
-    run.run(jobs.genre_hot_job(state, inputs.movies()))
+    run.follow(jobs.genre_hot_job(state, inputs.movies()))
     return jobs.latest_genre_lists(state.read(inputs.spark), "batch").select(
         "genreId", "pos", "movieId", "cnt"
     )
@@ -153,35 +167,37 @@ def _cumulative(log: DataFrame) -> DataFrame:
 
 @query("batch_features_cumulative", CUMULATIVE_SQL)
 def cumulative(inputs: Inputs) -> DataFrame:
-    """Batch-scope features from the replayed topic: running totals."""
-    run = Run(inputs, inputs.stream())
+    """Batch-scope features from the replayed topic: running totals over the
+    backlog and what follows it."""
+    run = Run(inputs)
     log = BatchLog(run.path("log"))
-    jobs.start_task(
-        "batch", run.ratings(), inputs.movies(), log, run.path("checkpoint"), ALL_NOW
-    ).awaitTermination()
+    for ratings in (inputs.early(), inputs.late()):
+        run.publish(ratings)
+        jobs.start_task(
+            "batch", run.ratings(), inputs.movies(), log, run.path("checkpoint"), ALL_NOW
+        ).awaitTermination()
     return long_rounded(_cumulative(log.read(inputs.spark)))
 
 
 @query(
     "dual_task_features",
-    f"""SELECT 'streaming' AS scope, * FROM ({LAST_BATCH_SQL})
+    f"""SELECT 'streaming' AS scope, * FROM ({HALVES_LAST_SQL})
 UNION ALL SELECT 'batch', * FROM ({CUMULATIVE_SQL})""",
 )
 def dual_task(inputs: Inputs) -> DataFrame:
     """Both tasks on one topic, each with its own log and checkpoint."""
-    run = Run(inputs, inputs.stream())
+    run = Run(inputs)
     movies = inputs.movies()
-    logs = {}
-    started = []
-    for task in ("streaming", "batch"):
-        logs[task] = BatchLog(run.path(f"log-{task}"))
-        started.append(
-            jobs.start_task(
-                task, run.ratings(), movies, logs[task], run.path(f"checkpoint-{task}"), ALL_NOW
-            )
-        )
-    for stream in started:
-        stream.awaitTermination()
+    logs = {task: BatchLog(run.path(f"log-{task}")) for task in ("streaming", "batch")}
+
+    def drain(task: str) -> None:
+        jobs.start_task(
+            task, run.ratings(), movies, logs[task], run.path(f"checkpoint-{task}"), ALL_NOW
+        ).awaitTermination()
+
+    for ratings in (inputs.early(), inputs.late()):
+        run.publish(ratings)
+        concurrently(inputs.spark, lambda: drain("streaming"), lambda: drain("batch"))
     live = last_batch_metrics(logs["streaming"].read(inputs.spark), "batch")
     totals = _cumulative(logs["batch"].read(inputs.spark))
     return (

@@ -5,37 +5,61 @@ its size is below ``spark.sql.autoBroadcastJoinThreshold`` (checked from file
 statistics and again by AQE from real shuffle sizes) and otherwise sort-merges,
 where AQE splits hot keys.
 
-``bounded_lookup`` is for a handful of keys whose number is bounded by
-construction (a 200-record buffer, at most 220 hot movies). The big table is
-first cut to those keys by a broadcast semi join, so it is scanned but never
-shuffled, and what is left is as bounded as the keys.
+``bounded_lookup`` is for few ids (those of a 200-record buffer, of the at most
+220 hot movies). The big table is first cut to the ids by a semi join, so with
+a broadcast it is scanned but never shuffled, and what is left is as small as
+the ids. The hint is given only after the ids were counted; a larger set gets
+none and Catalyst shuffles both sides.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+BROADCAST_ROWS = 10_000
+
 
 def lookup(df: DataFrame, table: DataFrame, *keys: str, how: str = "left") -> DataFrame:
     return df.join(table, list(keys), how)
 
 
-def only_keys(table: DataFrame, bounded_keys: DataFrame) -> DataFrame:
-    """Rows of ``table`` whose key columns occur in the bounded key frame."""
-    keys = bounded_keys.columns
-    return table.join(F.broadcast(bounded_keys), keys, "left_semi")
+@dataclass(frozen=True)
+class IdSet:
+    """Distinct ids of one key column; ``small`` if counted within the bound."""
+
+    key: str
+    frame: DataFrame
+    small: bool
+
+    @classmethod
+    def of(cls, df: DataFrame, key: str, bound: int = BROADCAST_ROWS) -> IdSet:
+        """Counts the ids, so ``df`` should be a stored or otherwise cheap frame."""
+        frame = df.select(key).distinct()
+        return cls(key, frame, frame.limit(bound + 1).count() <= bound)
+
+    def hint(self, df: DataFrame) -> DataFrame:
+        """Broadcast hint for a frame with at most one row per id."""
+        return F.broadcast(df) if self.small else df
+
+    def keys(self) -> DataFrame:
+        return self.hint(self.frame)
+
+
+def only_keys(table: DataFrame, ids: IdSet) -> DataFrame:
+    """Rows of ``table`` whose key is among the ids."""
+    return table.join(ids.keys(), ids.key, "left_semi")
 
 
-def bounded_lookup(bounded: DataFrame, table: DataFrame, ids: DataFrame) -> DataFrame:
-    """Left join a bounded frame to a table that is unique on the id column.
+def bounded_lookup(df: DataFrame, table: DataFrame, ids: IdSet) -> DataFrame:
+    """Left join to a table that is unique on the key; ``ids`` are those of ``df``.
 
-    ``ids`` holds the distinct ids of ``bounded``. It is given separately so
-    that chained lookups cut every table by the same small frame instead of
-    by the joins made so far.
+    They are given separately so that chained lookups cut every table by the
+    same small frame instead of by the joins made so far.
     """
-    (key,) = ids.columns
-    return bounded.join(F.broadcast(only_keys(table, ids)), key, "left")
+    return df.join(ids.hint(only_keys(table, ids)), ids.key, "left")
 
 
 def default_zero(df: DataFrame, *columns: str) -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from reelrank.functions.polarity import is_positive
-from reelrank.operators.lookup import bounded_lookup
+from reelrank.operators.lookup import IdSet, bounded_lookup
 from reelrank.operators.topk import number_rows
 
 COUNTS = ["w_user_pos", "w_user_neg", "w_movie_pos", "w_movie_neg", "w_user_hits"]
@@ -36,7 +36,7 @@ def window_counts(
     half = max(length // 2, 1)
     pos = is_positive(F.col("rating"), "truncating")
     genres = movies.select("movieId", "genres")
-    records = bounded_lookup(buffer, genres, buffer.select("movieId").distinct()).select(
+    records = bounded_lookup(buffer, genres, IdSet.of(buffer, "movieId")).select(
         "i",
         "userId",
         "movieId",

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from reelrank.operators.counts import features_single_pass, genre_ratios
 from reelrank.operators.genres import unpivot_genres, with_mask
+from reelrank.operators.lookup import IdSet, only_keys
 from reelrank.operators.upsert import latest_metrics
 from reelrank.schemas import GENRE_FLAGS
 from reelrank.session import stage
@@ -95,25 +96,20 @@ def streaming_feature_tables(log: DataFrame, batch_key: str) -> FeatureTables:
 
 
 def feature_tables_for(
-    ratings: DataFrame, movies: DataFrame, users: DataFrame, movie_ids: DataFrame
+    ratings: DataFrame, movies: DataFrame, users: IdSet, movie_ids: IdSet
 ) -> FeatureTables:
-    """Batch features of a bounded set of users and movies.
+    """Batch features of some users and movies.
 
-    Ratings that touch neither set are dropped by broadcast lookups before
-    anything is shuffled. Rows kept for a user only make other movies' counts
+    Ratings that touch neither set are dropped by lookups before anything else
+    is shuffled. Rows kept for a user only make other movies' counts
     partial, and those movies are cut off again at the end.
     """
-    user_keys = F.broadcast(users.select("userId").distinct().withColumn("_u", F.lit(True)))
-    movie_keys = F.broadcast(movie_ids.select("movieId").distinct().withColumn("_m", F.lit(True)))
     touched = (
         ratings.select("userId", "movieId", "rating")
-        .join(user_keys, "userId", "left")
-        .join(movie_keys, "movieId", "left")
+        .join(users.hint(users.frame.withColumn("_u", F.lit(True))), "userId", "left")
+        .join(movie_ids.hint(movie_ids.frame.withColumn("_m", F.lit(True))), "movieId", "left")
         .where("_u OR _m")
         .drop("_u", "_m")
     )
     tables = batch_feature_tables(touched, movies)
-    return FeatureTables(
-        tables.users.join(user_keys.drop("_u"), "userId", "left_semi"),
-        tables.movies.join(movie_keys.drop("_m"), "movieId", "left_semi"),
-    )
+    return FeatureTables(only_keys(tables.users, users), only_keys(tables.movies, movie_ids))

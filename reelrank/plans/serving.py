@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from reelrank.functions.genres import genre_mask, masked_sum
 from reelrank.functions.scoring import linear_score, logistic
-from reelrank.operators.lookup import bounded_lookup, default_zero
+from reelrank.operators.lookup import IdSet, bounded_lookup, default_zero
 from reelrank.operators.topk import top_per_group
 from reelrank.plans.feature_tables import FeatureTables
 from reelrank.schemas import FEATURE_COLUMNS, GENRE_FLAGS, INTERCEPT_IDX, TOP_K
@@ -96,17 +96,18 @@ def candidate_movies(
     streaming: FeatureTables,
 ) -> DataFrame:
     """The at most 220 movies that can be recommended, with all they need."""
-    ids = popular.select("movieId").union(hot.select("movieId")).distinct()
+    ids = IdSet.of(popular.select("movieId").union(hot.select("movieId")), "movieId")
     dim = movies.select("movieId", "title", genre_mask(F.col("genres")).alias("mask"))
-    rows = bounded_lookup(ids, dim, ids)
+    rows = bounded_lookup(ids.frame, dim, ids)
     for prefix, table in (("b", batch.movies), ("s", streaming.movies)):
         rows = bounded_lookup(rows, _prefixed(table, "movieId", prefix, "movie"), ids)
-    return default_zero(rows, *MOVIE_FEATURES).withColumn("mask", F.coalesce("mask", F.lit(0)))
+    pool = default_zero(rows, *MOVIE_FEATURES).withColumn("mask", F.coalesce("mask", F.lit(0)))
+    return ids.hint(pool)
 
 
 def join_candidates(recalled: DataFrame, pool: DataFrame) -> DataFrame:
-    """Candidates with the features of their movie; ``pool`` has at most 220 rows."""
-    return recalled.join(F.broadcast(pool), "movieId", "left")
+    """Candidates with the features of their movie."""
+    return recalled.join(pool, "movieId", "left")
 
 
 def batch_affinity() -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reelrank.functions.genres import genre_mask, masked_sum
-from reelrank.operators.lookup import bounded_lookup, default_zero
+from reelrank.operators.lookup import IdSet, bounded_lookup, default_zero
 from reelrank.operators.training_window import window_affinity, window_counts
 from reelrank.plans.feature_tables import FeatureTables
 from reelrank.schemas import FEATURE_COLUMNS, GENRE_FLAGS
@@ -17,7 +17,7 @@ MAX_ITER = 20
 
 
 def join_batch_features(
-    records: DataFrame, features: FeatureTables, user_ids: DataFrame, movie_ids: DataFrame
+    records: DataFrame, features: FeatureTables, user_ids: IdSet, movie_ids: IdSet
 ) -> DataFrame:
     """Buffered records with the batch counts of their user and movie.
 
@@ -48,8 +48,7 @@ def training_set(
     of the movie.
     """
     counts = window_counts(buffer, movies, length, as_written)
-    user_ids = buffer.select("userId").distinct()
-    movie_ids = buffer.select("movieId").distinct()
+    user_ids, movie_ids = IdSet.of(buffer, "userId"), IdSet.of(buffer, "movieId")
     joined = join_batch_features(counts, features, user_ids, movie_ids)
     joined = bounded_lookup(joined, features.users.select("userId", *GENRE_FLAGS), user_ids)
     if as_written:

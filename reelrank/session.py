@@ -6,9 +6,15 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
+T = TypeVar("T")
+
 _LOCAL_DIRS: dict[str, str] = {}
 
 
@@ -61,6 +67,18 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def concurrently(spark: SparkSession, *actions: Callable[[], T]) -> list[T]:
+    """Run independent Spark actions side by side and return their results.
+
+    Jobs that do not depend on each other then share the executors instead
+    of leaving them idle at the tail of each job.
+    """
+    inherit = inheritable_thread_target(spark)
+    with ThreadPoolExecutor(len(actions)) as pool:
+        running = [pool.submit(inherit(action)) for action in actions]
+        return [future.result() for future in running]
+
+
 def stage(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 

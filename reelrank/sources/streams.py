@@ -45,9 +45,11 @@ def kafka_history(spark: SparkSession, servers: str, topic: str = TOPIC) -> Data
     )
 
 
-def file_messages(spark: SparkSession, path: str, files_per_trigger: int = 1) -> DataFrame:
-    return (
-        spark.readStream.schema(MESSAGES)
-        .option("maxFilesPerTrigger", files_per_trigger)
-        .parquet(path)
-    )
+def file_messages(
+    spark: SparkSession, path: str, files_per_trigger: int | None = 1
+) -> DataFrame:
+    """``files_per_trigger`` None takes all new files in one micro-batch."""
+    reader = spark.readStream.schema(MESSAGES)
+    if files_per_trigger is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    return reader.parquet(path)

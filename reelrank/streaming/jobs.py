@@ -1,8 +1,7 @@
 """Rating stream jobs.
 
 Each job is a function ``(ratings, batch_id) -> None`` for ``foreachBatch``.
-A batch is what one trigger delivers; ``batch`` numbers it and is the trigger's
-batch id unless the source carries its own batch column.
+A batch is what one trigger delivers; column ``batch`` holds its id.
 """
 
 from __future__ import annotations
@@ -10,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -29,17 +28,14 @@ Job = Callable[[DataFrame, int], None]
 TRIGGER = {"processingTime": "30 seconds"}
 
 
-def ratings_of(
-    messages: DataFrame, on_bad: str = "drop", batch: Column | None = None
-) -> DataFrame:
+def ratings_of(messages: DataFrame, on_bad: str = "drop") -> DataFrame:
     """Messages -> ratings with ``ts`` and ``seq`` giving the arrival order."""
-    ratings = decode_ratings(messages, on_bad).withColumns(
+    return decode_ratings(messages, on_bad).withColumns(
         {
             "ts": F.col("timestamp").try_cast("timestamp_ntz"),
             "seq": F.col("key").try_cast("bigint"),
         }
     )
-    return ratings if batch is None else ratings.withColumn("batch", batch)
 
 
 def start(
@@ -51,8 +47,7 @@ def start(
     """Run the jobs on every micro-batch; the batch is computed once for all."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        if "batch" not in batch.columns:
-            batch = batch.withColumn("batch", F.lit(batch_id).cast("bigint"))
+        batch = batch.withColumn("batch", F.lit(batch_id).cast("bigint"))
         if len(jobs) == 1:
             jobs[0](batch, batch_id)
             return

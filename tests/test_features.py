@@ -15,6 +15,7 @@ from reelrank.operators.genres import (
     user_genre_ratio,
     user_genre_share,
 )
+from reelrank.operators.lookup import IdSet
 from reelrank.operators.upsert import (
     append_bounded,
     latest_by_key,
@@ -106,12 +107,16 @@ def test_off_domain_only_user_has_no_row(ratings, movies):
     assert rows(polarity_counts(frame, "userId")) == [(2, 1, None)]
 
 
-def test_features_for_some_ids_equal_the_full_tables(spark, ratings, movies):
+@pytest.mark.parametrize("bound", [10, 0])
+def test_features_for_some_ids_equal_the_full_tables(spark, ratings, movies, bound):
+    """With and without the broadcast hint.""" 
     data = [(u, m, (u * m) % 2) for u in range(1, 7) for m in range(1, 5) for _ in range(u)]
     frame = ratings(data)
     users = spark.createDataFrame([(2,), (5,), (2,)], "userId int")
     ids = spark.createDataFrame([(4,)], "movieId int")
-    some = feature_tables_for(frame, movies, users, ids)
+    some = feature_tables_for(
+        frame, movies, IdSet.of(users, "userId", bound), IdSet.of(ids, "movieId", bound)
+    )
     full = batch_feature_tables(frame, movies)
     assert rows(some.users) == rows(full.users.where("userId IN (2, 5)"))
     assert rows(some.movies) == rows(full.movies.where("movieId = 4"))
