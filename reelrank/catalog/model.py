@@ -7,9 +7,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reelrank.catalog.registry import Inputs, query, rounded, sql
-from reelrank.operators.lookup import IdSet
 from reelrank.operators.topk import recent_ratings
-from reelrank.operators.training_window import COUNTS, window_counts
+from reelrank.operators.training_window import COUNTS, TrainingBuffer, window_counts
 from reelrank.plans.feature_tables import feature_tables_for
 from reelrank.plans.training import (
     assemble,
@@ -55,19 +54,18 @@ FROM ({window}) w LEFT JOIN bu ON bu.userId = w.userId LEFT JOIN bm ON bm.movieI
     )
 
 
-def training_buffer(inputs: Inputs) -> tuple[DataFrame, int]:
-    """The 200-record buffer as a stored list (``i`` from 0), and its length."""
+def training_buffer(inputs: Inputs) -> TrainingBuffer:
+    """The 200-record buffer as a stored list."""
     columns = [F.col("pos").alias("i"), "userId", "movieId", "rating"]
-    buffer = stage(recent_ratings(inputs.stream()).select(*columns), "recent")
-    return buffer, buffer.count()
+    recent = recent_ratings(inputs.stream()).select(*columns)
+    return TrainingBuffer.of(stage(recent, "recent"))
 
 
 def build_training_set(inputs: Inputs, as_written: bool = False) -> DataFrame:
-    buffer, length = training_buffer(inputs)
+    buffer = training_buffer(inputs)
     movies = inputs.movies()
-    user_ids, movie_ids = IdSet.of(buffer, "userId"), IdSet.of(buffer, "movieId")
-    features = feature_tables_for(inputs.history(), movies, user_ids, movie_ids)
-    return training_set(buffer, movies, features, length, as_written)
+    features = feature_tables_for(inputs.history(), movies, buffer.users, buffer.movies)
+    return training_set(buffer, movies, features, as_written)
 
 
 def _rounded_set(training: DataFrame) -> DataFrame:
@@ -75,8 +73,7 @@ def _rounded_set(training: DataFrame) -> DataFrame:
 
 
 def _counts(inputs: Inputs, as_written: bool) -> DataFrame:
-    buffer, length = training_buffer(inputs)
-    counts = window_counts(buffer, inputs.movies(), length, as_written)
+    counts = window_counts(training_buffer(inputs), inputs.movies(), as_written)
     return counts.select("i", "userId", "movieId", F.col("rating").cast("double"), *COUNTS)
 
 
@@ -102,10 +99,9 @@ FROM buffer LEFT JOIN bu USING (userId) LEFT JOIN bm USING (movieId)""",
     ),
 )
 def join_batch(inputs: Inputs) -> DataFrame:
-    buffer, _ = training_buffer(inputs)
-    user_ids, movie_ids = IdSet.of(buffer, "userId"), IdSet.of(buffer, "movieId")
-    features = feature_tables_for(inputs.history(), inputs.movies(), user_ids, movie_ids)
-    return join_batch_features(buffer, features, user_ids, movie_ids).drop("rating")
+    buffer = training_buffer(inputs)
+    features = feature_tables_for(inputs.history(), inputs.movies(), buffer.users, buffer.movies)
+    return join_batch_features(buffer.records, features, buffer.users, buffer.movies).drop("rating")
 
 
 @query("training_set", _training_sql(as_written=False))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelrank.functions.genres import genre_hits, genre_mask, has_genre
@@ -12,8 +12,10 @@ from reelrank.operators.lookup import lookup
 from reelrank.schemas import GENRE_FLAGS, GENRE_NAMES, GENRES, NUM_GENRES
 
 
-def genres_dim(spark) -> DataFrame:
-    return spark.createDataFrame(list(enumerate(GENRE_NAMES)), GENRES)
+def genres_dim(spark: SparkSession) -> DataFrame:
+    """The fixed 19 genres as an inline table."""
+    values = ", ".join(f"({g}, '{name}')" for g, name in enumerate(GENRE_NAMES))
+    return spark.sql(f"SELECT * FROM VALUES {values} AS genres({', '.join(GENRES.names)})")
 
 
 def explode_genres(ratings: DataFrame, movies: DataFrame) -> DataFrame:

@@ -40,6 +40,11 @@ class IdSet:
         frame = df.select(key).distinct()
         return cls(key, frame, frame.limit(bound + 1).count() <= bound)
 
+    @classmethod
+    def counted(cls, df: DataFrame, key: str, ids: int, bound: int = BROADCAST_ROWS) -> IdSet:
+        """For a frame whose number of distinct ids is known."""
+        return cls(key, df.select(key).distinct(), ids <= bound)
+
     def hint(self, df: DataFrame) -> DataFrame:
         """Broadcast hint for a frame with at most one row per id."""
         return F.broadcast(df) if self.small else df

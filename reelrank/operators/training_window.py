@@ -12,6 +12,8 @@ record i in h+1 .. n-1:
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -20,6 +22,32 @@ from reelrank.functions.polarity import is_positive
 from reelrank.operators.lookup import IdSet, bounded_lookup
 from reelrank.operators.topk import number_rows
 
+@dataclass(frozen=True)
+class TrainingBuffer:
+    """Buffered records (``i`` from 0, userId, movieId, rating), their number
+    and the ids among them."""
+
+    records: DataFrame
+    length: int
+    users: IdSet
+    movies: IdSet
+
+    @classmethod
+    def of(cls, records: DataFrame) -> TrainingBuffer:
+        """One counting job; ``records`` should be a stored frame."""
+        counts = records.agg(
+            F.count(F.lit(1)).alias("length"),
+            F.count_distinct("userId").alias("users"),
+            F.count_distinct("movieId").alias("movies"),
+        ).first()
+        return cls(
+            records,
+            counts["length"],
+            IdSet.counted(records, "userId", counts["users"]),
+            IdSet.counted(records, "movieId", counts["movies"]),
+        )
+
+
 COUNTS = ["w_user_pos", "w_user_neg", "w_movie_pos", "w_movie_neg", "w_user_hits"]
 
 
@@ -29,14 +57,13 @@ def record_index(buffer: DataFrame, *order: str) -> DataFrame:
 
 
 def window_counts(
-    buffer: DataFrame, movies: DataFrame, length: int, as_written: bool = False
+    buffer: TrainingBuffer, movies: DataFrame, as_written: bool = False
 ) -> DataFrame:
-    """Window counts for the newer half of ``buffer`` (columns i, userId,
-    movieId, rating); ``length`` is its number of records."""
-    half = max(length // 2, 1)
+    """Window counts for the newer half of the buffer."""
+    half = max(buffer.length // 2, 1)
     pos = is_positive(F.col("rating"), "truncating")
     genres = movies.select("movieId", "genres")
-    records = bounded_lookup(buffer, genres, IdSet.of(buffer, "movieId")).select(
+    records = bounded_lookup(buffer.records, genres, buffer.movies).select(
         "i",
         "userId",
         "movieId",

@@ -9,7 +9,11 @@ from pyspark.sql import functions as F
 
 from reelrank.functions.genres import genre_mask, masked_sum
 from reelrank.operators.lookup import IdSet, bounded_lookup, default_zero
-from reelrank.operators.training_window import window_affinity, window_counts
+from reelrank.operators.training_window import (
+    TrainingBuffer,
+    window_affinity,
+    window_counts,
+)
 from reelrank.plans.feature_tables import FeatureTables
 from reelrank.schemas import FEATURE_COLUMNS, GENRE_FLAGS
 
@@ -35,10 +39,9 @@ def join_batch_features(
 
 
 def training_set(
-    buffer: DataFrame,
+    buffer: TrainingBuffer,
     movies: DataFrame,
     features: FeatureTables,
-    length: int,
     as_written: bool = False,
 ) -> DataFrame:
     """Label and ten features per record of the newer half of the buffer.
@@ -47,15 +50,14 @@ def training_set(
     never evicted) and sums a user's ratios over all genres instead of those
     of the movie.
     """
-    counts = window_counts(buffer, movies, length, as_written)
-    user_ids, movie_ids = IdSet.of(buffer, "userId"), IdSet.of(buffer, "movieId")
-    joined = join_batch_features(counts, features, user_ids, movie_ids)
-    joined = bounded_lookup(joined, features.users.select("userId", *GENRE_FLAGS), user_ids)
+    counts = window_counts(buffer, movies, as_written)
+    joined = join_batch_features(counts, features, buffer.users, buffer.movies)
+    joined = bounded_lookup(joined, features.users.select("userId", *GENRE_FLAGS), buffer.users)
     if as_written:
         affinity = F.expr(" + ".join(f"coalesce({g}, 0D)" for g in GENRE_FLAGS))
     else:
         masks = movies.select("movieId", genre_mask(F.col("genres")).alias("mask"))
-        joined = bounded_lookup(joined, masks, movie_ids)
+        joined = bounded_lookup(joined, masks, buffer.movies)
         affinity = masked_sum(GENRE_FLAGS, "coalesce(mask, 0)")
     values = [
         F.col("b_user_pos"),

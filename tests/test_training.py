@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from conftest import rows
-from reelrank.operators.training_window import COUNTS, window_counts
+from reelrank.operators.training_window import COUNTS, TrainingBuffer, window_counts
 from reelrank.plans.feature_tables import batch_feature_tables
 from reelrank.plans.training import assemble, fit_click_model, training_set
 from reelrank.schemas import FEATURE_COLUMNS
@@ -43,7 +43,7 @@ def loop_counts(records, as_written):
 
 def buffer_of(spark, records):
     data = [(i, u, m, float(r)) for i, (u, m, r) in enumerate(records)]
-    return spark.createDataFrame(data, SCHEMA)
+    return TrainingBuffer.of(spark.createDataFrame(data, SCHEMA))
 
 
 @pytest.mark.parametrize("as_written", [False, True])
@@ -58,7 +58,7 @@ def test_window_equals_loop(spark, movies, size, seed, as_written):
         (rnd.randint(1, 3), rnd.randint(1, 6), rnd.choice([0.0, 0.5, 1.0, 1.5, 2.0]))
         for _ in range(size)
     ]
-    got = window_counts(buffer_of(spark, records), movies, size, as_written)
+    got = window_counts(buffer_of(spark, records), movies, as_written)
     assert sorted(map(tuple, got.select("i", *COUNTS).collect())) == loop_counts(
         records, as_written
     )
@@ -69,11 +69,11 @@ def test_training_set_features(spark, ratings, movies):
     features = batch_feature_tables(history, movies)
     records = [(1, 1, 1), (2, 2, 0), (1, 2, 1), (1, 1, 0), (9, 99, 1)]
     buffer = buffer_of(spark, records)
-    got = {r["i"]: tuple(r)[2:] for r in training_set(buffer, movies, features, 5).collect()}
+    got = {r["i"]: tuple(r)[2:] for r in training_set(buffer, movies, features).collect()}
     # User 1: two positives, one negative; movie 1: genres 0 and 3, ratios 0.5 and 1.0.
     assert got[3] == (2.0, 1.0, 1.0, 0.0, 1.5, 1.0, 0.0, 0.0, 0.0, 1.0)
     assert got[4] == (0.0,) * 10
-    written = training_set(buffer, movies, features, 5, as_written=True)
+    written = training_set(buffer, movies, features, as_written=True)
     got = {r["i"]: tuple(r)[2:] for r in written.collect()}
     # Window {0, 2, 3}: user 1 has two positives with three genre hits, one negative.
     assert got[3] == (2.0, 1.0, 1.0, 0.0, 1.5, 2.0, 1.0, 1.0, 1.0, 1.0)
