@@ -107,6 +107,42 @@ def test_ranking_reuses_the_users_partitioning(spark):
     assert users == []
 
 
+def test_recommend_beyond_the_broadcast_bound(spark):
+    """With nothing small enough to broadcast by size, results stay the same and
+    the ranking still runs on the partitioning of the user join."""
+    query = driver.queries()["recommend_top10"]
+    want = sorted(map(tuple, query(spark, SF_DIR).collect()))
+    settings = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k, None) for k in settings}
+    for k in settings:
+        spark.conf.set(k, "-1")
+    try:
+        got = query(spark, SF_DIR)
+        plan = plan_of(got)
+        assert "NestedLoop" not in plan and "Cartesian" not in plan
+        ranking = plan[plan.index("Window") : plan.index("SortMergeJoin")]
+        assert "Exchange hashpartitioning" not in ranking.split("Generate")[0]
+        assert sorted(map(tuple, got.collect())) == want
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_hot_user_is_combined_before_the_shuffle(spark, movies):
+    """One user with a third of all rows reaches the reducers as one row per
+    map task, and the totals are whole."""
+    user = F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id")).cast("int")
+    frame = spark.range(0, 90_000, 1, 6).select(
+        user.alias("userId"),
+        (F.col("id") % 4 + 1).cast("int").alias("movieId"),
+        F.lit(1.0).cast("float").alias("rating"),
+    )
+    result = cumulative_metrics(frame, movies)
+    hot = result.where("entity = 'user' AND id = 1").first()
+    assert hot["cnt"] == hot["pos_cnt"] == 30_001
+    assert plan_of(result).count("HashAggregate") == 2
+
+
 def test_scan_reads_only_what_is_used(spark, ratings):
     path = new_path(spark, "test-scan")
     write_keyed_ratings(ratings([(1, 1, 1)]), path)
