@@ -50,7 +50,8 @@ def popular_bounded(counts: DataFrame, batch_key: str, size: int = POPULAR_SIZE)
     ``counts`` are ratings per (batch, movie).
     """
     tops = popular_of_counts(counts, batch_key).withColumnRenamed("pos", "rank")
-    return bounded_tail(tops, [batch_key, "rank"], size).select("pos", "movieId", batch_key, "rank")
+    newest = bounded_tail(tops, [batch_key, "rank"], size)
+    return newest.select("pos", "movieId", batch_key, "rank")
 
 
 def bounded_tail(rows: DataFrame, order: Sequence[str], size: int) -> DataFrame:
@@ -92,9 +93,8 @@ def latest_genre_lists(counts: DataFrame, batch_key: str, k: int = TOP_K) -> Dat
     order = [F.desc(batch_key), F.desc("cnt"), F.asc("movieId")]
     ranked = top_per_group(counts, ["genreId"], order, k)
     newest = F.max(batch_key).over(W.partitionBy("genreId"))
-    return (
-        ranked.withColumn("newest", newest).where(F.col("newest") == F.col(batch_key)).drop("newest")
-    )
+    marked = ranked.withColumn("newest", newest)
+    return marked.where(F.col("newest") == F.col(batch_key)).drop("newest")
 
 
 def genre_first(

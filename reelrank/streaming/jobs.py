@@ -139,8 +139,11 @@ def cumulative_features(ratings: DataFrame, movies: DataFrame) -> DataFrame:
             F.struct(F.lit("movie").alias("entity"), F.col("movieId").alias("id")),
         )
     ).alias("e")
-    rows = masked.select("rating", F.coalesce("mask", F.lit(0)).alias("mask"), entities).select(
-        "e.entity", "e.id", "rating", F.when(F.col("e.entity") == "user", F.col("mask")).alias("mask")
+    rows = masked.select("rating", "mask", entities).select(
+        "e.entity",
+        "e.id",
+        "rating",
+        F.when(F.col("e.entity") == "user", F.col("mask")).alias("mask"),
     )
     rating = F.col("rating")
     return (
