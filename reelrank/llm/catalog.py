@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import functions as F
 
-from reelrank.llm import mixture, quality_rules
+from reelrank.llm import mixture, piece_encoder, quality_rules
 from reelrank.llm.common import Query, table
 
 QUERIES: dict[str, Query] = {}
@@ -130,3 +130,18 @@ def op7_quality_rules(spark, sf_dir):
         "base_failed",
         "kept",
     )
+
+
+def piece_vocabulary() -> piece_encoder.Vocabulary:
+    import public_tokenizers
+
+    return piece_encoder.Vocabulary.load(public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query("op5_piece_encoder")
+def op5_piece_encoder(spark, sf_dir):
+    """Exact ids and round trip of every text; tested against the sentencepiece library."""
+    docs = table(spark, sf_dir, "documents")
+    return piece_encoder.encode_texts(docs, piece_vocabulary(), with_ids=False).select(
+        "doc_id", "n_tokens", "ids_sha256", "decoded_sha256"
+    )
