@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import functions as F
 
-from reelrank.llm import mixture, piece_encoder, quality_rules
-from reelrank.llm.common import Query, table
+from reelrank.llm import mixture, ngram_join, piece_encoder, quality_rules, toxicity
+from reelrank.llm.common import Query, fold, table
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -145,3 +145,22 @@ def op5_piece_encoder(spark, sf_dir):
     return piece_encoder.encode_texts(docs, piece_vocabulary(), with_ids=False).select(
         "doc_id", "n_tokens", "ids_sha256", "decoded_sha256"
     )
+
+
+@query("op9_toxicity")
+def op9_toxicity(spark, sf_dir):
+    """Scores of every text; tested by held-out accuracy and a brute-force distance."""
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.learn(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score_texts(docs, model).select(
+        "doc_id",
+        (fold("doc_id", 5) == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
+@query("op10_ngram_join")
+def op10_ngram_join(spark, sf_dir):
+    """Components of all documents; tested against all pairs on a small fixture."""
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
