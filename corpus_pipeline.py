@@ -1,14 +1,46 @@
-"""The corpus pipeline: stages applied to ``documents`` in turn."""
+"""The corpus pipeline: stages applied to ``documents`` in turn.
+
+Every stage works on all rows its predecessor kept and its decisions take effect; all but the
+last return the columns of ``documents``. The result has a row for every document of the mix
+(twice, if the mix takes it twice).
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from reelrank.llm import mixture
+from reelrank.llm import line_dedup, mixture, ngram_join, piece_encoder, toxicity
+from reelrank.llm.catalog import piece_vocabulary
 from reelrank.llm.common import DOCUMENT_COLUMNS, table
 from reelrank.session import new_path
 
 
+def clean_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops the documents that the toxicity model rejects."""
+    model = toxicity.learn(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return toxicity.keep_clean(docs.select(DOCUMENT_COLUMNS), model)
+
+
+def fresh_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Removes repeated windows of lines; ``n_chars`` follows the text."""
+    deduped = line_dedup.dedup_lines(docs.select(DOCUMENT_COLUMNS))
+    changed = F.when(F.col("n_removed") > 0, F.char_length("text")).otherwise(F.col("n_chars"))
+    return deduped.withColumn("n_chars", changed.cast("long")).select(DOCUMENT_COLUMNS)
+
+
+def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the document with the smallest id of every group of near duplicates.
+
+    Rows without an id can't be told apart and stay; of rows of equal id one stays.
+    """
+    groups = ngram_join.near_duplicates(docs)
+    kept = groups.where("doc_id = component_id").select("doc_id").distinct()
+    rows = docs.select(DOCUMENT_COLUMNS)
+    chosen = rows.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return chosen.union(rows.where("doc_id IS NULL"))
+
+
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Mixes the sources; a document that is taken twice is there twice."""
     _, cuts = mixture.plan(docs)
@@ -20,15 +52,29 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     )
 
 
-STAGES = [("mixing", mixing)]
+def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every document, and digests of the ids and of what they decode to."""
+    coded = piece_encoder.encode_texts(docs, piece_vocabulary())
+    return coded.select("doc_id", "n_tokens", "ids", "ids_sha256", "decoded_sha256")
+
+
+STAGES = [
+    ("toxicity", clean_language),
+    ("line dedup", fresh_lines),
+    ("near duplicates", one_of_each),
+    ("mixing", mixing),
+    ("encoding", encoding),
+]
 
+#: SQL can't express the encoder; the tests compare the stages with brute-force versions.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Applies the stages to ``documents``, each written and read again by the next."""
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        path = new_path(spark, f"pipeline-{name}")
+    for name, stage in STAGES[:-1]:
+        path = new_path(spark, f"pipeline-{name.replace(' ', '-')}")
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
-    return docs
+    return STAGES[-1][1](spark, docs, sf_dir)

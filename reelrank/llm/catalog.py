@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import functions as F
 
-from reelrank.llm import mixture, ngram_join, piece_encoder, quality_rules, toxicity
+from reelrank.llm import line_dedup, mixture, ngram_join, piece_encoder, quality_rules, toxicity
 from reelrank.llm.common import Query, fold, table
 
 QUERIES: dict[str, Query] = {}
@@ -164,3 +164,10 @@ def op9_toxicity(spark, sf_dir):
 def op10_ngram_join(spark, sf_dir):
     """Components of all documents; tested against all pairs on a small fixture."""
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op8_line_dedup")
+def op8_line_dedup(spark, sf_dir):
+    """Texts without repeated windows of lines; tested against a brute-force version."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.dedup_lines(docs)
