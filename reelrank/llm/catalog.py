@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import functions as F
 
-from reelrank.llm import line_dedup, mixture, ngram_join, piece_encoder, quality_rules, toxicity
+from reelrank.llm import language_id, line_dedup, mixture, ngram_join, piece_encoder, quality_rules, toxicity
 from reelrank.llm.common import Query, fold, table
+from reelrank.session import stage
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -171,3 +172,17 @@ def op8_line_dedup(spark, sf_dir):
     """Texts without repeated windows of lines; tested against a brute-force version."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return line_dedup.dedup_lines(docs)
+
+
+@query("op6_language_id")
+def op6_language_id(spark, sf_dir):
+    """Languages of every text; tested by held-out accuracy and sums of probabilities."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = fold("doc_id", 3) == 1
+    models = language_id.learn(docs.where(~held_out))
+    found = stage(
+        language_id.identify(docs, models).withColumn("held_out", held_out), "languages"
+    )
+    return language_id.calibrated(found, found.where("NOT held_out")).select(
+        "doc_id", "held_out", "lang_pred", "score", "rejected"
+    )
