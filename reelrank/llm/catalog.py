@@ -6,7 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import functions as F
 
-from reelrank.llm import language_id, line_dedup, mixture, ngram_join, piece_encoder, quality_rules, toxicity
+from reelrank.llm import (
+    language_id,
+    line_dedup,
+    mixture,
+    ngram_join,
+    piece_encoder,
+    quality_classifier,
+    quality_rules,
+    toxicity,
+)
 from reelrank.llm.common import Query, fold, table
 from reelrank.session import stage
 
@@ -186,3 +195,16 @@ def op6_language_id(spark, sf_dir):
     return language_id.calibrated(found, found.where("NOT held_out")).select(
         "doc_id", "held_out", "lang_pred", "score", "rejected"
     )
+
+
+@query("op4_quality_classifier")
+def op4_quality_classifier(spark, sf_dir):
+    """Scores of every text; tested by held-out accuracy and the quadratic form of the model."""
+    docs = table(spark, sf_dir, "documents")
+    machine = quality_classifier.learn(docs, table(spark, sf_dir, "labels"))
+    return quality_classifier.score_texts(docs, machine).select(
+        "doc_id",
+        (fold("doc_id", 4) == 2).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+    )

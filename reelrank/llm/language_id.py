@@ -202,7 +202,7 @@ def learn(train: DataFrame) -> dict[str, LanguageModel]:
 
     What reaches the driver is bounded by the hashes (see above), not by the corpus.
     """
-    rows = estimates(gram_counts(word_counts(train))).toPandas().sort_values("key")
+    rows = estimates(gram_counts(word_counts(train))).toArrow().to_pandas().sort_values("key")
     models = {}
     for lang, own in sorted(rows.groupby("lang"), key=lambda pair: pair[0]):
         tables = {
