@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from reelrank.llm import line_dedup, mixture, ngram_join, piece_encoder, toxicity
 from reelrank.llm.catalog import piece_vocabulary
-from reelrank.llm.common import DOCUMENT_COLUMNS, table
+from reelrank.llm.common import DOCUMENT_COLUMNS, ship, table
 from reelrank.session import new_path
 
 
@@ -72,6 +72,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Applies the stages to ``documents``, each written and read again by the next."""
+    ship(spark)
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         path = new_path(spark, f"pipeline-{name.replace(' ', '-')}")

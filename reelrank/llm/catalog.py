@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelrank.llm import (
@@ -15,8 +16,9 @@ from reelrank.llm import (
     quality_classifier,
     quality_rules,
     toxicity,
+    vector_search,
 )
-from reelrank.llm.common import Query, fold, table
+from reelrank.llm.common import Query, fold, ship, table
 from reelrank.session import stage
 
 QUERIES: dict[str, Query] = {}
@@ -25,7 +27,11 @@ ORACLES: dict[str, str] = {}
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     def register(fn: Query) -> Query:
-        QUERIES[name] = fn
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship(spark)
+            return fn(spark, sf_dir)
+
+        QUERIES[name] = run
         if sql is not None:
             ORACLES[name] = sql
         return fn
@@ -208,3 +214,9 @@ def op4_quality_classifier(spark, sf_dir):
         "score",
         (F.col("score") >= 0.7).cast("int").alias("predicted"),
     )
+
+
+@query("op2_vector_search")
+def op2_vector_search(spark, sf_dir):
+    """The 20 nearest vectors of each query; tested by recall against brute force."""
+    return vector_search.nearest(table(spark, sf_dir, "embeddings"))

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
+import os
+import shutil
+import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,6 +24,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Gives the package to the Python workers, once a session; Spark serves it to executors."""
+    context = spark.sparkContext
+    if context.applicationId not in _SHIPPED:
+        _SHIPPED.add(context.applicationId)
+        root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+        # The driver serves the archive for as long as the session lives.
+        folder = tempfile.mkdtemp(prefix="reelrank-py-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        name = os.path.join(folder, "reelrank")
+        context.addPyFile(shutil.make_archive(name, "zip", root, "reelrank"))
+
+
 def fold(id_col: str, folds: int) -> Column:
     """crc32 of the id as text, modulo ``folds``; a null id counts as the empty text."""
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit(""))) % folds
