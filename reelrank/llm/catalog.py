@@ -16,6 +16,7 @@ from reelrank.llm import (
     quality_classifier,
     quality_rules,
     toxicity,
+    url_filters,
     vector_search,
 )
 from reelrank.llm.common import Query, fold, ship, table
@@ -220,3 +221,21 @@ def op4_quality_classifier(spark, sf_dir):
 def op2_vector_search(spark, sf_dir):
     """The 20 nearest vectors of each query; tested by recall against brute force."""
     return vector_search.nearest(table(spark, sf_dir, "embeddings"))
+
+
+#: The rules of the query.
+URL_RULES = (
+    url_filters.Rule("net/", url_filters.BLOCK),
+    url_filters.Rule("example.net/en/", url_filters.ALLOW),
+    url_filters.Rule("example.com/de/", url_filters.BLOCK),
+    url_filters.Rule("org/fr/", url_filters.ALLOW),
+)
+
+
+@query("op3_url_filters")
+def op3_url_filters(spark, sf_dir):
+    """Host, path, rule and verdict of every url; templates tested against a plain version."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return url_filters.judge(pages, URL_RULES).select(
+        "page_id", "host", "path", "rule", "verdict", "template", "purity"
+    )
