@@ -252,5 +252,5 @@ def positive_user_movie_pairs(inputs: Inputs) -> DataFrame:
     sql("stream", RATING_SQL + " ORDER BY ts, seq LIMIT 3"),
 )
 def head_sample(inputs: Inputs) -> DataFrame:
-    """The first three records by arrival."""
+    """The first three records by arrival; the limit is the feature."""
     return plain(inputs.stream().orderBy("ts", "seq").limit(3))

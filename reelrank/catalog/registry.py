@@ -23,11 +23,10 @@ COEFFICIENTS = [0.02, -0.02, 0.01, -0.01, 0.3, 0.1, -0.1, 0.05, -0.05, 0.4]
 INTERCEPT = -0.25
 
 
-# Streaming runs cut the 30 days into slices; each slice is one micro-batch.
-FIRST_DAY = "2024-01-01"
-SLICE_DAYS = 8
+# Streaming runs cut the days that occur into parts of equal length; each is one micro-batch.
+# Together they hold all rows: those without a day are in the first part.
 SLICES = 4
-SLICE_SQL = f"datediff('day', DATE '{FIRST_DAY}', batch_day) // {SLICE_DAYS}"
+SLICE_SQL = "slice"
 
 
 class Inputs:
@@ -52,10 +51,16 @@ class Inputs:
     def history(self) -> DataFrame:
         return driver_tables.ratings_history(self.spark, self.sf_dir)
 
-    def slice(self, n: int, days: int = SLICE_DAYS) -> DataFrame:
-        """Live ratings of the ``n``-th run of ``days`` days."""
-        day = F.date_diff("batch_day", F.lit(FIRST_DAY).cast("date"))
-        return self.stream().where((day >= n * days) & (day < (n + 1) * days))
+    def slices(self, count: int = SLICES) -> list[DataFrame]:
+        """Live ratings in ``count`` parts by day, from the first day to the last."""
+        stream = self.stream()
+        first, last = stream.agg(F.min("batch_day"), F.max("batch_day")).first()
+        if first is None:
+            return [stream]
+        span = (last - first).days + 1
+        day = F.date_diff("batch_day", F.lit(first))
+        part = F.coalesce(F.floor(day * count / span), F.lit(0))
+        return [stream.where(part == n) for n in range(count)]
 
     def early(self) -> DataFrame:
         return self.stream().where(F.col("batch_day") <= F.lit(CUTOFF).cast("date"))
@@ -95,7 +100,10 @@ VIEWS = {
   SELECT CAST(event_id AS VARCHAR) AS "key", CAST(user_id AS INT) AS userId,
          CAST(json_extract_string(props, '$.k') AS INT) AS movieId,
          CASE WHEN event_type IN ('click','purchase') THEN 1.0 ELSE 0.0 END AS rating,
-         CAST(ts AS VARCHAR) AS "timestamp", ts, event_id AS seq, CAST(ts AS DATE) AS batch_day
+         CAST(ts AS VARCHAR) AS "timestamp", ts, event_id AS seq, CAST(ts AS DATE) AS batch_day,
+         coalesce(datediff('day', min(CAST(ts AS DATE)) OVER (), CAST(ts AS DATE)) * 4
+           // (datediff('day', min(CAST(ts AS DATE)) OVER (), max(CAST(ts AS DATE)) OVER ()) + 1), 0)
+         AS slice
   FROM events""",
     "off_domain": """
   SELECT CAST(user_id AS INT) AS userId, CAST(json_extract_string(props, '$.k') AS INT) AS movieId,
@@ -183,8 +191,7 @@ VIEWS = {
   SELECT userId, movieId, bup AS f0, bun AS f1, bmp AS f2, bmn AS f3, b_aff AS f4,
          sup AS f5, sup AS f6, smp AS f7, smn AS f8, b_aff AS f9 FROM joined""",
     # The same lists with a slice as the batch.
-    "slice_movie": f"""
-  SELECT {SLICE_SQL} AS slice, movieId, count(*) AS cnt FROM stream GROUP BY slice, movieId""",
+    "slice_movie": "SELECT slice, movieId, count(*) AS cnt FROM stream GROUP BY slice, movieId",
     "slice_popular": """
   SELECT row_number() OVER (ORDER BY slice, rank) - 1 AS pos, movieId
   FROM (SELECT *, row_number() OVER (PARTITION BY slice ORDER BY cnt DESC, movieId) AS rank

@@ -18,7 +18,7 @@ from reelrank.catalog.features import (
 )
 from reelrank.catalog.lists import RECENT_SQL, recent_columns
 from reelrank.catalog.records import RATING_SQL, plain
-from reelrank.catalog.registry import SLICE_DAYS, SLICES, Inputs, query, sql
+from reelrank.catalog.registry import Inputs, query, sql
 from reelrank.operators.topk import number_rows
 from reelrank.operators.upsert import latest_by_key, latest_metrics
 from reelrank.plans.feature_tables import METRICS, last_batch_metrics
@@ -55,10 +55,10 @@ class Run:
             self.ratings(), handlers, self.path("checkpoint"), ALL_NOW
         ).awaitTermination()
 
-    def follow(self, *handlers: jobs.Job, slices: int = SLICES) -> None:
+    def follow(self, *handlers: jobs.Job) -> None:
         """Publish slice after slice; each is drained before the next."""
-        for n in range(slices):
-            self.publish(self.inputs.slice(n, SLICE_DAYS * SLICES // slices))
+        for part in self.inputs.slices():
+            self.publish(part)
             self.drain(*handlers)
 
 

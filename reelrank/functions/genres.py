@@ -11,19 +11,35 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from reelrank.schemas import GENRE_FLAGS
+from reelrank.schemas import GENRE_FLAGS, NUM_GENRES
 
 
 def flags_to_genres(flags: Sequence[Column]) -> Column:
-    """One-hot columns -> ascending array of the positions set to 1."""
-    positions = [F.when(flag == 1, F.lit(i)) for i, flag in enumerate(flags)]
+    """One-hot columns -> ascending array of the positions set to 1.
+
+    Flags may be text such as ``1`` or ``1.0``; a flag set beyond the genre domain raises.
+    """
+    positions = []
+    for i, flag in enumerate(flags):
+        genre = F.lit(i)
+        if i >= NUM_GENRES:
+            genre = F.raise_error(F.lit(f"genre id outside 0..{NUM_GENRES - 1}: {i}")).cast("int")
+        positions.append(F.when(flag.cast("double").cast("int") == 1, genre))
     return F.array_compact(F.array(*positions))
 
 
 def genre_mask(genres: Column) -> Column:
-    """Genre array -> int with bit g set for every genre g."""
+    """Genre array -> int with bit g set for every genre g; ids outside the domain raise."""
+    message = F.lit(f"genre id outside 0..{NUM_GENRES - 1}: ")
+
+    def bit(g: Column) -> Column:
+        known = F.when((g >= 0) & (g < NUM_GENRES), F.call_function("shiftleft", F.lit(1), g))
+        return known.otherwise(F.raise_error(F.concat(message, g.cast("string"))).cast("int"))
+
     return F.aggregate(
-        genres, F.lit(0), lambda mask, g: mask.bitwiseOR(F.call_function("shiftleft", F.lit(1), g))
+        F.filter(genres, lambda g: g.isNotNull()),
+        F.lit(0),
+        lambda mask, g: mask.bitwiseOR(bit(g)),
     )
 
 

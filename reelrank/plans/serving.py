@@ -148,7 +148,12 @@ def feature_vector(joined: DataFrame, *keep: str, as_written: bool = False) -> D
 def param_columns(params: DataFrame) -> tuple[list[Column], Column]:
     """Model parameter table -> coefficient columns and intercept, as scalars."""
     entries = F.map_from_entries(F.collect_list(F.struct("idx", "coefficient")))
-    by_idx = params.agg(entries.alias("params")).scalar()
+    wanted = F.array_sort(F.collect_list("idx")) == F.array(
+        *[F.lit(i) for i in range(INTERCEPT_IDX, len(FEATURE_COLUMNS))]
+    )
+    message = F.lit("model parameters need each idx from -1 to 9 once")
+    checked = F.when(wanted, entries).otherwise(F.raise_error(message))
+    by_idx = params.agg(checked.alias("params")).scalar()
     weights = [F.element_at(by_idx, F.lit(i)) for i in range(len(FEATURE_COLUMNS))]
     return weights, F.element_at(by_idx, F.lit(INTERCEPT_IDX))
 

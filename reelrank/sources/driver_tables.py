@@ -72,11 +72,14 @@ def _line_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _with_user(lines: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders").select(
+def _order_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").cast("int").alias("userId")
     )
-    return lines.join(orders, "l_orderkey").select(
+
+
+def _keyed(lines: DataFrame) -> DataFrame:
+    return lines.select(
         F.concat_ws("-", "l_orderkey", "l_linenumber").alias("key"),
         "userId",
         "movieId",
@@ -87,18 +90,21 @@ def _with_user(lines: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ratings_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines as ratings; keys repeat."""
-    return _with_user(_line_ratings(spark, sf_dir), spark, sf_dir)
+    return _keyed(
+        _line_ratings(spark, sf_dir).join(_order_users(spark, sf_dir), "l_orderkey")
+    )
 
 
 def ratings_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines after the keyed upsert.
 
-    The key is (order, line) and the user comes from the order, so the newest
-    line per key is found first and only those rows join the orders.
+    The key is (order, line), so the ranking finds its rows where the join by
+    order has put them, and the history is shuffled once.
     """
+    lines = _line_ratings(spark, sf_dir).join(_order_users(spark, sf_dir), "l_orderkey")
     latest = latest_by_key(
-        _line_ratings(spark, sf_dir),
+        lines,
         ["l_orderkey", "l_linenumber"],
         [F.desc("ts"), F.desc("movieId"), F.desc("rating")],
     )
-    return _with_user(latest, spark, sf_dir)
+    return _keyed(latest)

@@ -12,12 +12,12 @@ from reelrank.functions.messages import parse_body, parse_envelope, parse_once
 ON_BAD = ("fail", "drop", "quarantine")
 
 
-def decode_ratings(messages: DataFrame, on_bad: str = "drop") -> DataFrame:
+def decode_ratings(messages: DataFrame, on_bad: str = "fail") -> DataFrame:
     """(key, value JSON) -> typed ratings.
 
     A message is bad when its JSON does not parse or a field is missing or
-    mistyped. ``fail`` raises on it, ``drop`` skips it, ``quarantine`` keeps it
-    with ``bad`` true and its text in ``value``.
+    mistyped. ``fail`` raises on it, as no message may vanish unasked; ``quarantine``
+    keeps it with ``bad`` true and its text in ``value``; ``drop`` skips it.
     """
     if on_bad not in ON_BAD:
         raise ValueError(f"unknown on_bad {on_bad!r}, expected one of {ON_BAD}")
@@ -54,22 +54,36 @@ def open_envelopes(lines: DataFrame) -> DataFrame:
 
 
 def read_envelopes(
-    spark: SparkSession, path: str, on_bad: str = "drop", limit: int | None = None
+    spark: SparkSession, path: str, on_bad: str = "fail"
 ) -> DataFrame:
-    """Envelope file -> typed ratings; ``limit`` reads only that many lines."""
-    lines = spark.read.text(path)
-    if limit is not None:
-        lines = lines.limit(limit)
-    return decode_ratings(open_envelopes(lines), on_bad)
+    """Envelope file -> typed ratings."""
+    return decode_ratings(open_envelopes(spark.read.text(path)), on_bad)
 
 
 def read_movies_onehot(spark: SparkSession, path: str) -> DataFrame:
-    """Header CSV: id, title, two unused columns, then one flag per genre."""
-    return spark.read.csv(path, header=True, schema=schemas.MOVIES_ONEHOT)
+    """Header CSV: id, title, two unused columns, then one flag per genre.
+
+    The header says how many flags there are; flags are whole numbers in any notation.
+    Rows that don't fit, and flags that are no numbers, raise.
+    """
+    read = spark.read.option("header", True).option("mode", "FAILFAST")
+    count = len(read.csv(path).columns)
+    fixed = schemas.MOVIES_ONEHOT.fieldNames()[:4]
+    flags = [f"g{i}" for i in range(max(count - len(fixed), len(schemas.GENRE_FLAGS)))]
+    names = [*fixed, *flags]
+    text = read.csv(path, schema=", ".join(f"`{c}` string" for c in names[:count]))
+    return text.select(
+        F.col("movieId").cast("int").alias("movieId"),
+        *fixed[1:],
+        *(
+            (F.col(g).cast("double") if g in text.columns else F.lit(None)).cast("int").alias(g)
+            for g in flags
+        ),
+    )
 
 
 def movies_from_onehot(onehot: DataFrame) -> DataFrame:
-    flags = [F.col(g) for g in schemas.GENRE_FLAGS]
+    flags = [F.col(c) for c in onehot.columns[4:]]
     return onehot.select("movieId", "title", flags_to_genres(flags).alias("genres"))
 
 

@@ -28,26 +28,53 @@ Job = Callable[[DataFrame, int], None]
 TRIGGER = {"processingTime": "30 seconds"}
 
 
-def ratings_of(messages: DataFrame, on_bad: str = "drop") -> DataFrame:
-    """Messages -> ratings with ``ts`` and ``seq`` giving the arrival order."""
+def ratings_of(messages: DataFrame, on_bad: str = "quarantine") -> DataFrame:
+    """Messages -> ratings with ``ts`` and ``seq`` giving the arrival order.
+
+    Timestamps may be text, or seconds or milliseconds since 1970; what is neither counts as
+    the start of 1970. Keys that are no numbers are ordered by their hash, so the order
+    never depends on a null. Malformed messages come with ``bad`` true; ``start`` keeps
+    them apart.
+    """
+    number = F.col("timestamp").try_cast("bigint")
+    # Seconds reach this size in the year 5138, milliseconds passed it in 1973.
+    seconds = F.when(F.abs(number) < 100_000_000_000, number).otherwise(number / 1000)
+    epoch = F.to_timestamp_ntz(F.lit("1970-01-01 00:00:00"))
+    text = F.when(number.isNull(), F.col("timestamp").try_cast("timestamp_ntz"))
+    since = epoch + F.make_dt_interval(secs=seconds.cast("decimal(18,6)"))
     return decode_ratings(messages, on_bad).withColumns(
         {
-            "ts": F.col("timestamp").try_cast("timestamp_ntz"),
-            "seq": F.col("key").try_cast("bigint"),
+            "ts": F.coalesce(text, since, epoch),
+            "seq": F.coalesce(F.col("key").try_cast("bigint"), F.xxhash64("key")),
         }
     )
 
 
+def bad_messages(checkpoint: str) -> BatchLog:
+    """The log of malformed messages of the run with this checkpoint."""
+    return BatchLog(f"{checkpoint}-bad")
+
+
 def start(
     ratings: DataFrame,
     jobs: Sequence[Job],
     checkpoint: str,
     trigger: dict | None = None,
 ) -> StreamingQuery:
-    """Run the jobs on every micro-batch; the batch is computed once for all."""
+    """Run the jobs on every micro-batch; the batch is computed once for all.
+
+    Malformed messages go to the log beside the checkpoint (``bad_messages``), with their
+    key, text and batch, and the jobs get the others.
+    """
+    bad_log = bad_messages(checkpoint)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         batch = batch.withColumn("batch", F.lit(batch_id).cast("bigint"))
+        if "bad" in batch.columns:
+            bad = batch.where("bad").select("key", "value", "batch")
+            if not bad.isEmpty():
+                bad_log.append(bad, batch_id)
+            batch = batch.where("NOT bad").drop("bad", "value")
         if len(jobs) == 1:
             jobs[0](batch, batch_id)
             return
@@ -75,7 +102,9 @@ def features_job(log: BatchLog, movies: DataFrame) -> Job:
     return run
 
 
-def keyed_ratings_job(log: BatchLog, order: Sequence[str] = ("ts", "seq")) -> Job:
+def keyed_ratings_job(
+    log: BatchLog, order: Sequence[str] = ("ts", "seq", "movieId", "rating")
+) -> Job:
     """Newest rating per key of the batch, appended to the log."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
@@ -130,7 +159,12 @@ def genre_hot_job(state: FoldedList, movies: DataFrame, k: int = TOP_K) -> Job:
 
 def cumulative_features(ratings: DataFrame, movies: DataFrame) -> DataFrame:
     """Running totals over everything streamed so far, kept in Spark's state
-    store; each trigger emits the changed users and movies."""
+    store; each trigger emits the changed users and movies.
+
+    Malformed messages add to no total; the run that keeps the ratings logs them.
+    """
+    if "bad" in ratings.columns:
+        ratings = ratings.where("NOT bad")
     masks = movies.select("movieId", genre_mask(F.col("genres")).alias("mask"))
     masked = ratings.select("userId", "movieId", "rating").join(masks, "movieId", "left")
     entities = F.explode(

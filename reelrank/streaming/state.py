@@ -40,7 +40,10 @@ class BatchLog:
         rows.write.mode("overwrite").parquet(f"{self.root}/log/{BATCH_ID}={batch_id}")
 
     def read(self, spark: SparkSession) -> DataFrame:
-        """All logged rows with their batch id."""
+        """All logged rows with their batch id; a reopened log takes the files' schema."""
+        if self.schema is None:
+            own = spark.read.parquet(f"{self.root}/log").schema.fields
+            self.schema = T.StructType([f for f in own if f.name != BATCH_ID])
         return spark.read.schema(_with_batch_id(self.schema)).parquet(f"{self.root}/log")
 
     def compact(
@@ -93,7 +96,10 @@ class FoldedList:
         return f"{self.root}/{BATCH_ID}={batch_id}"
 
     def read(self, spark: SparkSession) -> DataFrame:
-        """State after the newest micro-batch."""
+        """State after the newest micro-batch; a reopened list takes the files' schema."""
+        if self.schema is None:
+            own = spark.read.parquet(self.root).schema.fields
+            self.schema = T.StructType([f for f in own if f.name != BATCH_ID])
         states = spark.read.schema(_with_batch_id(self.schema)).parquet(self.root)
         newest = states.agg(F.max(BATCH_ID)).scalar()
         return states.where(F.col(BATCH_ID) == newest).drop(BATCH_ID)
