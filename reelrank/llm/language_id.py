@@ -238,9 +238,11 @@ class Scorer:
             part = new[lo : lo + 20_000]
             codes, place = codes_of([c for _, c in part])
             starts = np.flatnonzero(place == 0)
-            costs = [np.add.reduceat(m.cost(codes, place), starts) for m in self.models]
+            costs = np.zeros((len(part), len(self.models)))
+            for k, model in enumerate(self.models):
+                costs[:, k] = np.add.reduceat(model.cost(codes, place), starts)
             self.place.update((w, len(self.costs) + k) for k, (w, _) in enumerate(part))
-            self.costs = np.concatenate([self.costs, np.stack(costs, axis=1)])
+            self.costs = np.concatenate([self.costs, costs])
             self.sizes = np.concatenate([self.sizes, [len(c) + 1 for _, c in part]])
 
     def score(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:

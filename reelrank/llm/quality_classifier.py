@@ -139,7 +139,7 @@ def fit(rows: list[np.ndarray], labels: np.ndarray) -> Machine:
         np.zeros(SIZE),
         rng.normal(0.0, 0.05, (SIZE, RANK)),
     )
-    if not 0.0 < share < 1.0:
+    if not len(labels) or not 0.0 < share < 1.0:
         machine.factors[:] = 0.0
         return machine
     w_seen, v_seen, b_seen = np.full(SIZE, 1e-6), np.full((SIZE, RANK), 1e-6), 1e-6
