@@ -117,7 +117,7 @@ def template_table(grouped: DataFrame) -> DataFrame:
         name = F.when(F.col("segment") == "**", F.lit("/**")).otherwise(
             F.when(F.col("stays"), F.concat(F.lit("/"), "segment")).otherwise(F.lit("/*"))
         )
-        rows = (
+        deeper = (
             rows.withColumn("segment", segment)
             .join(stays, ["host", "template", "segment"], "left")
             .withColumn(
@@ -128,6 +128,8 @@ def template_table(grouped: DataFrame) -> DataFrame:
             )
             .drop("segment", "stays")
         )
+        # A level is read three times by the next one; written, the plans don't multiply.
+        rows = stage(deeper, "url-level")
     return rows
 
 
@@ -141,7 +143,7 @@ def templates(pages: DataFrame) -> DataFrame:
         ),
         "url-shapes",
     )
-    tree = stage(template_table(grouped), "url-templates")
+    tree = template_table(grouped)
     counts = [F.sum(c).alias(c) for c in ("labelled", "blocked")]
     # One row of totals.
     blocked, labelled = tree.agg(F.sum("blocked"), F.sum("labelled")).first()
