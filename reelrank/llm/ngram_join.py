@@ -1,15 +1,16 @@
 """N-gram Jaccard join: size-banded tiles, bitmap bounds, exact intersection.
 
-A document's set holds the 48-bit hashes of its distinct five-word shingles. Sets are
-sorted by hash; two sets of similarity t share a hash within their first
-n - ceil(t n) + 1 ones. A tile is such a hash and a size band (a power of two); sets at the
+A document's set holds the 48-bit hashes of its distinct five-word shingles. Sets are put
+in one order, by hash with frequent shingles last; two sets of similarity t share a hash
+within their first n - ceil(t n) + 1 ones. A tile is such a hash and a size band (a power of two); sets at the
 lower end of a band also visit the band below, so no pair across bands is lost.
 
-1. Equal sets are one set. Each set is compared with the smallest first set of its tiles.
-   Copies are then mostly joined, with as many comparisons as sets, not pairs.
+1. Equal sets are one set. In each tile a set looks to the first set of another component, and
+   is compared with the one that it meets in most tiles. After ROUNDS rounds copies are
+   joined, with as many comparisons as sets, not pairs.
 2. Tiles that still hold several components are dealt into blocks of bounded size; pairs of
    different components are tested block against block. The number of differing bits of two parity
-   bitmaps (about two bits an element) never exceeds the number of differing elements, which
+   bitmaps (four to eight bits an element) never exceeds the number of differing elements, which
    bounds the overlap from above; only pairs within the bound are intersected.
 
 Every pair of different components within the bound is intersected exactly, so no link that
@@ -39,18 +40,8 @@ WORDS = 5
 #: Links need an intersection of at least NUMERATOR / DENOMINATOR of the union.
 NUMERATOR, DENOMINATOR = 3, 4
 
-#: Sets in a block of a tile, and word hashes that a worker keeps.
-BLOCK, REMEMBERED = 256, 1_000_000
-
-
-class _WordHashes(dict):
-    """Hashes of words, computed once while they are remembered."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        value = self[word] = xxhash.xxh64_intdigest(word)
-        return value
+#: Rounds of single comparisons, sets in a block of a tile, digests that a worker keeps.
+ROUNDS, BLOCK, REMEMBERED = 2, 256, 1_000_000
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -60,22 +51,101 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def shingles(text: str | None, hashes: dict[bytes, int], words: int = WORDS) -> np.ndarray:
-    """Sorted 48-bit hashes of the distinct shingles of a text."""
-    found = (text or "").encode("utf-8").lower().split()
-    if not found:
-        return np.empty(0, np.int64)
-    h = np.fromiter((hashes[w] for w in found), np.uint64, len(found))
-    width = min(words, len(h))
-    mixed = np.full(len(h) - width + 1, width, np.uint64)
-    for k in range(width):
-        mixed = _mixed(mixed * np.uint64(0x9E3779B97F4A7C15) + h[k : len(h) - width + 1 + k])
-    return np.unique(mixed >> np.uint64(16)).astype(np.int64)
+#: ASCII white space.
+_IS_SPACE = np.zeros(256, bool)
+_IS_SPACE[[32, 9, 10, 11, 12, 13]] = True
+
+#: A number for each byte, and the odd base (with its inverse) of the words' polynomials.
+_BYTE_VALUES = _mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+_BASE = 0x5851F42D4C957F2D
+_INVERSE = pow(_BASE, -1, 1 << 64)
+
+
+class Shingler:
+    """Shingle hashes of several texts at once, in array operations over all their bytes."""
+
+    def __init__(self, words: int = WORDS):
+        self.words = words
+        self.powers = self.inverses = np.empty(0, np.uint64)
+
+    def _reach(self, size: int) -> None:
+        if len(self.powers) < size:
+            size = max(size, 1 << 20)
+            step = np.full(size, _BASE, np.uint64), np.full(size, _INVERSE, np.uint64)
+            for powers in step:
+                powers[0] = 1
+            self.powers, self.inverses = (np.multiply.accumulate(x) for x in step)
+
+    def word_hashes(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """Hash of each word, A-Z lower-cased, and the text it is in."""
+        raw = [(t or "").encode("utf-8").lower() for t in texts]
+        sizes = np.fromiter((len(r) + 1 for r in raw), np.int64, len(raw))
+        data = np.frombuffer(b" ".join([*raw, b""]), np.uint8)
+        blank = _IS_SPACE[data]
+        before = np.r_[True, blank[:-1]]
+        start, end = np.flatnonzero(~blank & before), np.flatnonzero(blank & ~before)
+        self._reach(len(data))
+        sums = np.cumsum(_BYTE_VALUES[data] * self.powers[: len(data)])
+        # A word is followed by a blank, so its sum ends where the blank's begins.
+        upto = np.r_[np.zeros(1, np.uint64), sums]
+        hashes = (upto[end] - upto[start]) * self.inverses[start]
+        owner = np.searchsorted(np.cumsum(sizes), start, "right")
+        return _mixed(hashes ^ (end - start).astype(np.uint64)), owner
+
+    def shingles(self, texts: list[str | None]) -> list[np.ndarray]:
+        """Sorted 48-bit hashes of the distinct shingles of each text."""
+        h, owner = self.word_hashes(texts)
+        counts = np.bincount(owner, minlength=len(texts))
+        starts = np.cumsum(counts) - counts
+        size = max(0, len(h) - self.words + 1)
+        mixed = self._mix(h, size, self.words)
+        whole = owner[:size] == owner[self.words - 1 :] if size else np.empty(0, bool)
+        out = []
+        for lo, n in zip(starts, counts, strict=True):
+            if n >= self.words:
+                own = mixed[lo : lo + n - self.words + 1]
+                assert whole[lo] and whole[lo + n - self.words]
+            else:
+                own = self._mix(h[lo : lo + n], 1, n) if n else np.empty(0, np.uint64)
+            out.append(np.unique(own >> np.uint64(16)).astype(np.int64))
+        return out
+
+    @staticmethod
+    def _mix(h: np.ndarray, size: int, width: int) -> np.ndarray:
+        mixed = np.full(size, width, np.uint64)
+        for k in range(width):
+            mixed = _mixed(mixed * np.uint64(0x9E3779B97F4A7C15) + h[k : size + k])
+        return mixed
+
+    def batches(self, texts: list[str | None], most: int = 500_000) -> Iterator[np.ndarray]:
+        """The shingles of each text, in groups of about ``most`` characters."""
+        group, size = [], 0
+        for text in texts:
+            group.append(text)
+            size += len(text or "")
+            if size >= most:
+                yield from self.shingles(group)
+                group, size = [], 0
+        if group:
+            yield from self.shingles(group)
+
+
+def bitmap_width(band: int) -> int:
+    """Bits for sets of 2 ** band elements and more: four to eight an element."""
+    return max(64, 8 << max(0, band))
+
+
+def small_width(band: int) -> int:
+    return max(64, bitmap_width(band) // 4)
+
+
+def quarter(bits: bytes) -> bytes:
+    return folded(bits, max(8, len(bits) // 4)).tobytes()
 
 
 def bitmap(tokens: np.ndarray) -> bytes:
-    """Parity bitmap: each element flips one bit. Widths are powers of two, from 64."""
-    width = max(64, 2 << (len(tokens).bit_length() - 1)) if len(tokens) else 64
+    """Parity bitmap: each element flips one bit. Widths are powers of two."""
+    width = bitmap_width(len(tokens).bit_length() - 1)
     odd = np.bincount(tokens & (width - 1), minlength=width) & 1
     return np.packbits(odd.astype(np.uint8)).tobytes()
 
@@ -103,21 +173,84 @@ def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_text"))
 
 
+#: Bits of the filters over hashes; one MB each at any size of the input.
+FILTER_BITS = 1 << 23
+
+#: A shingle is frequent if so many of a task's texts, or of CHUNK shingles' texts, have it.
+FREQUENT, CHUNK = 4, 2_000_000
+
+
+def filter_of(values: DataFrame) -> np.ndarray:
+    """A bitmap over the numbers in the one column of ``values``, as bytes of FILTER_BITS bits."""
+    parts = (
+        values.toDF("_at")
+        .withColumn("_at", F.pmod("_at", F.lit(FILTER_BITS)))
+        .groupBy(F.bitmap_bucket_number("_at").alias("bucket"))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("_at")).alias("bits"))
+    )
+    wanted = np.zeros(FILTER_BITS, np.uint8)
+    for bucket, bits in parts.collect():
+        own = np.unpackbits(np.frombuffer(bits, np.uint8), bitorder="little")
+        # Place 0 has a bucket of its own; the others run from 1.
+        if bucket == 0:
+            wanted[0] |= own[0]
+        else:
+            lo = (bucket - 1) * len(own) + 1
+            wanted[lo : lo + len(own)] |= own[: FILTER_BITS - lo]
+    return np.packbits(wanted, bitorder="little")
+
+
+def frequent_shingles(docs: DataFrame, text_col: str = "text") -> np.ndarray:
+    """A filter over shingles that many texts share, from all texts, counted task by task.
+
+    It only decides which shingles come last in the order that heads are taken in. Any fixed
+    order gives the same links; with common passages last, few sets meet that are not alike.
+    """
+
+    def build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        shingler, kept, size = Shingler(), [], 0
+        for batch in batches:
+            for tokens in shingler.batches(list(batch["_text"])):
+                kept.append(tokens)
+                size += len(tokens)
+                if size >= CHUNK:
+                    yield _often(kept)
+                    kept, size = [], 0
+        if kept:
+            yield _often(kept)
+
+    found = docs.select(F.col(text_col).alias("_text")).mapInPandas(build, "token long")
+    return filter_of(found)
+
+
+def _often(kept: list[np.ndarray]) -> pd.DataFrame:
+    tokens, counts = np.unique(np.concatenate(kept), return_counts=True)
+    return pd.DataFrame({"token": tokens[counts >= FREQUENT]})
+
+
+def in_order(tokens: np.ndarray, frequent: np.ndarray) -> np.ndarray:
+    """The hashes of a set, frequent ones last."""
+    at = tokens & (FILTER_BITS - 1)
+    last = (frequent[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
+    return np.concatenate([tokens[~last], tokens[last]]) if last.any() else tokens
+
+
 def set_heads(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n, sid, head) of all documents, written once.
+    """(doc_id, n, sid, head, bits, small) of all documents, written once.
 
     ``sid`` is a digest of the set; equal sets share it, and it is null for empty ones.
-    ``head`` holds the first n - ceil(t n) + 1 hashes. Of equal sets a task writes the
-    head once, so a large group of copies brings no more rows than there are tasks.
+    ``head`` holds the first n - ceil(t n) + 1 hashes in the order that puts frequent ones
+    last, ``bits`` the bitmap, ``small`` the same folded to a quarter. Of equal sets a task
+    writes both once, so a large group of copies brings no more rows than there are tasks.
     """
     id_type = docs.schema[id_col].dataType.simpleString()
+    shared = docs.sparkSession.sparkContext.broadcast(frequent_shingles(docs, text_col))
 
     def build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes, seen = _WordHashes(), set()
+        shingler, seen, frequent = Shingler(), set(), shared.value
         for batch in batches:
-            sizes, digests, heads = [], [], []
-            for text in batch["_text"]:
-                tokens = shingles(text, hashes)
+            sizes, digests, heads, bits = [], [], [], []
+            for tokens in shingler.batches(list(batch["_text"])):
                 n = len(tokens)
                 sid = _digest(tokens) if n else None
                 new = n > 0 and sid not in seen
@@ -128,22 +261,31 @@ def set_heads(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
                 sizes.append(n)
                 digests.append(sid)
                 head = n - -(-n * NUMERATOR // DENOMINATOR) + 1
-                heads.append(tokens[:head].copy() if new else None)
+                heads.append(in_order(tokens, frequent)[:head].copy() if new else None)
+                bits.append(bitmap(tokens) if new else None)
             yield pd.DataFrame(
                 {
-                    "doc_id": batch["doc_id"],
+                    "doc_id": batch["doc_id"].to_numpy(),
                     "n": sizes,
                     "sid": pd.array(digests, dtype="Int64"),
                     "head": heads,
+                    "bits": bits,
+                    "small": [None if b is None else quarter(b) for b in bits],
                 }
             )
 
     sets = _texts(docs, id_col, text_col).mapInPandas(
-        build, f"doc_id {id_type}, n long, sid long, head array<long>"
+        build, f"doc_id {id_type}, n long, sid long, head array<long>, bits binary, small binary"
     )
     return _written(sets, "ngram-heads")
 
 
+def signatures(heads: DataFrame) -> DataFrame:
+    """(sid, n, bits, small), one row per set."""
+    own = heads.where("head IS NOT NULL").select("sid", "n", "bits", "small")
+    return _written(own.dropDuplicates(["sid"]), "ngram-signatures")
+
+
 def _written(frame: DataFrame, name: str) -> DataFrame:
     spark = frame.sparkSession
     path = new_path(spark, name)
@@ -152,7 +294,7 @@ def _written(frame: DataFrame, name: str) -> DataFrame:
 
 
 def tiles(heads: DataFrame) -> DataFrame:
-    """(band, token, sid, n) of the tiles that hold more than one set, and each one's first set."""
+    """(band, token, sid) of the tiles that hold more than one set."""
     token = Window.partitionBy("token")
     shared = (
         heads.where("head IS NOT NULL")
@@ -171,51 +313,60 @@ def tiles(heads: DataFrame) -> DataFrame:
     return (
         shared.withColumn("band", band)
         .withColumn("band", F.explode(bands))
-        .withColumn("first", F.min("sid").over(tile))
+        .withColumn("_first", F.min("sid").over(tile))
         .withColumn("_last", F.max("sid").over(tile))
-        .where("first < _last")
-        .drop("_last")
+        .where("_first < _last")
+        .select("band", "token", "sid")
     )
 
 
-#: Bits of the filter that picks the sets in tiles; one MB at any size of the input.
-FILTER_BITS = 1 << 23
+def rooted(tiled: DataFrame, roots: DataFrame | None) -> DataFrame:
+    """``tiled`` with the component ``root`` of each set; at first every set is its own."""
+    if roots is None:
+        return tiled.withColumn("root", F.col("sid"))
+    known = tiled.join(roots.toDF("sid", "root"), "sid", "left")
+    return known.withColumn("root", F.coalesce("root", "sid"))
+
 
+def stars(members: DataFrame) -> DataFrame:
+    """(a, b): for each set the one of another component that most of its tiles name.
 
-def tiled_sets(
-    docs: DataFrame, tiled: DataFrame, id_col: str = "doc_id", text_col: str = "text"
+    A tile names its smallest set of another component. Sets that share a passage meet in a
+    few tiles, copies in most.
+    """
+    tile = Window.partitionBy("band", "token")
+    lowest = F.min(F.struct("sid", "root")).over(tile)
+    other = F.min(F.when(F.col("root") != F.col("_low.root"), F.col("sid"))).over(tile)
+    named = members.withColumn("_low", lowest).withColumn("_other", other).select(
+        "sid",
+        F.when(F.col("root") != F.col("_low.root"), F.col("_low.sid"))
+        .otherwise(F.col("_other"))
+        .alias("named"),
+    )
+    votes = named.where("named IS NOT NULL").groupBy("sid", "named").count()
+    most = votes.groupBy("sid").agg(F.max(F.struct("count", "named")).alias("_most"))
+    return most.select(
+        F.least("sid", "_most.named").alias("a"), F.greatest("sid", "_most.named").alias("b")
+    ).distinct()
+
+
+def paired_sets(
+    docs: DataFrame, pairs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """(sid, n, tokens, bits), one row for each set in a tile, written once.
+    """(sid, tokens) of the sets in ``pairs``, one row each.
 
     The sets are built from the texts again instead of being kept, as most are in no
-    tile. A bitmap of fixed size over the wanted digests leaves the others out at the
+    pair. A bitmap of fixed size over the wanted digests leaves the others out at the
     scan; what it lets through besides is harmless.
     """
-    place = F.pmod(F.col("sid"), F.lit(FILTER_BITS))
-    wanted = np.zeros(FILTER_BITS // 8, np.uint8)
-    parts = (
-        tiled.select(place.alias("_at"))
-        .groupBy(F.bitmap_bucket_number("_at").alias("bucket"))
-        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("_at")).alias("bits"))
-    )
-    for bucket, bits in parts.collect():
-        # Places run from 0; the first is in a bucket of its own.
-        wanted_part = np.frombuffer(bits, np.uint8)
-        if bucket == 0:
-            wanted[0] |= wanted_part[0] & 1
-            continue
-        wanted_part = np.unpackbits(wanted_part, bitorder="little")
-        lo = (bucket - 1) * len(wanted_part) + 1
-        at = lo + np.flatnonzero(wanted_part)
-        np.bitwise_or.at(wanted, at >> 3, (1 << (at & 7)).astype(np.uint8))
+    wanted = filter_of(pairs.select(F.explode(F.array("a", "b"))))
     shared = docs.sparkSession.sparkContext.broadcast(wanted)
 
     def build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes, seen, filter_bits = _WordHashes(), set(), shared.value
+        shingler, seen, filter_bits = Shingler(), set(), shared.value
         for batch in batches:
             rows = []
-            for text in batch["_text"]:
-                tokens = shingles(text, hashes)
+            for tokens in shingler.batches(list(batch["_text"])):
                 if not len(tokens):
                     continue
                 sid = _digest(tokens)
@@ -224,21 +375,19 @@ def tiled_sets(
                     if len(seen) >= REMEMBERED:
                         seen.clear()
                     seen.add(sid)
-                    rows.append((sid, len(tokens), tokens, bitmap(tokens)))
-            yield pd.DataFrame(rows, columns=["sid", "n", "tokens", "bits"])
+                    rows.append((sid, tokens))
+            yield pd.DataFrame(rows, columns=["sid", "tokens"])
 
-    sets = _texts(docs, id_col, text_col).mapInPandas(
-        build, "sid long, n long, tokens array<long>, bits binary"
-    )
+    sets = _texts(docs, id_col, text_col).mapInPandas(build, "sid long, tokens array<long>")
     return _written(sets.dropDuplicates(["sid"]), "ngram-sets")
 
 
-def within_bound(pairs: DataFrame, unique: DataFrame) -> DataFrame:
+def within_bound(pairs: DataFrame, known: DataFrame) -> DataFrame:
     """The pairs (a, b) whose sizes and bitmaps allow a link."""
-    narrow = unique.select("sid", "n", "bits")
     both = pairs
+    known = known.select("sid", "n", "bits")
     for side in "ab":
-        both = both.join(narrow.toDF(side, f"n_{side}", f"bits_{side}"), side)
+        both = both.join(known.toDF(side, f"n_{side}", f"bits_{side}"), side)
     both = both.where(
         (F.col("n_a") * NUMERATOR <= F.col("n_b") * DENOMINATOR)
         & (F.col("n_b") * NUMERATOR <= F.col("n_a") * DENOMINATOR)
@@ -263,10 +412,9 @@ def within_bound(pairs: DataFrame, unique: DataFrame) -> DataFrame:
 
 def linked(pairs: DataFrame, unique: DataFrame) -> DataFrame:
     """The pairs (a, b) that are links, by exact intersection of their sorted hashes."""
-    arrays = unique.select("sid", "tokens")
     both = pairs
     for side in "ab":
-        both = both.join(arrays.toDF(side, f"tokens_{side}"), side)
+        both = both.join(unique.toDF(side, f"tokens_{side}"), side)
 
     def intersect(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -281,13 +429,14 @@ def linked(pairs: DataFrame, unique: DataFrame) -> DataFrame:
     return both.mapInPandas(intersect, "a long, b long")
 
 
-def open_pairs(tiled: DataFrame, roots: DataFrame, unique: DataFrame) -> DataFrame:
-    """Pairs of different components within the bound, from the tiles that hold several."""
+def open_pairs(members: DataFrame, known: DataFrame) -> DataFrame:
+    """Pairs of different components within the bound, from the tiles that hold several.
+
+    Rows carry the small bitmaps; the pairs that they leave are tested by the large ones.
+    """
     tile = Window.partitionBy("band", "token")
     several = (
-        tiled.drop("n").join(roots.toDF("sid", "root"), "sid", "left")
-        .withColumn("root", F.coalesce("root", "sid"))
-        .withColumn("_low", F.min("root").over(tile))
+        members.withColumn("_low", F.min("root").over(tile))
         .withColumn("_high", F.max("root").over(tile))
         .withColumn("_blocks", F.ceil(F.count("*").over(tile) / BLOCK).cast("int"))
         .where("_low < _high")
@@ -305,15 +454,16 @@ def open_pairs(tiled: DataFrame, roots: DataFrame, unique: DataFrame) -> DataFra
             "sid",
             "root",
         )
-        .join(unique.select("sid", "n", "bits"), "sid")
+        .join(known.select("sid", "n", F.col("small").alias("bits")), "sid")
     )
     keys = ["band", "token", "i", "j"]
-    return (
+    pairs = (
         dealt.repartition(*keys)
         .sortWithinPartitions(*keys)
         .mapInPandas(_test_blocks, "a long, b long")
         .distinct()
     )
+    return within_bound(pairs, known)
 
 
 def _test_blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -334,7 +484,7 @@ def _pairs_of_runs(rows: pd.DataFrame, starts: np.ndarray) -> pd.DataFrame:
     first, second, band = (rows[c].to_numpy() for c in ("i", "j", "band"))
     bits, found = rows["bits"].to_numpy(), []
     for lo, hi in zip(starts, starts[1:], strict=False):
-        size = max(64, 2 << int(band[lo])) // 8
+        size = small_width(int(band[lo])) // 8
         block = np.stack([folded(b, size) for b in bits[lo:hi]])
         home = n[lo:hi] < 2 << band[lo]
         across = first[lo] != second[lo]
@@ -360,14 +510,25 @@ def _pairs_of_runs(rows: pd.DataFrame, starts: np.ndarray) -> pd.DataFrame:
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id) for every document."""
     sets = set_heads(docs, id_col, text_col)
+    known = signatures(sets)
     tiled = stage(tiles(sets), "ngram-tiles")
-    unique = tiled_sets(docs, tiled, id_col, text_col)
-    stars = tiled.groupBy(F.col("sid").alias("b")).agg(F.min("first").alias("a")).where("a < b")
-    links = stage(linked(within_bound(stars, unique), unique), "ngram-links")
-    more = stage(
-        linked(open_pairs(tiled, components(links), unique), unique), "ngram-more-links"
-    )
-    roots = components(links.union(more))
+
+    def links_of(pairs: DataFrame) -> DataFrame:
+        pairs = stage(pairs, "ngram-pairs")
+        if pairs.isEmpty():
+            return pairs
+        arrays = paired_sets(docs, pairs, id_col, text_col)
+        return stage(linked(pairs, arrays), "ngram-links")
+
+    links, roots = None, None
+    for step in range(ROUNDS + 1):
+        members = rooted(tiled, roots)
+        if step < ROUNDS:
+            more = links_of(within_bound(stars(members), known))
+        else:
+            more = links_of(open_pairs(members, known))
+        links = more if links is None else links.union(more)
+        roots = components(links)
     rows = sets.select("doc_id", "n", "sid").join(roots.toDF("sid", "root"), "sid", "left")
     rows = rows.withColumn("root", F.coalesce("root", "sid"))
     smallest = rows.where("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("_least"))
