@@ -8,6 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as driver
+from reelrank.catalog import ORACLES, QUERIES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TABLES = (
@@ -36,7 +37,7 @@ def table(columns, rows):
     return [columns[i] for i in order], sorted(values, key=repr)
 
 
-@pytest.mark.parametrize("name", sorted(driver.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_matches_sql(spark, duck, name):
     got = driver.queries()[name](spark, SF_DIR)
     want = duck.sql(driver.oracle_sql()[name])
@@ -45,7 +46,7 @@ def test_matches_sql(spark, duck, name):
     assert table(got.columns, got.collect()) == expected
 
 
-@pytest.mark.parametrize("name", sorted(set(driver.queries()) - set(driver.oracle_sql())))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
 def test_model_queries(spark, name):
     params = {r["idx"]: r["coefficient"] for r in driver.queries()[name](spark, SF_DIR).collect()}
     assert sorted(params) == list(range(-1, 10))
