@@ -4,8 +4,9 @@ Every three consecutive lines that hold words are hashed. A window that occurs a
 a later document or further down in the same one, marks its three lines there; the marked
 positions of overlapping windows are merged and the lines removed. The first
 occurrence, by document id and position, stays, so each removed line is still there in an
-earlier place. Lines of more than WRAP words are wrapped at sentence ends (and every
-WRAP words where there are none), so a long passage on one line is found too, also
+earlier place. Lines of more than WRAP words are wrapped into units of UNIT to 2 * UNIT - 1 words
+at places that hashes of the neighbouring words decide, wherever the line starts; so 50 words that
+occur again hold three whole units that are cut alike, and a long passage on one line is found, also
 inside a longer line. Windows of fewer than LEAST_WORDS words don't count.
 
 Only one number per window is shuffled and grouped, with partial counts before the shuffle, so
@@ -18,62 +19,153 @@ empty table gives an empty result. Further columns, of any name but ``n_removed`
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reelrank.session import stage
 
-LINES, WRAP, LEAST_WORDS = 3, 16, 12
+#: Longer lines are wrapped, and a unit of a wrapped line has UNIT to 2 * UNIT - 1 words.
+LINES, WRAP, UNIT, LEAST_WORDS = 3, 8, 4, 12
 
-_SENTENCE_END = re.compile(r"(?<=[.!?])[^\S\n]+(?=\S)")
-_WORDS = re.compile(rf"(?:\S+\s*){{1,{WRAP}}}")
+#: Rounds after which what is undecided (long runs of one word) is decided place by place.
+ROUNDS = 12
+
+#: Characters of text that are cut together.
+TOGETHER = 500_000
+
+#: Scripts without spaces between words: a character of theirs counts as a word.
+SPACELESS = (
+    (0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3040, 0x30FF), (0x31F0, 0x31FF),
+    (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0x20000, 0x3FFFF),
+)
+
+_DECIDED = np.uint64(2**64 - 1)
+_SPACE = np.array([chr(c).isspace() for c in range(0x3002)])
+_SINGLE = np.zeros(0x40001, bool)
+for _first, _last in SPACELESS:
+    _SINGLE[_first : _last + 1] = True
+
+
+def _mixed(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
+    h = (h ^ (h >> np.uint64(33))) * np.uint64(0xC4CEB9FE1A85EC53)
+    return h ^ (h >> np.uint64(33))
+
+
+def _hashed(values: np.ndarray, firsts: np.ndarray) -> np.ndarray:
+    """Hashes of the runs of ``values`` that start at ``firsts``, the first of them at 0."""
+    sizes = np.diff(np.append(firsts, len(values)))
+    place = np.arange(len(values)) - np.repeat(firsts, sizes)
+    powers = np.cumprod(np.full(int(sizes.max()), 0x9E3779B97F4A7C15, np.uint64))
+    return _mixed(np.add.reduceat(values * powers[place], firsts))
+
+
+def cuts_of(order: np.ndarray) -> np.ndarray:
+    """Where units start: places of small ``order``, the smallest first, UNIT or more apart.
+
+    Of equal neighbours the left one comes first. Whether a place is cut depends on the few places
+    around it only; every undecided place lies within UNIT of a cut, so units are under 2 * UNIT.
+    """
+    reach = UNIT - 1
+    left = np.full(len(order) + 2 * reach, _DECIDED)
+    left[reach : reach + len(order)] = order
+    cut = np.zeros(len(left), bool)
+    steps = np.arange(1, UNIT)
+    at = np.flatnonzero(left < _DECIDED)
+    for _ in range(ROUNDS):
+        if not len(at):
+            break
+        own, before, after = left[at], left[at - 1], left[at + 1]
+        for k in steps[1:]:
+            before, after = np.minimum(before, left[at - k]), np.minimum(after, left[at + k])
+        chosen = at[(own < before) & (own <= after)]
+        cut[chosen] = True
+        for k in range(-reach, reach + 1):
+            left[chosen + k] = _DECIDED
+        at = at[left[at] < _DECIDED]
+    for k in at[np.lexsort((at, left[at]))].tolist():
+        if left[k] < _DECIDED:
+            cut[k] = True
+            left[k - reach : k + UNIT] = _DECIDED
+    return cut[reach : reach + len(order)]
+
+
+class Units:
+    """The units of texts: their short lines, and the pieces of their long ones."""
+
+    def __init__(self, texts: list[str]):
+        ends = np.cumsum([len(t) + 1 for t in texts])
+        self.texts, self.offsets = texts, ends - [len(t) + 1 for t in texts]
+        whole = "\n".join([*texts, ""])
+        codes = np.frombuffer(whole.encode("utf-32-le", "surrogatepass"), np.uint32)
+        space = _SPACE[np.minimum(codes, len(_SPACE) - 1)]
+        begin = ~space
+        begin[1:] &= space[:-1]
+        single = None
+        if codes.max() >= SPACELESS[0][0]:
+            single = _SINGLE[np.minimum(codes, len(_SINGLE) - 1)]
+            begin[1:] |= ~space[1:] & (single[1:] | single[:-1])
+        starts = np.flatnonzero(begin)
+        line_ends = np.flatnonzero(codes == 10) + 1
+        lines = np.r_[0, line_ends[:-1]]
+        words = np.empty(0, np.uint64)
+        if len(starts):
+            letters = _mixed(codes[starts[0] :].astype(np.uint64) + np.uint64(1))
+            letters[space[starts[0] :]] = 0
+            words = _hashed(letters, starts - starts[0])
+        cut = cuts_of(self._order(words, np.searchsorted(starts, lines)))
+        #: Where units begin in the joined texts, and which of them hold words.
+        self.begins = np.sort(np.r_[lines, starts[cut]])
+        firsts = np.searchsorted(starts, self.begins)
+        counts = np.diff(np.append(firsts, len(starts)))
+        self.holds = counts > 0
+        self.sizes, self.hashes = counts[self.holds], words
+        if len(words):
+            firsts = firsts[self.holds]
+            if single is not None:
+                glued = ~space[np.maximum(starts - 1, 0)]
+                glued[firsts] = False
+                words = words + glued.astype(np.uint64)
+            self.hashes = _hashed(words, firsts)
+
+    @staticmethod
+    def _order(words: np.ndarray, firsts: np.ndarray) -> np.ndarray:
+        """Hashes of the words where a long line may be cut, leaving UNIT words at its ends."""
+        sizes = np.diff(np.append(firsts, len(words)))
+        place = np.arange(len(words)) - np.repeat(firsts, sizes)
+        size = np.repeat(sizes, sizes)
+        may = (size > WRAP) & (place >= UNIT) & (size - place >= UNIT)
+        return np.where(may, words >> np.uint64(1), _DECIDED)
+
+    def of(self, k: int) -> list[str]:
+        """The units of a text; joined, they are the text again."""
+        at = self.offsets[k]
+        lo, hi = np.searchsorted(self.begins, [at, at + len(self.texts[k]) + 1])
+        bounds = [*(self.begins[lo:hi] - at).tolist(), len(self.texts[k])]
+        return [self.texts[k][a:b] for a, b in zip(bounds, bounds[1:], strict=False)]
+
+    def windows(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For each text the hashes of the windows of its units, and whether a window counts."""
+        n = max(0, len(self.hashes) - LINES + 1)
+        mixed, total = np.full(n, LINES, np.uint64), np.zeros(n, np.int64)
+        for k in range(LINES if n else 0):
+            mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15)
+            mixed += self.hashes[k : n + k]
+            mixed = (mixed ^ (mixed >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+            total += self.sizes[k : n + k]
+        places = np.searchsorted(self.begins[self.holds], [*self.offsets, self.begins[-1] + 1])
+        for lo, hi in zip(places.tolist(), places[1:].tolist(), strict=False):
+            hi = max(lo, hi - LINES + 1)
+            yield mixed[lo:hi].view(np.int64), total[lo:hi] >= LEAST_WORDS
 
 
 def lines_of(text: str) -> list[str]:
     """The text in lines, long ones wrapped; joined, they are the text again."""
-    out = []
-    *ended, last = text.split("\n")
-    for line in [*(x + "\n" for x in ended), last]:
-        if len(line) <= WRAP or len(line.split()) <= WRAP:
-            out.append(line)
-            continue
-        ends = [0, *(m.end() for m in _SENTENCE_END.finditer(line)), len(line)]
-        for a, b in zip(ends, ends[1:], strict=False):
-            part = line[a:b]
-            lead = len(part) - len(part.lstrip())
-            if len(part.split()) <= 2 * WRAP:
-                out.append(part)
-            else:
-                cuts = [m.end() for m in _WORDS.finditer(part, lead)]
-                out += [part[x:y] for x, y in zip([0, *cuts[:-1]], cuts, strict=True)]
-    return out
-
-
-def windows_of(text: str | None) -> tuple[list[int], np.ndarray, np.ndarray]:
-    """Places of the lines with words, window hashes, and whether a window counts."""
-    places, keys, sizes = [], [], []
-    for k, line in enumerate(lines_of(text or "")):
-        words = line.split()
-        if words:
-            places.append(k)
-            keys.append(xxhash.xxh64_intdigest(" ".join(words)))
-            sizes.append(len(words))
-    n = len(keys) - LINES + 1
-    if n < 1:
-        return places, np.empty(0, np.int64), np.empty(0, bool)
-    h, size = np.array(keys, np.uint64), np.array(sizes)
-    mixed, total = np.full(n, LINES, np.uint64), np.zeros(n, np.int64)
-    for k in range(LINES):
-        mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15) + h[k : n + k]
-        mixed = (mixed ^ (mixed >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-        total += size[k : n + k]
-    return places, mixed.view(np.int64), total >= LEAST_WORDS
+    return Units([text]).of(0)
 
 
 def without(text: str, starts: set[int]) -> tuple[str, int]:
@@ -84,6 +176,24 @@ def without(text: str, starts: set[int]) -> tuple[str, int]:
     return "".join([x for k, x in enumerate(lines) if k not in gone]), len(gone)
 
 
+def _windows(rows: Iterable[tuple]) -> Iterator[tuple]:
+    """(id, text hash, windows, whether they count) of rows; texts are cut many at a time."""
+
+    def cut() -> Iterator[tuple]:
+        found = Units([text for *_, text in waiting]).windows() if waiting else []
+        for (*keys, _), (windows, counts) in zip(waiting, found, strict=True):
+            yield *keys, windows, counts
+
+    waiting, size = [], 0
+    for *keys, text in rows:
+        waiting.append((*keys, text or ""))
+        size += len(text or "") + 1
+        if size >= TOGETHER:
+            yield from cut()
+            waiting, size = [], 0
+    yield from cut()
+
+
 def window_table(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(id, text_hash, windows, starts, again): a row per text with windows, written once.
 
@@ -95,8 +205,8 @@ def window_table(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     def build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
-            for key, text_hash, text in batch.itertuples(index=False, name=None):
-                _, windows, counts = windows_of(text)
+            texts = batch.itertuples(index=False, name=None)
+            for key, text_hash, windows, counts in _windows(texts):
                 at = np.flatnonzero(counts)
                 if not len(at):
                     continue
