@@ -7,7 +7,7 @@ occurrence, by document id and position, stays, so each removed line is still th
 earlier place. Lines of more than WRAP words are wrapped into units of UNIT to 2 * UNIT - 1 words
 at places that hashes of the neighbouring words decide, wherever the line starts; so 50 words that
 occur again hold three whole units that are cut alike, and a long passage on one line is found, also
-inside a longer line. Windows of fewer than LEAST_WORDS words don't count.
+inside a longer line. Every window counts, however short its lines.
 
 Only one number per window is shuffled and grouped, with partial counts before the shuffle, so
 a passage that a third of all documents share is no hot spot.
@@ -29,7 +29,10 @@ from pyspark.sql import functions as F
 from reelrank.session import stage
 
 #: Longer lines are wrapped, and a unit of a wrapped line has UNIT to 2 * UNIT - 1 words.
-LINES, WRAP, UNIT, LEAST_WORDS = 3, 8, 4, 12
+LINES, WRAP, UNIT = 3, 8, 4
+
+#: Words that a window needs: each of its lines holds one, so every window counts.
+LEAST_WORDS = LINES
 
 #: Rounds after which what is undecided (long runs of one word) is decided place by place.
 ROUNDS = 12
@@ -123,7 +126,7 @@ class Units:
         firsts = np.searchsorted(starts, self.begins)
         counts = np.diff(np.append(firsts, len(starts)))
         self.holds = counts > 0
-        self.sizes, self.hashes = counts[self.holds], words
+        self.hashes = words
         if len(words):
             firsts = firsts[self.holds]
             if single is not None:
@@ -148,19 +151,18 @@ class Units:
         bounds = [*(self.begins[lo:hi] - at).tolist(), len(self.texts[k])]
         return [self.texts[k][a:b] for a, b in zip(bounds, bounds[1:], strict=False)]
 
-    def windows(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """For each text the hashes of the windows of its units, and whether a window counts."""
+    def windows(self) -> Iterator[np.ndarray]:
+        """For each text the hashes of the windows of its units."""
         n = max(0, len(self.hashes) - LINES + 1)
-        mixed, total = np.full(n, LINES, np.uint64), np.zeros(n, np.int64)
+        mixed = np.full(n, LINES, np.uint64)
         for k in range(LINES if n else 0):
             mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15)
             mixed += self.hashes[k : n + k]
             mixed = (mixed ^ (mixed >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-            total += self.sizes[k : n + k]
         places = np.searchsorted(self.begins[self.holds], [*self.offsets, self.begins[-1] + 1])
         for lo, hi in zip(places.tolist(), places[1:].tolist(), strict=False):
             hi = max(lo, hi - LINES + 1)
-            yield mixed[lo:hi].view(np.int64), total[lo:hi] >= LEAST_WORDS
+            yield mixed[lo:hi].view(np.int64)
 
 
 def lines_of(text: str) -> list[str]:
@@ -177,12 +179,12 @@ def without(text: str, starts: set[int]) -> tuple[str, int]:
 
 
 def _windows(rows: Iterable[tuple]) -> Iterator[tuple]:
-    """(id, text hash, windows, whether they count) of rows; texts are cut many at a time."""
+    """(id, text hash, windows) of rows; texts are cut many at a time."""
 
     def cut() -> Iterator[tuple]:
         found = Units([text for *_, text in waiting]).windows() if waiting else []
-        for (*keys, _), (windows, counts) in zip(waiting, found, strict=True):
-            yield *keys, windows, counts
+        for (*keys, _), windows in zip(waiting, found, strict=True):
+            yield *keys, windows
 
     waiting, size = [], 0
     for *keys, text in rows:
@@ -206,13 +208,12 @@ def window_table(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         for batch in batches:
             rows = []
             texts = batch.itertuples(index=False, name=None)
-            for key, text_hash, windows, counts in _windows(texts):
-                at = np.flatnonzero(counts)
-                if not len(at):
+            for key, text_hash, windows in _windows(texts):
+                if not len(windows):
                     continue
-                _, first = np.unique(windows[at], return_index=True)
-                new = np.sort(at[first])
-                again = np.setdiff1d(at, new, assume_unique=True)
+                _, first = np.unique(windows, return_index=True)
+                new = np.sort(first)
+                again = np.setdiff1d(np.arange(len(windows)), new, assume_unique=True)
                 rows.append((key, text_hash, windows[new], new, again))
             yield pd.DataFrame(rows, columns=["id", "text_hash", "windows", "starts", "again"])
 

@@ -39,3 +39,22 @@ def test_line_dedup_leaves_no_passage_of_over_50_words(spark):
     assert set().union(*(d.split() for d in docs.values())) == set().union(
         *(d.split() for d in got.values())
     )
+
+
+def test_line_dedup_counts_windows_of_short_lines(spark):
+    menu = "".join(f"dish {k}\n" for k in range(20))
+    chinese = "".join(f"第{k}行的文字\n" for k in "一二三四五六七")
+    inside = "春眠不覺曉處處聞啼鳥夜來風雨聲花落知多少床前明月光疑是地上霜舉頭望明月低頭思故鄉"
+    docs = {
+        1: "One\n" + menu + "end",
+        2: "Two\n" + menu,
+        3: chinese,
+        4: "别的\n" + chinese,
+        5: "甲乙丙丁戊己庚辛壬癸" + inside,
+        6: "子丑寅卯辰巳午未" + inside,
+    }
+    df = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    got = {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(df).collect()}
+    assert [got[k] for k in (1, 3, 5)] == [docs[k] for k in (1, 3, 5)]
+    assert (got[2], got[4]) == ("Two\n", "别的\n")
+    assert len(got[6]) <= len(docs[6]) - 12
