@@ -3,7 +3,7 @@
 1. Urls are cut into host and path. Rules name a domain and a path prefix; the longest that
    fits decides, and what rules decide serves as labels unless others are given.
 2. Per host, paths become templates. Segments with digits keep only their shape; of the other segments
-   below a branch, those that are common stay, and the rest become one wildcard, as do all
+   below a branch, those on LEAST_PAGES pages or more may stay, and the rest become one wildcard, as do all
    segments beyond DEPTH.
 3. Branches of one parent whose share of blocked pages is statistically like that of all
    branches together (a two-sided test of proportions) are merged into the wildcard.
@@ -31,8 +31,8 @@ from reelrank.session import stage
 
 DEPTH = 4
 
-#: A segment stays if it has at least so many pages and this share of its branch's.
-LEAST_PAGES, LEAST_SHARE = 5, 0.02
+#: A segment stays only if it has at least so many pages, however many its branch has.
+LEAST_PAGES = 5
 
 #: Standard errors up to which branches count as alike, the smoothing weight, the limit.
 ALIKE, WEIGHT, LIMIT = 1.96, 5.0, 0.5
@@ -99,19 +99,17 @@ def template_table(grouped: DataFrame) -> DataFrame:
             .agg(*[F.sum(c).alias(c) for c in ("n", "labelled", "blocked")])
         )
         branch = children.groupBy("host", "template").agg(
-            F.sum("n").alias("all_n"),
             F.sum("labelled").alias("all_labelled"),
             F.sum("blocked").alias("all_blocked"),
         )
         share = F.col("all_blocked") / F.col("all_labelled")
         spread = F.sqrt(share * (1 - share) / F.col("labelled"))
         apart = F.abs(F.col("blocked") / F.col("labelled") - share) > ALIKE * spread
-        common = (F.col("n") >= LEAST_PAGES) & (F.col("n") >= F.col("all_n") * LEAST_SHARE)
         shaped = F.col("segment").contains("#") | (F.col("segment") == "**")
         stays = (
             children.where(F.col("n") >= LEAST_PAGES)
             .join(branch, ["host", "template"])
-            .where(common & ~shaped & (F.col("labelled") > 0) & apart)
+            .where(~shaped & (F.col("labelled") > 0) & apart)
             .select("host", "template", "segment", F.lit(True).alias("stays"))
         )
         name = F.when(F.col("segment") == "**", F.lit("/**")).otherwise(

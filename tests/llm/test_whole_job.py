@@ -2,7 +2,9 @@
 
 import random
 
-from reelrank.llm import line_dedup
+from pyspark.sql import functions as F
+
+from reelrank.llm import line_dedup, url_filters
 
 
 def spans(text, size):
@@ -58,3 +60,12 @@ def test_line_dedup_counts_windows_of_short_lines(spark):
     assert [got[k] for k in (1, 3, 5)] == [docs[k] for k in (1, 3, 5)]
     assert (got[2], got[4]) == ("Two\n", "别的\n")
     assert len(got[6]) <= len(docs[6]) - 12
+
+
+def test_url_section_stays_however_large_its_host(spark):
+    rows = [(f"http://h.test/main/p{'abc'[k % 3]}", 0) for k in range(5000)]
+    rows += [(f"http://h.test/small/p{'abc'[k % 3]}", 1 if k % 2 else None) for k in range(75)]
+    df = spark.createDataFrame(rows, "url string, bad int")
+    got = url_filters.judge(df, (), label=F.col("bad"))
+    found = {(r["path"].split("/")[1], r["verdict"]) for r in got.collect()}
+    assert found == {("main", "allow"), ("small", "block")}
