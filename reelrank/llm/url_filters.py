@@ -3,8 +3,8 @@
 1. Urls are cut into host and path. Rules name a domain and a path prefix; the longest that
    fits decides, and what rules decide serves as labels unless others are given.
 2. Per host, paths become templates. Segments with digits keep only their shape; of the other segments
-   below a branch, those on LEAST_PAGES pages or more may stay, and the rest become one wildcard, as do all
-   segments beyond DEPTH.
+   below a branch, those on LEAST_PAGES pages or more may stay, and the rest become one wildcard. Levels go on as
+   deep as a branch has segments and could still be split: with LEAST_PAGES pages, both blocked and not.
 3. Branches of one parent whose share of blocked pages is statistically like that of all
    branches together (a two-sided test of proportions) are merged into the wildcard.
 4. A template is rejected if its share of blocked pages, smoothed towards its host's
@@ -29,8 +29,6 @@ from pyspark.sql import functions as F
 
 from reelrank.session import stage
 
-DEPTH = 4
-
 #: A segment stays only if it has at least so many pages, however many its branch has.
 LEAST_PAGES = 5
 
@@ -77,58 +75,63 @@ def rule_of(rules: Sequence[Rule], host: Column, path: Column) -> Column:
 def shapes(path: Column) -> Column:
     """The segments of a path; runs of digits, and what holds them, are reduced to a shape."""
     shaped = F.regexp_replace(path, r"[0-9A-Fa-f-]*[0-9][0-9A-Fa-f-]*", "#")
-    segments = F.filter(F.split(shaped, "/"), lambda s: s != "")
-    deep = F.when(F.size(segments) > DEPTH, F.array(F.lit("**"))).otherwise(
-        F.array().cast("array<string>")
-    )
-    return F.concat(F.slice(segments, 1, DEPTH), deep)
+    return F.filter(F.split(shaped, "/"), lambda s: s != "")
 
 
 def template_table(grouped: DataFrame) -> DataFrame:
     """(host, shape, template) for the distinct shapes of ``grouped`` (host, shape, n, ...).
 
     Level by level: at each depth a branch is its host and the template so far, and its
-    children keep their segment or become ``*``.
+    children keep their segment or become ``*``. Below a branch that no test can split, as its
+    pages are few or all alike, every segment becomes ``*`` at once.
     """
-    rows = grouped.withColumn("template", F.lit(""))
-    for depth in range(DEPTH + 1):
+    counts = ("n", "labelled", "blocked")
+    rows, parts, depth = grouped.withColumn("template", F.lit("")), [], 0
+    while True:
         segment = F.get("shape", F.lit(depth))
-        children = (
+        branch = (
             rows.where(segment.isNotNull())
-            .groupBy("host", "template", segment.alias("segment"))
-            .agg(*[F.sum(c).alias(c) for c in ("n", "labelled", "blocked")])
+            .groupBy("host", "template")
+            .agg(*[F.sum(c).alias(f"all_{c}") for c in counts])
+            .where(F.col("all_n") >= LEAST_PAGES)
+            .where("all_blocked > 0 AND all_blocked < all_labelled")
+            .drop("all_n")
         )
-        branch = children.groupBy("host", "template").agg(
-            F.sum("labelled").alias("all_labelled"),
-            F.sum("blocked").alias("all_blocked"),
+        # Written, as it is read several times by the next level, so the plans don't multiply.
+        found = stage(rows.join(branch, ["host", "template"], "left"), "url-branches")
+        splits = F.col("all_labelled").isNotNull() & segment.isNotNull()
+        rest = F.repeat(F.lit("/*"), F.size("shape") - depth)
+        parts.append(
+            found.where(~splits).select(
+                "host", "shape", *counts, F.concat("template", rest).alias("template")
+            )
         )
+        rows = found.where(splits).withColumn("segment", segment)
+        if rows.isEmpty():
+            break
+        children = rows.groupBy(
+            "host", "template", "segment", "all_labelled", "all_blocked"
+        ).agg(*[F.sum(c).alias(c) for c in counts])
         share = F.col("all_blocked") / F.col("all_labelled")
         spread = F.sqrt(share * (1 - share) / F.col("labelled"))
         apart = F.abs(F.col("blocked") / F.col("labelled") - share) > ALIKE * spread
-        shaped = F.col("segment").contains("#") | (F.col("segment") == "**")
         stays = (
             children.where(F.col("n") >= LEAST_PAGES)
-            .join(branch, ["host", "template"])
-            .where(~shaped & (F.col("labelled") > 0) & apart)
+            .where(~F.col("segment").contains("#") & (F.col("labelled") > 0) & apart)
             .select("host", "template", "segment", F.lit(True).alias("stays"))
         )
-        name = F.when(F.col("segment") == "**", F.lit("/**")).otherwise(
-            F.when(F.col("stays"), F.concat(F.lit("/"), "segment")).otherwise(F.lit("/*"))
-        )
-        deeper = (
-            rows.withColumn("segment", segment)
-            .join(stays, ["host", "template", "segment"], "left")
-            .withColumn(
-                "template",
-                F.when(F.col("segment").isNull(), F.col("template")).otherwise(
-                    F.concat("template", name)
-                ),
-            )
-            .drop("segment", "stays")
+        name = F.when(F.col("stays"), F.concat(F.lit("/"), "segment")).otherwise(F.lit("/*"))
+        rows = stage(
+            rows.join(stays, ["host", "template", "segment"], "left").select(
+                "host", "shape", *counts, F.concat("template", name).alias("template")
+            ),
+            "url-level",
         )
-        # A level is read three times by the next one; written, the plans don't multiply.
-        rows = stage(deeper, "url-level")
-    return rows
+        depth += 1
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.union(part)
+    return out
 
 
 def templates(pages: DataFrame) -> DataFrame:

@@ -69,3 +69,15 @@ def test_url_section_stays_however_large_its_host(spark):
     got = url_filters.judge(df, (), label=F.col("bad"))
     found = {(r["path"].split("/")[1], r["verdict"]) for r in got.collect()}
     assert found == {("main", "allow"), ("small", "block")}
+
+
+def test_url_templates_differ_at_any_depth(spark):
+    rows = [
+        (f"http://h.test/a/b/c/d/e/f/{name}/p{'abc'[k % 3]}", bad if k % 2 else None)
+        for k in range(60)
+        for name, bad in (("spam", 1), ("news", 0), ("blog", 0))
+    ]
+    df = spark.createDataFrame(rows, "url string, bad int")
+    got = url_filters.judge(df, (), label=F.col("bad")).collect()
+    found = {(r["path"].split("/")[7], r["verdict"]) for r in got}
+    assert found == {("spam", "block"), ("news", "allow"), ("blog", "allow")}
