@@ -11,8 +11,9 @@ A text's cost is its mean cross-entropy per character, so long and short texts c
 language of least cost wins. Its confidence is calibrated: costs are standardised by the mean and
 deviation of the language's training texts; ``rejected`` marks texts that cost far more than those.
 
-Hashes are cut to HASH_BITS bits. That bounds a model at any size of the corpus: at most
-2 ** HASH_BITS n-grams an order and language; rarer collisions only blur a count.
+Models hold every n-gram of the corpus under a hash of HASH_BITS bits and are written as one table.
+One of up to BROADCAST_ENTRIES entries goes to all workers. A larger one stays with Spark: the n-grams
+of the distinct words of the texts are joined to it, and their costs to the words of each text.
 
 Defined cases: null texts and texts without a letter are ``und`` with score 0. Rows are judged one
 by one: ties go to the first language in code-point order, repeated rows are judged alike, and
@@ -22,17 +23,21 @@ without any every text is ``und``.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reelrank.session import stage
 
-ORDER, HASH_BITS, DISCOUNT = 4, 20, 0.75
+ORDER, HASH_BITS, DISCOUNT = 4, 63, 0.75
+
+#: Entries of all models together up to which they are sent to the workers, 16 bytes each; it decides
+#: where costs are computed, not what they are.
+BROADCAST_ENTRIES = 4_000_000
 
 #: Characters that the lowest order takes as equally likely, and those that count as evidence.
 UNIFORM, EVIDENCE = 2000, 30
@@ -150,8 +155,7 @@ def estimates(counted: DataFrame) -> DataFrame:
             batch["key"] = [_key(g) for g in batch["gram"]]
             yield batch[["lang", "size", "kind", "key", "value"]]
 
-    hashed = out.mapInPandas(keyed, "lang string, size int, kind string, key long, value double")
-    return hashed.groupBy("lang", "size", "kind", "key").agg(F.max("value").alias("value"))
+    return out.mapInPandas(keyed, "lang string, size int, kind string, key long, value double")
 
 
 def _key(gram: str) -> int:
@@ -197,24 +201,42 @@ def _lookup(table: tuple[np.ndarray, np.ndarray], keys: np.ndarray, missing: flo
     return np.where(hashes[at] == keys, values[at], missing)
 
 
-def learn(train: DataFrame) -> dict[str, LanguageModel]:
-    """A model per language from all rows of ``train`` (lang, text).
+class Models(Mapping):
+    """The models of all languages: a written table, and a language's arrays when asked for."""
 
-    What reaches the driver is bounded by the hashes (see above), not by the corpus.
-    """
-    rows = estimates(gram_counts(word_counts(train))).toArrow().to_pandas().sort_values("key")
-    models = {}
-    for lang, own in sorted(rows.groupby("lang"), key=lambda pair: pair[0]):
-        tables = {
-            kind: [
-                (part["key"].to_numpy(np.uint64), part["value"].to_numpy(np.float64))
-                for size in range(1, ORDER + 1)
-                for part in (own[(own["kind"] == kind) & (own["size"] == size)],)
-            ]
-            for kind in "pb"
-        }
-        models[lang] = LanguageModel(tables["p"], tables["b"], 1.0 / UNIFORM)
-    return models
+    def __init__(self, entries: DataFrame):
+        self.entries = entries
+        sizes = entries.groupBy("lang").count().collect()
+        self.sizes = {r["lang"]: r["count"] for r in sorted(sizes, key=lambda r: r["lang"])}
+        self._loaded: dict[str, LanguageModel] = {}
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self.sizes)
+
+    def __len__(self) -> int:
+        return len(self.sizes)
+
+    def __getitem__(self, lang: str) -> LanguageModel:
+        if lang not in self.sizes:
+            raise KeyError(lang)
+        if lang not in self._loaded:
+            own = self.entries.where(F.col("lang") == lang).drop("lang")
+            own = own.toArrow().to_pandas().sort_values("key")
+            tables = {
+                kind: [
+                    (part["key"].to_numpy(np.uint64), part["value"].to_numpy(np.float64))
+                    for size in range(1, ORDER + 1)
+                    for part in (own[(own["kind"] == kind) & (own["size"] == size)],)
+                ]
+                for kind in "pb"
+            }
+            self._loaded[lang] = LanguageModel(tables["p"], tables["b"], 1.0 / UNIFORM)
+        return self._loaded[lang]
+
+
+def learn(train: DataFrame) -> Models:
+    """A model per language from all rows of ``train`` (lang, text)."""
+    return Models(stage(estimates(gram_counts(word_counts(train))), "language-models"))
 
 
 class Scorer:
@@ -260,14 +282,22 @@ class Scorer:
 
 
 def identify(
-    docs: DataFrame, models: dict[str, LanguageModel], id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame,
+    models: Models,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    entries: int = BROADCAST_ENTRIES,
 ) -> DataFrame:
     """(doc_id, lang_pred, cost, score) of every text, before rejection.
 
     ``score`` is the winner's posterior over at most EVIDENCE characters at the text's mean costs.
+    Models of more than ``entries`` entries are joined instead of sent to the workers.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(models)
-    id_type = docs.schema[id_col].dataType.simpleString()
+    texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_text"))
+    result = f"doc_id {docs.schema[id_col].dataType.simpleString()}, lang_pred string, cost double, score double"
+    if sum(models.sizes.values()) > entries:
+        return _identify_joined(texts, models, result)
+    shared = docs.sparkSession.sparkContext.broadcast(dict(models))
 
     def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         scorer, names = Scorer(shared.value), np.array([*shared.value, UNDETERMINED], object)
@@ -277,9 +307,103 @@ def identify(
                 bits, sizes = scorer.score(list(part["_text"]))
                 yield pd.DataFrame({"doc_id": part["doc_id"], **_verdicts(bits, sizes, names)})
 
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_text")).mapInPandas(
-        judge, f"doc_id {id_type}, lang_pred string, cost double, score double"
+    return texts.mapInPandas(judge, result)
+
+
+def gram_costs(grams: DataFrame, models: Models) -> DataFrame:
+    """(gram, bits): the cost of the last character of each n-gram under every model.
+
+    ``grams`` (gram) are distinct and have the longest context that there is.
+    """
+
+    def looked_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for gram in batch["gram"]:
+                for size in range(1, len(gram) + 1):
+                    rows.append((gram, size, "p", _key(gram[-size:])))
+                    rows.append((gram, size, "b", _key(gram[-size:-1])))
+            if rows:
+                yield pd.DataFrame(rows, columns=["gram", "size", "kind", "key"])
+
+    asked = grams.mapInPandas(looked_up, "gram string, size int, kind string, key long")
+    names = list(models)
+    values = asked.join(models.entries, ["size", "kind", "key"]).groupBy("gram", "lang")
+    values = values.agg(
+        *[
+            F.max(F.when((F.col("size") == size) & (F.col("kind") == kind), F.col("value"))).alias(
+                f"{kind}{size}"
+            )
+            for size in range(1, ORDER + 1)
+            for kind in "pb"
+        ]
+    )
+    # Every language has a context of order 1, so each n-gram has a row for each.
+    p = F.lit(1.0 / UNIFORM)
+    for size in range(1, ORDER + 1):
+        p = F.coalesce(f"p{size}", F.lit(0.0)) + F.coalesce(f"b{size}", F.lit(1.0)) * p
+    bits = values.select("gram", "lang", (-F.log2(F.greatest(p, F.lit(1e-12)))).alias("bits"))
+    return bits.groupBy("gram").agg(
+        F.array(*[F.max(F.when(F.col("lang") == n, F.col("bits"))) for n in names]).alias("bits")
+    )
+
+
+def _identify_joined(texts: DataFrame, models: Models, result: str) -> DataFrame:
+    """``identify`` by joins: texts to words, words to n-grams, n-grams to the models."""
+    names = list(models)
+    rows = stage(texts.withColumn("_row", F.monotonically_increasing_id()), "language-texts")
+
+    def words_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = []
+            for row, text in zip(batch["_row"], batch["_text"], strict=True):
+                counts: dict[str, int] = {}
+                for raw in (text or "").encode("utf-8").split():
+                    word = cleaned(raw)
+                    counts[word] = counts.get(word, 0) + 1
+                counts.pop("", None)
+                found += [(row, word, n) for word, n in counts.items()]
+            if found:
+                yield pd.DataFrame(found, columns=["_row", "word", "n"])
+
+    used = stage(
+        rows.select("_row", "_text").mapInPandas(words_of, "_row long, word string, n long"),
+        "language-words",
+    )
+    framed = F.concat(F.lit(" "), "word", F.lit(" "))
+    grams = F.transform(
+        F.sequence(F.lit(2), F.length("word") + 2),
+        lambda i: F.substring(framed, F.greatest(i - (ORDER - 1), F.lit(1)), F.least(i, F.lit(ORDER))),
     )
+    uses = stage(
+        used.select("word").distinct().select("word", F.explode(grams).alias("gram")),
+        "language-uses",
+    )
+
+    def added(weight: Column) -> Column:
+        return F.array(*[F.sum(F.col("bits")[k] * weight) for k in range(len(names))])
+
+    costs = uses.join(gram_costs(uses.select("gram").distinct(), models), "gram")
+    costs = costs.groupBy("word").agg(added(F.lit(1.0)).alias("bits"))
+    totals = (
+        used.join(costs, "word")
+        .groupBy("_row")
+        .agg(
+            added(F.col("n")).alias("bits"),
+            F.sum(F.col("n") * (F.length("word") + 1)).alias("size"),
+        )
+    )
+
+    def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known, none = np.array([*names, UNDETERMINED], object), np.zeros(len(names))
+        for batch in batches:
+            if len(batch):
+                bits = np.array([none if b is None else b for b in batch["bits"]], float)
+                sizes = batch["size"].fillna(0).to_numpy(np.int64)
+                yield pd.DataFrame({"doc_id": batch["doc_id"], **_verdicts(bits, sizes, known)})
+
+    found = rows.select("_row", "doc_id").join(totals, "_row", "left")
+    return found.select("doc_id", "bits", "size").mapInPandas(judge, result)
 
 
 def _verdicts(bits: np.ndarray, sizes: np.ndarray, names: np.ndarray) -> dict:

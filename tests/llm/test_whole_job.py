@@ -4,7 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from reelrank.llm import line_dedup, url_filters
+from reelrank.llm import language_id, line_dedup, url_filters
 
 
 def spans(text, size):
@@ -81,3 +81,27 @@ def test_url_templates_differ_at_any_depth(spark):
     got = url_filters.judge(df, (), label=F.col("bad")).collect()
     found = {(r["path"].split("/")[7], r["verdict"]) for r in got}
     assert found == {("spam", "block"), ("news", "allow"), ("blog", "allow")}
+
+
+def test_language_model_keeps_every_gram(spark):
+    rng = random.Random(12)
+    letters = [chr(0x4E00 + k) for k in range(3000)]
+    words = {"".join(rng.choices(letters, k=4)) for _ in range(20_000)}
+    rows = [("zz", " ".join(words)), ("aa", "alpha beta gamma")]
+    models = language_id.learn(spark.createDataFrame(rows, "lang string, text string"))
+    framed = [f" {w} " for w in words]
+    grams = {w[k : k + 4] for w in framed for k in range(3)}
+    assert len(models["zz"].grams[3][0]) == len(grams)
+    assert len(set(models["zz"].grams[3][0].tolist())) == len(grams)
+
+
+def test_languages_by_joins_equal_those_by_broadcast(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "lang", "text")
+    more = [(-1, "en", None), (-2, "en", ""), (-2, "en", "12 !"), (None, "en", "word \u00e9t\u00e9 \U0001f600")]
+    docs = docs.union(spark.createDataFrame(more, docs.schema))
+    models = language_id.learn(docs.where("doc_id >= 0 AND doc_id % 2 = 0"))
+    wanted = sorted(map(tuple, language_id.identify(docs, models).collect()), key=repr)
+    joined = sorted(map(tuple, language_id.identify(docs, models, entries=0).collect()), key=repr)
+    assert len(wanted) == len(joined)
+    for a, b in zip(wanted, joined, strict=True):
+        assert a[:2] == b[:2] and abs(a[2] - b[2]) < 1e-9 and abs(a[3] - b[3]) < 1e-9
