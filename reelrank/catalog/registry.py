@@ -63,7 +63,8 @@ class Inputs:
         return [stream.where(part == n) for n in range(count)]
 
     def early(self) -> DataFrame:
-        return self.stream().where(F.col("batch_day") <= F.lit(CUTOFF).cast("date"))
+        day = F.coalesce("batch_day", F.lit(CUTOFF).cast("date"))
+        return self.stream().where(day <= F.lit(CUTOFF).cast("date"))
 
     def late(self) -> DataFrame:
         return self.stream().where(F.col("batch_day") > F.lit(CUTOFF).cast("date"))
