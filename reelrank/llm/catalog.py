@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelrank.llm import (
+    centroid_clusters,
     language_id,
     line_dedup,
     mixture,
@@ -239,3 +240,56 @@ def op3_url_filters(spark, sf_dir):
     return url_filters.judge(pages, URL_RULES).select(
         "page_id", "host", "path", "rule", "verdict", "template", "purity"
     )
+
+
+def _rounds_sql(rounds: int, k: int) -> str:
+    """DuckDB CTEs: assignments and centroids of every round."""
+    parts = []
+    for r in range(rounds + 1):
+        parts.append(f"""
+a{r} AS MATERIALIZED (
+  SELECT rid, arg_min(n, [CAST(dist AS HUGEINT), n]) AS n, min(dist) AS dist
+  FROM (SELECT v.rid, c.n, CAST(sum((v.x - c.x) * (v.x - c.x)) AS BIGINT) AS dist
+        FROM parts v JOIN c{r} c USING (i) GROUP BY v.rid, c.n) GROUP BY rid)""")
+        if r < rounds:
+            parts.append(f"""
+c{r + 1} AS MATERIALIZED (
+  SELECT c.n, c.i, coalesce(m.x, c.x) AS x FROM c{r} c LEFT JOIN (
+    SELECT n, i, CAST(CASE WHEN s % t < 0 THEN s // t - 1 ELSE s // t END AS BIGINT) AS x
+    FROM (SELECT a.n, p.i, sum(p.x) AS s, count(*) AS t
+          FROM a{r} a JOIN parts p USING (rid) GROUP BY a.n, p.i)) m USING (n, i))""")
+    return ",".join(parts)
+
+
+@query(
+    "op13_centroid_clusters",
+    f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, vec_id,
+         list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS xs
+  FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: isfinite(x))) = 64),
+parts AS MATERIALIZED (
+  SELECT rid, unnest(xs) AS x, generate_subscripts(xs, 1) AS i FROM kept),
+firsts AS (
+  SELECT rid, row_number() OVER (ORDER BY sha256('3:' || vec_id)) - 1 AS n FROM kept
+  ORDER BY n LIMIT 8),
+c0 AS MATERIALIZED (SELECT n, i, x FROM firsts JOIN parts USING (rid)),
+{_rounds_sql(10, 8)},
+digests AS (SELECT n, sha256(string_agg(x, ',' ORDER BY i)) AS centroid_sha256 FROM c10 GROUP BY n)
+SELECT vec_id, CAST(n AS INT) AS cluster, dist AS distance,
+       CAST(sum(dist) OVER (PARTITION BY n) AS BIGINT) AS cluster_inertia,
+       CAST(sum(dist) OVER () AS BIGINT) AS inertia, centroid_sha256
+FROM a10 JOIN kept USING (rid) JOIN digests USING (n)
+""",
+)
+def op13_centroid_clusters(spark, sf_dir):
+    members, centroids = centroid_clusters.cluster(table(spark, sf_dir, "embeddings"))
+    return centroid_clusters.with_inertia(members, centroids).select(
+        F.col("id").alias("vec_id"),
+        "cluster",
+        "distance",
+        "cluster_inertia",
+        "inertia",
+        "centroid_sha256",
+    )
