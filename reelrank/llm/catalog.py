@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelrank.llm import (
+    benchmark_overlap,
     centroid_clusters,
     language_id,
     line_dedup,
@@ -293,3 +294,54 @@ def op13_centroid_clusters(spark, sf_dir):
         "inertia",
         "centroid_sha256",
     )
+
+
+@query(
+    "op12_benchmark_overlap",
+    r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents),
+b AS (
+  SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM benchmark),
+bw AS (
+  SELECT DISTINCT item, len(w) AS span, array_to_string(w, ' ') AS win
+  FROM (SELECT item, unnest(CASE WHEN len(words) < 10 THEN [words] ELSE list_transform(
+               range(1, len(words) - 8), lambda i: words[i:i + 9]) END) AS w
+        FROM b WHERE len(words) > 0)),
+dw AS (SELECT rid, unnest(words) AS word, generate_subscripts(words, 1) AS i FROM d),
+ten AS (
+  SELECT rid, i, list(word) OVER (PARTITION BY rid ORDER BY i
+                                  ROWS BETWEEN CURRENT ROW AND 9 FOLLOWING) AS w FROM dw),
+hits AS (
+  SELECT DISTINCT rid, i, t.span, item
+  FROM (SELECT rid, i, s.span, array_to_string(w[1:s.span], ' ') AS win
+        FROM ten, (SELECT DISTINCT span FROM bw) s WHERE len(w) >= s.span) t
+  JOIN bw USING (span, win)),
+covered AS (
+  SELECT rid, count(DISTINCT i + k) AS n_hit
+  FROM (SELECT rid, i, unnest(range(span)) AS k FROM hits) GROUP BY rid),
+found AS (
+  SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT rid, item FROM hits) GROUP BY rid)
+SELECT doc_id, CAST(coalesce(len(words), 0) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+       coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN covered USING (rid) LEFT JOIN found USING (rid)
+""",
+)
+def op12_benchmark_overlap(spark, sf_dir):
+    found = benchmark_overlap.overlaps(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+    return benchmark_overlap.contamination(found).select(
+        F.col("id").alias("doc_id"),
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
