@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from reelrank.llm import (
     benchmark_overlap,
     centroid_clusters,
+    conversation_trie,
     language_id,
     line_dedup,
     mixture,
@@ -345,3 +346,71 @@ def op12_benchmark_overlap(spark, sf_dir):
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"),
     )
+
+
+def _crc_steps() -> str:
+    """DuckDB CTEs: the table of crc32 by its rule, eight shifts of each byte."""
+    step = "CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END"
+    parts = ["t0 AS (SELECT range AS i, range AS v FROM range(256))"]
+    parts += [f"t{k + 1} AS (SELECT i, {step} AS v FROM t{k})" for k in range(8)]
+    return ",\n".join(parts)
+
+
+@query(
+    "op11_conversation_trie",
+    f"""
+WITH RECURSIVE {_crc_steps()},
+turns AS (
+  SELECT conv_id, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+           md5(len(role) || ':' || role || text)) AS p
+  FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+        FROM conversations WHERE conv_id IS NOT NULL)),
+sizes AS (SELECT conv_id, count(*) AS n FROM turns GROUP BY conv_id),
+crc AS (
+  SELECT conv_id, CAST(conv_id AS VARCHAR) AS s, 4294967295 AS c FROM sizes
+  UNION ALL
+  SELECT conv_id, substr(s, 2), xor(c >> 8, v) FROM crc JOIN t8 ON i = xor(c, ascii(s)) & 255
+  WHERE s <> ''),
+c AS (
+  SELECT s.conv_id, s.n, h, least(h, coalesce(b.n, 0)) AS kept, s.conv_id - s.conv_id % 5 AS base
+  FROM sizes s
+  JOIN (SELECT conv_id, xor(c, 4294967295) % 9 AS h FROM crc WHERE s = '') USING (conv_id)
+  LEFT JOIN sizes b ON b.conv_id = s.conv_id - s.conv_id % 5),
+built AS (
+  SELECT c.conv_id, p AS d, role, text FROM c JOIN turns t ON t.conv_id = base AND p <= h
+  UNION ALL
+  SELECT conv_id, kept + p - h, role, text FROM c JOIN turns USING (conv_id) WHERE p > h),
+paths AS (
+  SELECT *, lag(node) OVER (PARTITION BY conv_id ORDER BY d) AS parent,
+         max(d) OVER (PARTITION BY conv_id) AS length
+  FROM (SELECT conv_id, d, strlen(text) AS bytes,
+               md5(string_agg(len(role) || ':' || len(text) || ':' || role || text, '')
+                   OVER (PARTITION BY conv_id ORDER BY d)) AS node FROM built
+        UNION ALL SELECT conv_id, 0, 0, '' FROM c)),
+nodes AS (
+  SELECT node, d, any_value(parent) AS parent, min(conv_id) AS conv_id, count(*) AS n_convs,
+         (count(*) - 1) * min(bytes) AS saved FROM paths GROUP BY node, d),
+kids AS (SELECT parent AS node, count(*) AS n_children FROM nodes GROUP BY parent),
+own AS (SELECT *, coalesce(n_children, 0) AS n_kids FROM nodes LEFT JOIN kids USING (node)),
+below AS (
+  SELECT p.node, sum(saved) AS saved_tokens, sum(CASE WHEN n_kids = 0 THEN 1 ELSE 0 END) AS n_leaves
+  FROM own o JOIN paths p ON p.conv_id = o.conv_id AND p.d <= o.d GROUP BY p.node),
+ends AS (
+  SELECT node, string_agg(conv_id, ',' ORDER BY conv_id) AS ids FROM paths
+  WHERE d = length GROUP BY node)
+SELECT o.conv_id, CAST(o.d AS BIGINT) AS depth, up.conv_id AS parent_conv_id, o.n_convs,
+       o.n_kids AS n_children, CAST(n_leaves AS BIGINT) AS n_leaves,
+       CAST(saved_tokens AS BIGINT) AS saved_tokens, sha256(coalesce(ids, '')) AS ends_sha256
+FROM own o JOIN below USING (node) LEFT JOIN ends USING (node)
+LEFT JOIN nodes up ON up.node = o.parent
+""",
+)
+def op11_conversation_trie(spark, sf_dir):
+    turns = conversation_trie.turns_of(table(spark, sf_dir, "conversations"))
+    rows = conversation_trie.spliced(
+        turns,
+        base=F.col("conv") - F.col("conv") % 5,
+        head=F.crc32(F.col("conv").cast("string")) % 9,
+        longest_head=8,
+    )
+    return conversation_trie.trie(rows)
