@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelrank.catalog.registry import CUTOFF, SLICE_SQL, Inputs, query, rounded, sql, text
+from reelrank.catalog.registry import CUTOFF, Inputs, query, rounded, sql, text
 from reelrank.operators.counts import (
     features_single_pass,
     negative_counts,
@@ -366,16 +366,12 @@ REPLAY_SQL = sql(
     "stream movie_genres",
     latest_metrics_sql("stream", "greatest(batch_day, DATE '2024-01-15')"),
 )
-HALVES_LAST_SQL = sql(
-    "stream movie_genres", latest_metrics_sql("stream", f"batch_day > DATE '{CUTOFF}'")
-)
 CUMULATIVE_SQL = sql("stream movie_genres", latest_metrics_sql("stream", "1"))
 HISTORY_METRICS_SQL = sql("history movie_genres", latest_metrics_sql("history", "1"))
-SLICE_LAST_SQL = sql("stream movie_genres", latest_metrics_sql("stream", SLICE_SQL))
-PER_SLICE_SQL = sql(
+PER_DAY_SQL = sql(
     "stream movie_genres",
     f"""SELECT CAST(batch AS VARCHAR) AS batch, entity, id, metric, round(value, 6) AS value
-FROM ({long_metrics("stream", SLICE_SQL)})""",
+FROM ({long_metrics("stream", "batch_day")})""",
 )
 
 

@@ -13,9 +13,9 @@ def rating_body():
     return body_json(F.col("userId"), F.col("movieId"), F.col("rating"), F.col("timestamp"))
 
 
-def to_messages(ratings: DataFrame) -> DataFrame:
-    """Ratings as (key, value JSON) payloads."""
-    return ratings.select("key", rating_body().alias("value"))
+def to_messages(ratings: DataFrame, *more: str) -> DataFrame:
+    """Ratings as (key, value JSON) payloads, and the columns ``more``."""
+    return ratings.select("key", rating_body().alias("value"), *more)
 
 
 def publish_kafka(messages: DataFrame, servers: str, topic: str = TOPIC) -> None:
@@ -28,9 +28,10 @@ def publish_kafka(messages: DataFrame, servers: str, topic: str = TOPIC) -> None
     )
 
 
-def publish_files(messages: DataFrame, path: str) -> None:
-    """Appends messages as files, for the file stream source."""
-    messages.select("key", "value").write.mode("append").parquet(path)
+def publish_files(messages: DataFrame, path: str, *folders: str) -> None:
+    """Appends messages as files, for the file stream source, in folders by the given columns."""
+    writer = messages.select("key", "value", *folders).write.mode("append")
+    (writer.partitionBy(*folders) if folders else writer).parquet(path)
 
 
 def write_envelopes(ratings: DataFrame, path: str, nested: bool = False) -> None:

@@ -1,35 +1,33 @@
 """Rating stream jobs.
 
-Each job is a function ``(ratings, batch_id) -> None`` for ``foreachBatch``.
-A batch is what one trigger delivers; column ``batch`` holds its id.
+A job is a set of outputs (``outputs``) that one stream keeps in one set of tables (``live``). Each
+micro-batch is computed once, and all its changes become visible together.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from threading import Event
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from reelrank.functions.genres import genre_hits, genre_mask
-from reelrank.functions.polarity import is_positive, neg_count, pos_count
-from reelrank.operators.counts import rating_counts
-from reelrank.operators.genres import explode_genres
-from reelrank.operators.topk import latest_genre_lists, popular_of_counts, top_per_group
-from reelrank.operators.upsert import append_bounded, latest_by_key
-from reelrank.plans.feature_tables import microbatch_metrics, with_ratios
-from reelrank.schemas import POPULAR_SIZE, RECENT_SIZE, TOP_K
+from reelrank.functions.polarity import is_positive
+from reelrank.plans.feature_tables import METRICS, with_ratios
 from reelrank.sources.files import decode_ratings
-from reelrank.streaming.state import BatchLog, FoldedList
+from reelrank.streaming.live import Append, LiveTables
+from reelrank.streaming.outputs import DAY, Output, all_rows, newest_features
 
-Job = Callable[[DataFrame, int], None]
 TRIGGER = {"processingTime": "30 seconds"}
 
+#: The table of malformed messages, and the counters that a progress report carries.
+BAD, COUNTERS = "bad_messages", "messages"
+
 
 def ratings_of(messages: DataFrame, on_bad: str = "quarantine") -> DataFrame:
-    """Messages -> ratings with ``ts`` and ``seq`` giving the arrival order.
+    """Messages -> ratings with ``ts`` and ``seq`` giving the arrival order, and the ``day`` of ``ts``.
 
     Timestamps may be text, or seconds or milliseconds since 1970; what is neither counts as
     the start of 1970. Keys that are no numbers are ordered by their hash, so the order
@@ -42,126 +40,87 @@ def ratings_of(messages: DataFrame, on_bad: str = "quarantine") -> DataFrame:
     epoch = F.to_timestamp_ntz(F.lit("1970-01-01 00:00:00"))
     text = F.when(number.isNull(), F.col("timestamp").try_cast("timestamp_ntz"))
     since = epoch + F.make_dt_interval(secs=seconds.cast("decimal(18,6)"))
-    return decode_ratings(messages, on_bad).withColumns(
-        {
-            "ts": F.coalesce(text, since, epoch),
-            "seq": F.coalesce(F.col("key").try_cast("bigint"), F.xxhash64("key")),
-        }
+    return (
+        decode_ratings(messages, on_bad)
+        .withColumns(
+            {
+                "ts": F.coalesce(text, since, epoch),
+                "seq": F.coalesce(F.col("key").try_cast("bigint"), F.xxhash64("key")),
+            }
+        )
+        .withColumn(DAY, F.to_date("ts"))
     )
 
 
-def bad_messages(checkpoint: str) -> BatchLog:
-    """The log of malformed messages of the run with this checkpoint."""
-    return BatchLog(f"{checkpoint}-bad")
-
-
 def start(
     ratings: DataFrame,
-    jobs: Sequence[Job],
+    outputs: dict[str, Output],
+    tables: LiveTables,
     checkpoint: str,
     trigger: dict | None = None,
 ) -> StreamingQuery:
-    """Run the jobs on every micro-batch; the batch is computed once for all.
+    """Keeps ``outputs`` up to date in ``tables``, a commit for every micro-batch.
 
-    Malformed messages go to the log beside the checkpoint (``bad_messages``), with their
-    key, text and batch, and the jobs get the others.
+    Malformed messages go to the table ``bad_messages`` in the same commit. The counters ``n_in``,
+    ``n_good`` and ``n_bad`` of each micro-batch are in the query's progress under ``messages``.
     """
-    bad_log = bad_messages(checkpoint)
+    counted = "bad" in ratings.columns
+    if counted:
+        ratings = ratings.observe(
+            COUNTERS,
+            F.count(F.lit(1)).alias("n_in"),
+            F.count_if(~F.col("bad")).alias("n_good"),
+            F.count_if("bad").alias("n_bad"),
+        )
+    started, run = Event(), {}
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.withColumn("batch", F.lit(batch_id).cast("bigint"))
-        if "bad" in batch.columns:
-            bad = batch.where("bad").select("key", "value", "batch")
-            if not bad.isEmpty():
-                bad_log.append(bad, batch_id)
-            batch = batch.where("NOT bad").drop("bad", "value")
-        if len(jobs) == 1:
-            jobs[0](batch, batch_id)
+        # The id belongs to the checkpoint and outlives restarts.
+        started.wait()
+        if tables.has(run["id"], batch_id):
             return
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            for job in jobs:
-                job(batch, batch_id)
+            changes = {}
+            if counted:
+                # Counting fills the cache; all that follows reads it.
+                if batch.where("bad").count():
+                    bad = batch.where("bad").select("key", "value")
+                    changes[BAD] = Append(bad, all_rows)
+                batch = batch.where("NOT bad").drop("bad", "value")
+            changes |= {name: change(batch) for name, change in outputs.items()}
+            tables.commit(run["id"], batch_id, changes)
         finally:
             batch.unpersist()
 
-    return (
+    query = (
         ratings.writeStream.foreachBatch(handle)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or TRIGGER))
         .start()
     )
+    run["id"] = query.id
+    started.set()
+    return query
 
 
-def features_job(log: BatchLog, movies: DataFrame) -> Job:
-    """Per-batch user and movie metrics, appended to the log."""
-
-    def run(batch: DataFrame, batch_id: int) -> None:
-        log.append(microbatch_metrics(batch, movies, "batch"), batch_id)
-
-    return run
-
-
-def keyed_ratings_job(
-    log: BatchLog, order: Sequence[str] = ("ts", "seq", "movieId", "rating")
-) -> Job:
-    """Newest rating per key of the batch, appended to the log."""
-
-    def run(batch: DataFrame, batch_id: int) -> None:
-        log.append(latest_by_key(batch, ["key"], [F.desc(c) for c in order]), batch_id)
-
-    return run
-
-
-def recent_job(
-    state: FoldedList, order: Sequence[str] = ("ts", "seq"), size: int = RECENT_SIZE
-) -> Job:
-    """Buffer of the newest ``size`` ratings."""
-    columns = [*order, "key", "userId", "movieId", "rating", "timestamp"]
-
-    def run(batch: DataFrame, batch_id: int) -> None:
-        newest = batch.select(*columns).orderBy(*(F.desc(c) for c in order)).limit(size)
-        state.fold(newest, batch_id, lambda old, new: append_bounded(old, new, order, size))
-
-    return run
-
-
-def popular_job(state: FoldedList, k: int = TOP_K, size: int = POPULAR_SIZE) -> Job:
-    """FIFO of ``size`` movies into which each batch pushes its top ``k``."""
-
-    def run(batch: DataFrame, batch_id: int) -> None:
-        counts = rating_counts(batch, "batch", "movieId")
-        tops = popular_of_counts(counts, "batch", k=k).select(
-            "batch", F.col("pos").alias("rank"), "movieId"
-        )
-        state.fold(
-            tops, batch_id, lambda old, new: append_bounded(old, new, ["batch", "rank"], size)
-        )
-
-    return run
-
-
-def genre_hot_job(state: FoldedList, movies: DataFrame, k: int = TOP_K) -> Job:
-    """Hot list per genre; genres a batch does not touch keep their old list."""
-
-    def merge(old: DataFrame, new: DataFrame) -> DataFrame:
-        return latest_genre_lists(old.unionByName(new), "batch", k)
-
-    def run(batch: DataFrame, batch_id: int) -> None:
-        counts = rating_counts(batch, "batch", "movieId")
-        exploded = explode_genres(counts, movies).select("genreId", "batch", "movieId", "cnt")
-        order = [F.desc("cnt"), F.asc("movieId")]
-        tops = top_per_group(exploded, ["genreId", "batch"], order, k).drop("pos")
-        state.fold(tops, batch_id, merge)
-
-    return run
+def balance(query: StreamingQuery) -> dict[str, int]:
+    """Counters of the micro-batches that ``query`` still reports, added up; all messages are good or bad."""
+    found = dict.fromkeys(("n_in", "n_good", "n_bad"), 0)
+    for progress in query.recentProgress:
+        counters = progress.observedMetrics.get(COUNTERS)
+        for name in found if counters else ():
+            found[name] += counters[name]
+    if found["n_in"] != found["n_good"] + found["n_bad"]:
+        raise ValueError(f"messages are missing: {found}")
+    return found
 
 
 def cumulative_features(ratings: DataFrame, movies: DataFrame) -> DataFrame:
-    """Running totals over everything streamed so far, kept in Spark's state
-    store; each trigger emits the changed users and movies.
+    """Running totals over everything streamed so far, kept in Spark's state store.
 
-    Malformed messages add to no total; the run that keeps the ratings logs them.
+    The metrics come in the order of ``METRICS``, as ``totals`` reads them from the store. Malformed
+    messages add to no total; the run that keeps the ratings logs them.
     """
     if "bad" in ratings.columns:
         ratings = ratings.where("NOT bad")
@@ -184,47 +143,58 @@ def cumulative_features(ratings: DataFrame, movies: DataFrame) -> DataFrame:
         rows.withColumn("positive", is_positive(rating))
         .groupBy("entity", "id")
         .agg(
-            pos_count(rating).alias("pos_cnt"),
-            neg_count(rating).alias("neg_cnt"),
+            F.count_if(is_positive(rating)).alias("pos_cnt"),
+            F.count_if(rating == F.lit(0.0)).alias("neg_cnt"),
             *genre_hits("positive"),
         )
     )
 
 
 def start_cumulative(
-    ratings: DataFrame,
-    movies: DataFrame,
-    log: BatchLog,
-    checkpoint: str,
-    trigger: dict | None = None,
+    ratings: DataFrame, movies: DataFrame, checkpoint: str, trigger: dict | None = None
 ) -> StreamingQuery:
-    """Batch-scope features by replay: totals never shrink to the last batch."""
-
-    def handle(changed: DataFrame, batch_id: int) -> None:
-        log.append(with_ratios(changed), batch_id)
+    """Batch-scope features by replay: totals never shrink to the last batch.
 
+    The totals live in the state store below the checkpoint and nowhere else.
+    """
     return (
         cumulative_features(ratings, movies)
         .writeStream.outputMode("update")
-        .foreachBatch(handle)
+        .format("noop")
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or TRIGGER))
         .start()
     )
 
 
+def totals(spark: SparkSession, checkpoint: str, batch: int | None = None) -> DataFrame:
+    """(entity, id, metrics) after a micro-batch of ``start_cumulative``, by default the last one."""
+    reader = spark.read.format("statestore")
+    if batch is not None:
+        reader = reader.option("batchId", batch)
+    # The store names all counts alike; they come in the order of METRICS.
+    counts = F.col("value").cast(f"struct<{','.join(f'{m}: bigint' for m in METRICS)}>")
+    found = reader.load(checkpoint).select("key.entity", "key.id", counts.alias("v"))
+    return with_ratios(
+        found.select("entity", "id", *(F.nullif(f"v.{m}", F.lit(0)).alias(m) for m in METRICS))
+    ).where("pos_cnt IS NOT NULL OR neg_cnt IS NOT NULL")
+
+
+TASKS = ("streaming", "batch")
+
+
 def start_task(
     task: str,
     ratings: DataFrame,
     movies: DataFrame,
-    log: BatchLog,
+    tables: LiveTables,
     checkpoint: str,
     trigger: dict | None = None,
 ) -> StreamingQuery:
-    """One code path for both scopes: ``streaming`` follows the newest batch,
-    ``batch`` keeps totals. Each task has its own log and checkpoint."""
+    """One code path for both scopes: ``streaming`` follows the newest day in ``tables``,
+    ``batch`` keeps totals in its checkpoint (``totals``)."""
     if task == "streaming":
-        return start(ratings, [features_job(log, movies)], checkpoint, trigger)
+        return start(ratings, {"features": newest_features(movies)}, tables, checkpoint, trigger)
     if task == "batch":
-        return start_cumulative(ratings, movies, log, checkpoint, trigger)
-    raise ValueError(f"unknown task {task!r}, expected 'streaming' or 'batch'")
+        return start_cumulative(ratings, movies, checkpoint, trigger)
+    raise ValueError(f"unknown task {task!r}, expected one of {TASKS}")

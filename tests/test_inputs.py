@@ -18,8 +18,9 @@ from reelrank.sources.files import decode_ratings, movies_from_onehot, read_movi
 from reelrank.schemas import MESSAGES
 from reelrank.sinks.messages import publish_files
 from reelrank.sources.streams import file_messages
-from reelrank.streaming.jobs import bad_messages, ratings_of, start
-from reelrank.streaming.state import BatchLog, FoldedList
+from reelrank.streaming.jobs import BAD, ratings_of, start
+from reelrank.streaming.live import Append, LiveTables, Replace
+from reelrank.streaming.outputs import all_rows, kept_rows
 
 SF = "/root/testdata/sf0.001"
 
@@ -89,10 +90,10 @@ def test_missing_parameters_raise(spark):
 def test_reopened_state_reads_its_files(spark):
     root = new_path(spark, "test-state")
     df = spark.createDataFrame([(1, "a")], "id int, name string")
-    BatchLog(f"{root}/log").append(df, 0)
-    FoldedList(f"{root}/list").fold(df, 0, lambda old, new: old.unionByName(new))
-    assert rows(BatchLog(f"{root}/log").read(spark), "id", "name") == [(1, "a")]
-    assert rows(FoldedList(f"{root}/list").read(spark)) == [(1, "a")]
+    both = {"log": Append(df, all_rows), "list": Replace(lambda old: df)}
+    LiveTables(spark, root).commit("run", 0, both)
+    for name in both:
+        assert rows(LiveTables(spark, root).read(name), "id", "name") == [(1, "a")]
 
 
 @pytest.fixture(scope="module")
@@ -109,12 +110,7 @@ def shifted(tmp_path_factory):
     return str(folder)
 
 
-def test_slices_hold_all_rows(spark, shifted):
-    inputs = Inputs(spark, shifted)
-    assert sum(part.count() for part in inputs.slices()) == inputs.stream().count()
-
-
-@pytest.mark.parametrize("name", ["stream_recent_buffer", "stream_popular", "stream_genre_hot"])
+@pytest.mark.parametrize("name", ["stream_recent_buffer", "stream_popular", "stream_genre_hot", "microbatch_feature_counts"])
 def test_streams_of_any_days(spark, shifted, name):
     connection = duckdb.connect()
     for table in ("events", "part"):
@@ -130,11 +126,9 @@ def test_stream_keeps_malformed_messages_apart(spark):
     body = '{"userId": "1", "movieId": "2", "rating": "1.0", "timestamp": "2024-01-01 00:00:01"}'
     messages = spark.createDataFrame([("1", body), ("2", "{oops")], MESSAGES)
     publish_files(messages, f"{root}/topic")
-    log = BatchLog(f"{root}/log")
+    tables = LiveTables(spark, f"{root}/tables")
     source = ratings_of(file_messages(spark, f"{root}/topic"))
-    keep = [lambda batch, n: log.append(batch, n)]
-    start(source, keep, f"{root}/checkpoint", {"availableNow": True}).awaitTermination()
-    assert rows(log.read(spark), "key", "userId") == [("1", 1)]
-    assert rows(bad_messages(f"{root}/checkpoint").read(spark), "key", "value", "batch") == [
-        ("2", "{oops", 0)
-    ]
+    keep = {"ratings": kept_rows("key", "userId")}
+    start(source, keep, tables, f"{root}/checkpoint", {"availableNow": True}).awaitTermination()
+    assert rows(tables.read("ratings")) == [("1", 1)]
+    assert rows(tables.read(BAD)) == [("2", "{oops")]
