@@ -23,7 +23,6 @@ from reelrank.operators.genres import (
     user_genre_ratio,
     user_genre_share,
 )
-from reelrank.operators.upsert import upsert_metrics
 from reelrank.plans.feature_tables import (
     batch_feature_tables,
     cumulative_metrics,
@@ -31,9 +30,12 @@ from reelrank.plans.feature_tables import (
     metrics_long,
     microbatch_metrics,
 )
+from reelrank.plans.stored import metrics_change
 from reelrank.schemas import GENRE_NAMES
+from reelrank.session import new_path
 from reelrank.sources.driver_tables import table
 from reelrank.sources.features import read_default_zero
+from reelrank.streaming.live import LiveTables
 
 GENRE_VALUES = "(VALUES " + ", ".join(f"({i}, '{n}')" for i, n in enumerate(GENRE_NAMES)) + ")"
 
@@ -297,9 +299,16 @@ def _counts_sql(source: str, neg: str = "rating = 0") -> str:
     ),
 )
 def upsert_features(inputs: Inputs) -> DataFrame:
-    old = polarity_counts(inputs.early(), "userId")
-    new = polarity_counts(inputs.late(), "userId")
-    return upsert_metrics(old, new, ["userId"], ["pos_cnt", "neg_cnt"])
+    """Stored counts by user; each metric that comes again replaces the old one."""
+    early, late = (polarity_counts(part, "userId") for part in (inputs.early(), inputs.late()))
+    return _upserted(inputs, early, late)
+
+
+def _upserted(inputs: Inputs, *versions: DataFrame) -> DataFrame:
+    tables = LiveTables(inputs.spark, new_path(inputs.spark, "features"))
+    for version, counts in enumerate(versions):
+        tables.commit("counts", version, {"users": metrics_change(counts, "userId")})
+    return tables.read("users")
 
 
 @query(
@@ -311,9 +320,8 @@ def upsert_features(inputs: Inputs) -> DataFrame:
 )
 def replace_features(inputs: Inputs) -> DataFrame:
     """Loader counts replace the stored batch counts they share a key with."""
-    old = polarity_counts(inputs.history(), "userId")
-    new = polarity_counts(inputs.off_domain(), "userId", rule="else")
-    return upsert_metrics(old, new, ["userId"], ["pos_cnt", "neg_cnt"])
+    stored = polarity_counts(inputs.history(), "userId")
+    return _upserted(inputs, stored, polarity_counts(inputs.off_domain(), "userId", rule="else"))
 
 
 @query(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from reelrank.catalog.registry import CUTOFF, Inputs, query, sql, text
 from reelrank.operators.counts import rating_counts
+from reelrank.operators.numbering import numbered
 from reelrank.operators.topk import (
     genre_first,
     genre_hot_last_batch,
@@ -17,8 +18,10 @@ from reelrank.operators.topk import (
 )
 from reelrank.operators.training_window import record_index
 from reelrank.operators.upsert import append_bounded, replace_lists
-from reelrank.schemas import RECENT_SIZE
+from reelrank.schemas import GENRE_NAMES, RECENT_SIZE
+from reelrank.session import new_path
 from reelrank.sources.features import read_ordered
+from reelrank.streaming.live import LiveTables, Upsert
 
 
 def day_movie_counts(inputs: Inputs) -> DataFrame:
@@ -112,6 +115,15 @@ def index(inputs: Inputs) -> DataFrame:
     return record_index(recent_ratings(inputs.stream())).select("i", "key")
 
 
+@query(
+    "record_index_stream",
+    sql("stream", 'SELECT row_number() OVER (ORDER BY ts, seq) - 1 AS i, "key" FROM stream'),
+)
+def index_all(inputs: Inputs) -> DataFrame:
+    """The position of every live rating, however many there are."""
+    return numbered(inputs.stream().select("key", "ts", "seq"), "ts", "seq").select("i", "key")
+
+
 @query(
     "replace_list",
     sql(
@@ -124,6 +136,14 @@ SELECT * FROM ({_hot_sql(f"batch_day <= DATE '{CUTOFF}'")}) WHERE genreId NOT IN
     ),
 )
 def replace(inputs: Inputs) -> DataFrame:
-    old = genre_hot_topk(inputs.early(), inputs.movies())
-    new = genre_hot_topk(inputs.late().where("rating = 1"), inputs.movies())
-    return replace_lists(old, new, "genreId")
+    """Stored lists by genre; those that come again replace the old ones."""
+    tables = LiveTables(inputs.spark, new_path(inputs.spark, "lists"))
+
+    def lists(version: int, ratings: DataFrame) -> None:
+        rows = genre_hot_topk(ratings, inputs.movies())
+        merge = lambda old, new: replace_lists(old, new, "genreId")
+        tables.commit("lists", version, {"hot": Upsert(rows, "genreId", merge, len(GENRE_NAMES))})
+
+    lists(0, inputs.early())
+    lists(1, inputs.late().where("rating = 1"))
+    return tables.read("hot")

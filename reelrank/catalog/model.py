@@ -3,22 +3,32 @@
 from __future__ import annotations
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelrank.catalog.registry import Inputs, query, rounded, sql
+from reelrank.catalog.registry import (
+    COEFFICIENTS,
+    INTERCEPT,
+    Inputs,
+    query,
+    rounded,
+    sql,
+)
 from reelrank.operators.topk import recent_ratings
 from reelrank.operators.training_window import COUNTS, TrainingBuffer, window_counts
-from reelrank.plans.feature_tables import feature_tables_for
+from reelrank.plans import stored
+from reelrank.plans.feature_tables import batch_feature_tables, feature_tables_for
 from reelrank.plans.training import (
     assemble,
     fit_click_model,
+    fitted_moments,
     join_batch_features,
     training_set,
 )
-from reelrank.schemas import FEATURE_COLUMNS, MODEL_PARAMS
+from reelrank.schemas import FEATURE_COLUMNS, INTERCEPT_IDX
 from reelrank.session import new_path, stage
-from reelrank.sinks.tables import model_params
+from reelrank.sinks.tables import model_params, params_table
+from reelrank.streaming.live import LiveTables
 
 IN_WINDOW = "w.i BETWEEN b.i - b.h AND b.i - 1"
 IN_WINDOW_AS_WRITTEN = "(w.i BETWEEN b.i - b.h + 1 AND b.i OR w.i = 0)"
@@ -127,19 +137,60 @@ def assembled(inputs: Inputs) -> DataFrame:
     )
 
 
-def _params(inputs: Inputs) -> DataFrame:
-    training = stage(build_training_set(inputs), "training")
-    return model_params(inputs.spark, fit_click_model(training))
+#: Steps and tolerance with which the fit meets its certificate to the digits that are compared.
+CERTIFIED = {"max_iter": 1000, "tolerance": 1e-12}
+DIGITS = 3
+
+CERTIFICATE_SQL = "\nUNION ALL ".join(
+    f"SELECT {i} AS idx, round(avg(label * {x}), {DIGITS}) AS moment FROM ({_training_sql(False)})"
+    for i, x in [(-1, "1"), *enumerate(FEATURE_COLUMNS)]
+)
 
 
-@query("fit_click_model")
+@query("fit_click_model", CERTIFICATE_SQL)
 def fitted(inputs: Inputs) -> DataFrame:
-    return _params(inputs)
+    """The certificate of a fit: predictions and labels have equal means with every feature."""
+    training = stored_training_set(inputs)
+    params = model_params(inputs.spark, fit_click_model(training, **CERTIFIED))
+    return fitted_moments(training, params).select("idx", F.round("moment", DIGITS).alias("moment"))
 
 
-@query("export_model_params")
+def stored_training_set(inputs: Inputs) -> DataFrame:
+    """The training set from stored batch features of the buffer's users and movies."""
+    buffer, movies = training_buffer(inputs), inputs.movies()
+    tables = LiveTables(inputs.spark, new_path(inputs.spark, "training"))
+    history = batch_feature_tables(inputs.history(), movies)
+    stored.store_features(tables, "history", 0, {"batch": history})
+    features = stored.features_of(tables, "batch", buffer.users.frame, buffer.movies.frame)
+    return stage(training_set(buffer, movies, features), "training")
+
+
+@query(
+    "export_model_params",
+    "\nUNION ALL ".join(
+        f"SELECT {version} AS version, * FROM ({CERTIFICATE_SQL})" for version in (2, 3)
+    ),
+)
 def exported(inputs: Inputs) -> DataFrame:
-    """Parameters written as a table and read back in order."""
-    path = new_path(inputs.spark, "params")
-    _params(inputs).write.parquet(path)
-    return inputs.spark.read.schema(MODEL_PARAMS).parquet(path).orderBy("idx")
+    """Versions of a model, written, taken into use in turn and read back, with their certificates.
+
+    Version 1 is a fixed one; 2 is fitted, and 3 is 2 again, which is in use at the end.
+    """
+    spark, training = inputs.spark, stored_training_set(inputs)
+    tables = LiveTables(spark, new_path(spark, "models"))
+    stored.publish_model(tables, "release", 1, fixed_params(spark))
+    params = stage(model_params(spark, fit_click_model(training, **CERTIFIED)), "params")
+    stored.publish_model(tables, "release", 2, params)
+    stored.use_model(tables, "rollback", 0, 1)
+    stored.publish_model(tables, "release", 3, stored.params_of(tables, 2))
+    parts = [
+        fitted_moments(training, stored.params_of(tables, version)).select(
+            F.lit(shown).alias("version"), "idx", F.round("moment", DIGITS).alias("moment")
+        )
+        for shown, version in ((2, 2), (3, None))
+    ]
+    return parts[0].union(parts[1])
+
+
+def fixed_params(spark: SparkSession) -> DataFrame:
+    return params_table(spark, [*enumerate(COEFFICIENTS), (INTERCEPT_IDX, INTERCEPT)])

@@ -208,8 +208,8 @@ NEEDS = {
 }
 
 
-def sql(views: str, body: str) -> str:
-    """``body`` below the named views and all views they need."""
+def sql(views: str, body: str, **instead: str) -> str:
+    """``body`` below the named views and all views they need, some with another text."""
     order: list[str] = []
 
     def add(view: str) -> None:
@@ -220,5 +220,5 @@ def sql(views: str, body: str) -> str:
 
     for view in views.split():
         add(view)
-    heads = ",\n".join(f"{v} AS ({VIEWS[v]})" for v in order)
+    heads = ",\n".join(f"{v} AS ({instead.get(v, VIEWS[v])})" for v in order)
     return f"WITH {heads}\n{body}"

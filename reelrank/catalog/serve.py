@@ -16,7 +16,7 @@ from reelrank.catalog.registry import (
     sql,
 )
 from reelrank.operators.topk import genre_hot_last_batch, popular_bounded
-from reelrank.plans import serving
+from reelrank.plans import serving, stored
 from reelrank.plans.feature_tables import (
     FeatureTables,
     batch_feature_tables,
@@ -24,8 +24,10 @@ from reelrank.plans.feature_tables import (
     streaming_feature_tables,
 )
 from reelrank.schemas import FEATURE_COLUMNS, GENRE_FLAGS, INTERCEPT_IDX
-from reelrank.session import concurrently, stage
+from reelrank.session import concurrently, new_path, stage
 from reelrank.sinks.tables import params_table
+from reelrank.sources.driver_tables import table
+from reelrank.streaming.live import LiveTables
 
 
 @dataclass(frozen=True)
@@ -219,11 +221,12 @@ def ranked(inputs: Inputs) -> DataFrame:
     return serving.rank(build(inputs).scored()).select("userId", "movieId", "rank")
 
 
-def _recommend_sql(view: str) -> str:
+def _recommend_sql(view: str, **instead: str) -> str:
     return sql(
         f"{view} movies",
         f"""SELECT userId, "rank", movieId, title, round(score, 6) AS score
 FROM ({_ranked_sql(view)}) LEFT JOIN movies USING (movieId)""",
+        **instead,
     )
 
 
@@ -235,3 +238,26 @@ def recommend_top10(inputs: Inputs) -> DataFrame:
 @query("recommend_top10_as_written", _recommend_sql("vectors_as_written"))
 def recommend_as_written(inputs: Inputs) -> DataFrame:
     return build(inputs).recommended(as_written=True).withColumn("score", rounded("score"))
+
+
+_REQUESTED_SQL = """
+  SELECT userId, coalesce(genreId, 0) AS genreId
+  FROM (SELECT DISTINCT CAST(o_custkey AS INT) AS userId FROM orders) LEFT JOIN
+  (SELECT * FROM sr QUALIFY row_number() OVER (PARTITION BY userId ORDER BY ratio DESC, genreId) = 1)
+  USING (userId)"""
+
+
+@query("recommend_for_users", _recommend_sql("vectors", fav=_REQUESTED_SQL))
+def recommend_for_users(inputs: Inputs) -> DataFrame:
+    """Every order asks for its customer: users come again and again, and most were never seen live."""
+    built = build(inputs)
+    tables = LiveTables(inputs.spark, new_path(inputs.spark, "serving"))
+    scopes = {"batch": built.batch, "streaming": built.streaming}
+    stored.store_features(tables, "features", 0, scopes)
+    params = params_table(inputs.spark, [*enumerate(COEFFICIENTS), (INTERCEPT_IDX, INTERCEPT)])
+    stored.publish_model(tables, "release", 1, params)
+    requests = table(inputs.spark, inputs.sf_dir, "orders").select(
+        F.col("o_custkey").cast("int").alias("userId")
+    )
+    found = stored.recommend_for(tables, requests, built.movies, built.popular, built.hot)
+    return found.withColumn("score", rounded("score"))

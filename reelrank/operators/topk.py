@@ -103,6 +103,11 @@ def genre_first(
     order: Sequence[str] = ("ts", "seq"),
     k: int = TOP_K,
 ) -> DataFrame:
-    """First ``k`` records of each genre by arrival, repeats included."""
-    exploded = explode_genres(ratings.select("movieId", *order), movies)
-    return top_per_group(exploded, ["genreId"], [F.asc(c) for c in order], k)
+    """First ``k`` records of each genre by arrival, repeats included.
+
+    No genre takes more than ``k`` records of a movie, so each movie's records are pruned before they are
+    multiplied by its genres.
+    """
+    arrival = [F.asc(c) for c in order]
+    first = top_per_group(ratings.select("movieId", *order), ["movieId"], arrival, k).drop("pos")
+    return top_per_group(explode_genres(first, movies), ["genreId"], arrival, k)

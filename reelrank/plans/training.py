@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reelrank.functions.genres import genre_mask, masked_sum
+from reelrank.functions.scoring import linear_score, logistic
 from reelrank.operators.lookup import IdSet, bounded_lookup, default_zero
 from reelrank.operators.training_window import (
     TrainingBuffer,
@@ -15,9 +16,10 @@ from reelrank.operators.training_window import (
     window_counts,
 )
 from reelrank.plans.feature_tables import FeatureTables
-from reelrank.schemas import FEATURE_COLUMNS, GENRE_FLAGS
+from reelrank.plans.serving import param_columns
+from reelrank.schemas import FEATURE_COLUMNS, GENRE_FLAGS, INTERCEPT_IDX
 
-MAX_ITER = 20
+MAX_ITER, TOLERANCE = 20, 1e-6
 
 
 def join_batch_features(
@@ -83,7 +85,9 @@ def assemble(training: DataFrame) -> DataFrame:
     return VectorAssembler(inputCols=FEATURE_COLUMNS, outputCol="features").transform(training)
 
 
-def fit_click_model(training: DataFrame, max_iter: int = MAX_ITER) -> LogisticRegressionModel:
+def fit_click_model(
+    training: DataFrame, max_iter: int = MAX_ITER, tolerance: float = TOLERANCE
+) -> LogisticRegressionModel:
     """Logistic regression on ``label`` and ``f0..f9``; both classes must occur."""
     stats = training.agg(
         F.count_if(F.col("label") == 1.0).alias("pos"),
@@ -96,4 +100,20 @@ def fit_click_model(training: DataFrame, max_iter: int = MAX_ITER) -> LogisticRe
         raise ValueError("labels must be 0.0 or 1.0")
     if not (stats["pos"] and stats["neg"]):
         raise ValueError("labels of both classes are needed")
-    return LogisticRegression(maxIter=max_iter).fit(assemble(training).select("label", "features"))
+    return LogisticRegression(maxIter=max_iter, tol=tolerance).fit(
+        assemble(training).select("label", "features")
+    )
+
+
+def fitted_moments(training: DataFrame, params: DataFrame) -> DataFrame:
+    """(idx, moment): the mean of prediction times feature, with idx -1 for the feature 1.
+
+    A fit has converged when these are the means of label times feature, so they certify
+    parameters without knowing how they were found.
+    """
+    weights, intercept = param_columns(params)
+    p = logistic(linear_score([F.col(f) for f in FEATURE_COLUMNS], weights, intercept))
+    values = {INTERCEPT_IDX: F.lit(1.0), **{i: F.col(f) for i, f in enumerate(FEATURE_COLUMNS)}}
+    means = training.agg(*(F.avg(p * x).alias(f"m{i + 1}") for i, x in values.items()))
+    pairs = ", ".join(f"{i}, m{i + 1}" for i in values)
+    return means.selectExpr(f"stack({len(values)}, {pairs}) AS (idx, moment)")

@@ -7,7 +7,8 @@ a batch that comes again is left out, and a run with a new checkpoint goes on wi
 tables of the one before.
 
 Appended parts are folded: FOLD parts of one level become one part of the next. A read so opens at most
-FOLD - 1 parts of each level, about FOLD * log(batches) in all, and each row is rewritten once a level.
+FOLD - 1 parts of each level, about FOLD * log(batches) in all, and each row is rewritten once a level. Keyed tables
+lie in buckets instead; an upsert rewrites the buckets it touches.
 What no kept pointer names is deleted; a reader may be KEEP - 1 commits behind.
 
 Pointers are created by a rename that fails if the name is taken, so of two writers one wins and the
@@ -23,11 +24,11 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from reelrank.session import concurrently
+from reelrank.session import concurrently, stage
 
 #: Parts of a level that are folded into one, and pointers that are kept.
 FOLD, KEEP = 8, 2
@@ -54,7 +55,25 @@ class Replace:
     fold: Callable[[DataFrame | None], DataFrame]
 
 
-Change = Append | Replace
+@dataclass(frozen=True)
+class Upsert:
+    """Rows by key: ``merge`` of the stored rows and the new ones, which are unique on ``key``.
+
+    The table lies in ``buckets`` by a hash of the key, as first given, and only the buckets of new keys are
+    read and rewritten; the files of all others stay as they are.
+    """
+
+    rows: DataFrame
+    key: str
+    merge: Callable[[DataFrame, DataFrame], DataFrame]
+    buckets: int = 32
+
+
+Change = Append | Replace | Upsert
+
+
+def bucket_of(key: str, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
 
 
 @dataclass
@@ -148,31 +167,68 @@ class LiveTables:
         table = (pointer or self.pointer()).tables.get(name)
         return None if table is None else self._rows(name, table, table["parts"], seq)
 
+    def read_keys(
+        self, name: str, keys: DataFrame, pointer: Pointer | None = None
+    ) -> DataFrame | None:
+        """The rows of a keyed table whose key is in the one column of ``keys``.
+
+        Only the folders of the buckets that may hold them are opened.
+        """
+        table = (pointer or self.pointer()).tables.get(name)
+        if table is None:
+            return None
+        key, buckets = table["key"], table["buckets"]
+        wanted = keys.toDF(key).where(F.col(key).isNotNull()).distinct()
+        # One row per bucket at most.
+        asked = {r["b"] for r in wanted.select(bucket_of(key, buckets).alias("b")).distinct().collect()}
+        rows = self._rows(name, table, [p for p in table["parts"] if p[0] in asked], False)
+        return rows.join(wanted, key, "left_semi")
+
     def _rows(self, name: str, table: dict, parts: list, seq: bool) -> DataFrame:
         schema = T.StructType.fromJson(table["schema"])
         if not parts:
             empty = self.spark.createDataFrame([], schema)
             return empty.withColumn(SEQ, F.lit(0).cast("long")) if seq else empty
         base = f"{self.root}/data/{name}"
+        folders = [T.StructField("part", T.StringType())]
+        if "key" in table:
+            folders.append(T.StructField("bucket", T.IntegerType()))
         found = (
-            self.spark.read.schema(T.StructType([*schema.fields, T.StructField("part", T.StringType())]))
+            self.spark.read.schema(T.StructType([*schema.fields, *folders]))
             .option("basePath", base)
             .parquet(*(f"{base}/{folder}" for _, _, folder in parts))
         )
         if seq:
             found = found.withColumn(SEQ, F.split_part("part", F.lit("-"), F.lit(2)).cast("long"))
-        return found.drop("part")
+        return found.drop(*(f.name for f in folders))
 
-    def _write(self, name: str, rows: DataFrame, level: int, seq: int) -> list:
+    def _write(self, name: str, rows: DataFrame, level: int, seq: int, *by: str) -> list:
         folder = f"part={level}-{seq:012d}-{uuid.uuid4().hex}"
-        rows.write.parquet(f"{self.root}/data/{name}/{folder}")
+        writer = rows.write.partitionBy(*by) if by else rows.write
+        writer.parquet(f"{self.root}/data/{name}/{folder}")
         return [level, seq, folder]
 
+    def _upserted(self, name: str, change: Upsert, old: dict | None, seq: int) -> dict:
+        buckets = old["buckets"] if old else change.buckets
+        new = stage(change.rows, f"{name}-new")
+        bucket = bucket_of(change.key, buckets)
+        touched = {r["b"] for r in new.select(bucket.alias("b")).distinct().collect()}
+        table = {"schema": new.schema.jsonValue(), "key": change.key, "buckets": buckets}
+        parts = old["parts"] if old else []
+        before = self._rows(name, old or table, [p for p in parts if p[0] in touched], False)
+        merged = change.merge(before.select(*new.columns), new).select(*new.columns)
+        merged = merged.withColumn("bucket", bucket).repartition("bucket")
+        _, _, folder = self._write(name, merged, 0, seq, "bucket")
+        rewritten = [[b, seq, f"{folder}/bucket={b}"] for b in sorted(touched)]
+        return {**table, "parts": [p for p in parts if p[0] not in touched] + rewritten}
+
     def _changed(self, name: str, change: Change, now: Pointer, seq: int) -> dict:
         old = now.tables.get(name)
         if isinstance(change, Replace):
             rows = change.fold(None if old is None else self.read(name, now))
             return {"schema": rows.schema.jsonValue(), "parts": [self._write(name, rows, 0, seq)]}
+        if isinstance(change, Upsert):
+            return self._upserted(name, change, old, seq)
         table = {"schema": change.rows.schema.jsonValue()}
         parts = [*(old["parts"] if old else []), self._write(name, change.rows, 0, seq)]
         while len(parts) >= self.fold and len({p[0] for p in parts[-self.fold :]}) == 1:
@@ -220,7 +276,11 @@ class LiveTables:
             named |= pointer.folders()
         for name in versions[: -self.keep]:
             self.pointers.delete(name)
+        parts = {"/".join(folder.split("/")[:2]) for folder in named}
         for folder in self.data.names("*/part=*"):
             # A part of a version to come may be a batch in the making.
-            if folder not in named and int(folder.split("-")[1]) < newest[0].version:
+            if folder not in parts and int(folder.split("-")[1]) < newest[0].version:
+                self.data.delete(folder)
+        for folder in self.data.names("*/part=*/bucket=*"):
+            if "/".join(folder.split("/")[:2]) in parts and folder not in named:
                 self.data.delete(folder)
