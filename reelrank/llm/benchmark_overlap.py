@@ -34,7 +34,7 @@ from reelrank.session import stage
 SPAN, GRAM = 10, 5
 
 #: Bits of the filter for each fingerprint, and in all (16 MB).
-FILTER_RATE, MOST_BITS = 32, 1 << 27
+FILTER_RATE, MOST_BITS = 1024, 1 << 27
 
 #: Bytes of text that are hashed together, and candidate windows in an output batch.
 STEP, ROWS = 1 << 20, 1 << 14
@@ -100,6 +100,8 @@ class Words:
         least = runs[:n].copy()
         for k in range(1, span - gram + 1):
             np.minimum(least, runs[k : k + n], out=least)
+        # The smallest of several hashes has small leading bits; the filter needs even ones.
+        least *= np.uint64(_BASE)
         text = np.repeat(np.arange(len(self.counts)), self.counts)
         inside = np.flatnonzero(text[:n] == text[span - 1 :])
         return inside, least[inside]
