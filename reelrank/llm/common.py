@@ -6,10 +6,14 @@ import atexit
 import os
 import shutil
 import tempfile
-from collections.abc import Callable
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -63,3 +67,68 @@ def labelled_sample(
         .limit(rows)
     )
     return docs.select("doc_id", F.col(text_col).alias("text")).join(F.broadcast(chosen), "doc_id")
+
+
+#: Characters of text, and rows, that are worked on together.
+PART_BYTES, PART_ROWS = 1 << 20, 2000
+
+_ARROW = {
+    "boolean": pa.bool_(),
+    "int": pa.int32(),
+    "long": pa.int64(),
+    "double": pa.float64(),
+    "string": pa.string(),
+    "binary": pa.binary(),
+}
+
+
+def _arrow_type(kind: str) -> pa.DataType:
+    inner = kind.removeprefix("array<").removesuffix(">")
+    return _ARROW[kind] if inner == kind else pa.list_(_ARROW[inner])
+
+
+def parts(batch: pa.RecordBatch, text: str) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch with about PART_BYTES of text, or one row with a longer text."""
+    sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(text)), 0)
+    upto = np.cumsum(sizes.to_numpy(zero_copy_only=False).astype(np.int64) + 1)
+    at = 0
+    while at < len(batch):
+        full = np.searchsorted(upto, (upto[at - 1] if at else 0) + PART_BYTES)
+        end = min(max(at + 1, int(full)), at + PART_ROWS, len(batch))
+        yield batch.slice(at, end - at)
+        at = end
+
+
+def beside(
+    frame: DataFrame,
+    keep: list[str],
+    text: str,
+    fields: dict[str, str],
+    work: Callable[[], Callable],
+    more: Sequence[str] = (),
+) -> DataFrame:
+    """Rows of ``frame`` as columns ``keep`` and new columns ``fields``, made from ``text``.
+
+    Kept columns never leave Arrow, so a 64-bit id beside a null comes back as it is. Each task calls
+    ``work()`` once; what it returns gets the texts of a part and its ``more`` columns, in Arrow, and
+    gives (rows, values): the places of the rows that stay (None for all), and a sequence for each
+    new column.
+    """
+    kept = [T.StructField(c, frame.schema[c].dataType) for c in keep]
+    new = [T.StructType.fromDDL(f"`{name}` {kind}").fields[0] for name, kind in fields.items()]
+    kinds = [_arrow_type(kind) for kind in fields.values()]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        make = work()
+        for batch in batches:
+            for part in parts(batch, text):
+                rows, values = make(*[part.column(c) for c in (text, *more)])
+                own = part.select(keep)
+                if rows is not None:
+                    own = own.take(pa.array(rows, pa.int64()))
+                made = [pa.array(v, k) for v, k in zip(values, kinds, strict=True)]
+                yield pa.RecordBatch.from_arrays([*own.columns, *made], names=[*keep, *fields])
+
+    needed = list(dict.fromkeys([*keep, text, *more]))
+    schema = T.StructType([*kept, *new])
+    return frame.select(*[F.col(f"`{c}`") for c in needed]).mapInArrow(run, schema)

@@ -153,18 +153,19 @@ def subtree_sums(
     node, parent) hold the way from the top to each node along its ``conv``.
     """
     columns = ["comp", "node", "parent", "conv", "depth", "weight", *values]
-    top = nodes.where("parent IS NULL").select("node").limit(1).collect()
-    state = nodes.withColumn("comp", F.lit(top[0]["node"] if top else "")).select(columns)
+    top = nodes.where("parent IS NULL").select("node", "weight").limit(1).collect()
+    whole, total = top[0] if top else ("", 0)
+    sized = nodes.withColumn("comp", F.lit(whole)).select(columns)
+    sized = stage(sized.withColumn("total", F.lit(total)), "trie-components")
     small, added = [], []
     while True:
-        totals = state.groupBy("comp").agg(F.max("weight").alias("total"))
-        sized = stage(state.join(totals, "comp"), "trie-components")
         small.append(sized.where(F.col("total") <= most).select(columns))
         large = sized.where(F.col("total") > most)
         if large.isEmpty():
             break
         state, sums = _split(large, paths, values)
-        state = state.select(columns)
+        totals = state.groupBy("comp").agg(F.max("weight").alias("total"))
+        sized = stage(state.select(columns).join(totals, "comp"), "trie-components")
         added.append(sums)
     inside = _split_inside(reduce(DataFrame.union, small), values)
     if not added:

@@ -23,14 +23,18 @@ without any every text is ``und``.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from reelrank.llm.common import beside, parts
 from reelrank.session import stage
 
 ORDER, HASH_BITS, DISCOUNT = 4, 63, 0.75
@@ -42,15 +46,33 @@ BROADCAST_ENTRIES = 4_000_000
 #: Characters that the lowest order takes as equally likely, and those that count as evidence.
 UNIFORM, EVIDENCE = 2000, 30
 
+#: Words that are costed or handed on together.
+PART_WORDS = 20_000
+
 #: Words whose costs a worker keeps, and standard deviations beyond which a text is rejected.
 REMEMBERED, REJECT_AT = 300_000, 6.0
 
 UNDETERMINED = "und"
 
 
-def cleaned(raw: bytes) -> str:
+#: What mostly surrounds words; stripping it is quicker than looking at every character.
+_MARKS = ".,;:!?()\"'0123456789"
+
+
+def cleaned(word: str) -> str:
     """The letters of a word in lower case; other characters are left out."""
-    return "".join([c for c in raw.decode("utf-8", "replace").lower() if c.isalpha()])
+    word = word.lower()
+    if word.isalpha():
+        return word
+    bare = word.strip(_MARKS)
+    return bare if bare.isalpha() else "".join(filter(str.isalpha, bare))
+
+
+def split_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
+    """Where each text's words begin and the last ends, the number of each word, and the words."""
+    lists = pa.compute.ascii_split_whitespace(pa.compute.fill_null(texts, ""))
+    coded = lists.values.dictionary_encode()
+    return lists.offsets.to_numpy(), coded.indices.to_numpy(), coded.dictionary.to_pylist()
 
 
 def hash_codes(codes: np.ndarray, length: int) -> np.ndarray:
@@ -74,28 +96,42 @@ def codes_of(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
 def word_counts(train: DataFrame) -> DataFrame:
     """(lang, word, n) over all rows of ``train`` (lang, text)."""
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known: dict[bytes, str] = {}
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: dict[str, dict[str, int]] = {}
         for batch in batches:
-            for lang, texts in batch.groupby("lang")["text"]:
-                counts: dict[str, int] = {}
-                for text in texts:
-                    for raw in text.encode("utf-8").split():
-                        word = known.get(raw)
-                        if word is None:
-                            if len(known) >= REMEMBERED:
-                                known.clear()
-                            word = known[raw] = cleaned(raw)
-                        counts[word] = counts.get(word, 0) + 1
-                counts.pop("", None)
-                yield pd.DataFrame(
-                    {"lang": lang, "word": list(counts), "n": list(counts.values())}
+            for part in parts(batch, "text"):
+                langs = part.column("lang")
+                for lang in langs.unique().to_pylist():
+                    own = part.column("text").filter(pa.compute.equal(langs, lang))
+                    _, at, words = split_words(own)
+                    uses = np.bincount(at, minlength=len(words)).tolist()
+                    known = counts.setdefault(lang, {})
+                    for word, n in zip(words, uses, strict=True):
+                        known[word] = known.get(word, 0) + n
+                if sum(map(len, counts.values())) >= REMEMBERED:
+                    yield from counted(counts)
+                    counts = {}
+        yield from counted(counts)
+
+    def counted(counts: dict[str, dict[str, int]]) -> Iterator[pa.RecordBatch]:
+        for lang, known in counts.items():
+            while known:
+                rows = [known.popitem() for _ in range(min(len(known), PART_WORDS))]
+                clean = [(c, n) for word, n in rows for c in (cleaned(word),) if c]
+                words, uses = zip(*clean, strict=True) if clean else ((), ())
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([lang] * len(clean), pa.string()),
+                        pa.array(words, pa.string()),
+                        pa.array(uses, pa.int64()),
+                    ],
+                    names=["lang", "word", "n"],
                 )
 
     return (
         train.where("lang IS NOT NULL AND text IS NOT NULL")
         .select("lang", "text")
-        .mapInPandas(count, "lang string, word string, n long")
+        .mapInArrow(count, "lang string, word string, n long")
         .groupBy("lang", "word")
         .agg(F.sum("n").alias("n"))
     )
@@ -239,46 +275,131 @@ def learn(train: DataFrame) -> Models:
     return Models(stage(estimates(gram_counts(word_counts(train))), "language-models"))
 
 
+class HashRows:
+    """Rows of distinct 63-bit hashes, found through their leading bits."""
+
+    def __init__(self, keys: np.ndarray):
+        self.keys = np.append(keys, np.uint64(1 << HASH_BITS))
+        self.shift = np.uint64(max(0, HASH_BITS - max(1, (2 * len(keys)).bit_length())))
+        buckets = np.arange(1 << (HASH_BITS - int(self.shift)), dtype=np.uint64) << self.shift
+        self.first = np.searchsorted(keys, buckets)
+
+    def find(self, wanted: np.ndarray) -> np.ndarray:
+        """The row of each key, or the number of rows where there is none."""
+        rows = np.full(len(wanted), len(self.keys) - 1)
+        at, open_ = self.first[wanted >> self.shift], np.arange(len(wanted))
+        while len(open_):
+            here = self.keys[at]
+            same = here == wanted
+            rows[open_[same]] = at[same]
+            on = here < wanted
+            open_, at, wanted = open_[on], at[on] + 1, wanted[on]
+        return rows
+
+
+class JointModel:
+    """The models of all languages side by side: one search finds an n-gram in all of them.
+
+    For each length the rows hold the n-gram's probabilities and, as it is the context of the next
+    order, its back-offs; the last row stands for n-grams that are in no model.
+    """
+
+    def __init__(self, models: list[LanguageModel]):
+        self.floor = np.array([m.floor for m in models])
+        # The empty context.
+        self.back = np.array([m.contexts[0][1][0] for m in models])
+        self.orders = []
+        for size in range(1, ORDER + 1):
+            own = [m.grams[size - 1] for m in models]
+            context = [m.contexts[size] if size < ORDER else None for m in models]
+            every = [t[0] for t in (*own, *context) if t is not None]
+            keys = np.unique(np.concatenate(every))
+            p = np.zeros((len(keys) + 1, len(models)))
+            b = np.ones((len(keys) + 1, len(models)))
+            for k, (grams, contexts) in enumerate(zip(own, context, strict=True)):
+                p[np.searchsorted(keys, grams[0]), k] = grams[1]
+                if contexts is not None:
+                    b[np.searchsorted(keys, contexts[0]), k] = contexts[1]
+            self.orders.append((HashRows(keys), p, b))
+
+    def cost(self, codes: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """``LanguageModel.cost`` of every model, a column for each."""
+        p = np.repeat(self.floor[None, :], len(codes), axis=0)
+        weight = self.back
+        for size, (rows, own, back) in enumerate(self.orders, 1):
+            last = np.flatnonzero(place >= size - 1)
+            if not len(last):
+                break
+            found = rows.find(hash_codes(codes, size)[last - size + 1])
+            p[last] = own[found] + (weight[last - 1] if size > 1 else weight) * p[last]
+            weight = np.ones_like(p)
+            weight[last] = back[found]
+        out = -np.log2(np.maximum(p, 1e-12))
+        out[place == 0] = 0.0
+        return out
+
+
 class Scorer:
     """Costs of words under every model; words are costed once while remembered."""
 
     def __init__(self, models: dict[str, LanguageModel]):
         self.models = list(models.values())
+        self.joint = JointModel(self.models) if self.models else None
         self.forget()
 
     def forget(self) -> None:
         # The first row is for what has no letters.
-        self.place: dict[bytes, int] = {b"": 0}
+        self.place: dict[str, int] = {"": 0}
         self.costs = np.zeros((1, len(self.models)))
         self.sizes = np.zeros(1, np.int64)
+        self.uses = np.zeros(1, np.int64)
 
-    def learn_words(self, raw: set[bytes]) -> None:
-        new = [(w, c) for w in raw if w not in self.place for c in (cleaned(w),)]
-        self.place.update((w, 0) for w, c in new if not c)
-        new = [(w, c) for w, c in new if c]
-        for lo in range(0, len(new), 20_000):
-            part = new[lo : lo + 20_000]
+    def forget_rare(self) -> None:
+        """Keeps the words that came in more than one part, if they are few enough."""
+        often = [w for w, k in self.place.items() if self.uses[k] > 1]
+        rows = np.array([self.place[w] for w in often], np.int64)
+        costs, sizes = self.costs, self.sizes
+        self.forget()
+        if len(often) <= REMEMBERED // 2:
+            self.place.update((w, k) for k, w in enumerate(often, 1) if w)
+            self.costs = np.concatenate([self.costs, costs[rows]])
+            self.sizes = np.concatenate([self.sizes, sizes[rows]])
+            self.uses = np.zeros(len(self.costs), np.int64)
+
+    def learn_words(self, words: list[str]) -> None:
+        unknown = [w for w in words if w not in self.place]
+        clean = list(map(cleaned, unknown))
+        new = [(w, c) for w, c in zip(unknown, clean, strict=True) if c]
+        if len(new) < len(unknown):
+            self.place.update((w, 0) for w, c in zip(unknown, clean, strict=True) if not c)
+        for lo in range(0, len(new), PART_WORDS):
+            part = new[lo : lo + PART_WORDS]
             codes, place = codes_of([c for _, c in part])
             starts = np.flatnonzero(place == 0)
             costs = np.zeros((len(part), len(self.models)))
-            for k, model in enumerate(self.models):
-                costs[:, k] = np.add.reduceat(model.cost(codes, place), starts)
+            if self.joint is not None:
+                costs = np.add.reduceat(self.joint.cost(codes, place), starts, axis=0)
             self.place.update((w, len(self.costs) + k) for k, (w, _) in enumerate(part))
             self.costs = np.concatenate([self.costs, costs])
             self.sizes = np.concatenate([self.sizes, [len(c) + 1 for _, c in part]])
+            self.uses = np.concatenate([self.uses, np.zeros(len(part), np.int64)])
 
-    def score(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    def score(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Bits of each text under each model, and its characters."""
-        split = [(t or "").encode("utf-8").split() for t in texts]
+        bounds, at, words = split_words(texts)
         if len(self.place) > REMEMBERED:
-            self.forget()
-        self.learn_words(set().union(*split))
-        bits, sizes, place = np.zeros((len(texts), len(self.models))), [], self.place
-        for k, words in enumerate(split):
-            at = np.fromiter((place[w] for w in words), np.int64, len(words))
-            bits[k] = self.costs[at].sum(axis=0)
-            sizes.append(int(self.sizes[at].sum()))
-        return bits, np.array(sizes, np.int64)
+            self.forget_rare()
+        self.learn_words(words)
+        rows = np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
+        self.uses[rows] += 1
+        rows = rows[at]
+        # A text without words has no sum of its own.
+        some = np.flatnonzero(np.diff(bounds))
+        bits, sizes = np.zeros((len(texts), len(self.models))), np.zeros(len(texts), np.int64)
+        if len(some):
+            bits[some] = np.add.reduceat(self.costs[rows], bounds[some], axis=0)
+            sizes[some] = np.add.reduceat(self.sizes[rows], bounds[some])
+        return bits, sizes
 
 
 def identify(
@@ -294,80 +415,91 @@ def identify(
     Models of more than ``entries`` entries are joined instead of sent to the workers.
     """
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_text"))
-    result = f"doc_id {docs.schema[id_col].dataType.simpleString()}, lang_pred string, cost double, score double"
     if sum(models.sizes.values()) > entries:
-        return _identify_joined(texts, models, result)
+        return _identify_joined(texts, models)
     shared = docs.sparkSession.sparkContext.broadcast(dict(models))
 
-    def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def work() -> Callable:
         scorer, names = Scorer(shared.value), np.array([*shared.value, UNDETERMINED], object)
-        for batch in batches:
-            for lo in range(0, len(batch), 500):
-                part = batch.iloc[lo : lo + 500]
-                bits, sizes = scorer.score(list(part["_text"]))
-                yield pd.DataFrame({"doc_id": part["doc_id"], **_verdicts(bits, sizes, names)})
+        return lambda part: (None, _verdicts(*scorer.score(part), names))
 
-    return texts.mapInPandas(judge, result)
+    return beside(texts, ["doc_id"], "_text", VERDICT, work)
 
 
 def gram_costs(grams: DataFrame, models: Models) -> DataFrame:
     """(gram, bits): the cost of the last character of each n-gram under every model.
 
-    ``grams`` (gram) are distinct and have the longest context that there is.
+    ``grams`` (gram) are distinct and have the longest context that there is. Endings of one
+    character are costed first, then those of two, each from its own ending: a row meets at most
+    as many others as there are characters, so no ending or context is a hot key.
     """
-
-    def looked_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = []
-            for gram in batch["gram"]:
-                for size in range(1, len(gram) + 1):
-                    rows.append((gram, size, "p", _key(gram[-size:])))
-                    rows.append((gram, size, "b", _key(gram[-size:-1])))
-            if rows:
-                yield pd.DataFrame(rows, columns=["gram", "size", "kind", "key"])
-
-    asked = grams.mapInPandas(looked_up, "gram string, size int, kind string, key long")
     names = list(models)
-    values = asked.join(models.entries, ["size", "kind", "key"]).groupBy("gram", "lang")
-    values = values.agg(
-        *[
-            F.max(F.when((F.col("size") == size) & (F.col("kind") == kind), F.col("value"))).alias(
-                f"{kind}{size}"
-            )
-            for size in range(1, ORDER + 1)
-            for kind in "pb"
-        ]
+    # One row of values for an n-gram, in the order of the languages.
+    by_lang = [F.max(F.when(F.col("lang") == n, F.col("value"))) for n in names]
+    entries = stage(
+        models.entries.groupBy("size", "kind", "key").agg(F.array(*by_lang).alias("values")),
+        "language-rows",
     )
-    # Every language has a context of order 1, so each n-gram has a row for each.
-    p = F.lit(1.0 / UNIFORM)
+    empty = entries.where("size = 1 AND kind = 'b'").first()["values"]
+
+    def keyed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            batch["_p"] = [_key(g) for g in batch["gram"]]
+            batch["_b"] = [_key(g[:-1]) for g in batch["gram"]]
+            yield batch
+
+    before, found = None, []
     for size in range(1, ORDER + 1):
-        p = F.coalesce(f"p{size}", F.lit(0.0)) + F.coalesce(f"b{size}", F.lit(1.0)) * p
-    bits = values.select("gram", "lang", (-F.log2(F.greatest(p, F.lit(1e-12)))).alias("bits"))
-    return bits.groupBy("gram").agg(
-        F.array(*[F.max(F.when(F.col("lang") == n, F.col("bits"))) for n in names]).alias("bits")
-    )
+        ends = grams.where(F.length("gram") >= size).select(F.right("gram", F.lit(size)).alias("gram"))
+        rows = ends.distinct().mapInPandas(keyed, "gram string, _p long, _b long")
+        for kind in "pb" if size > 1 else "p":
+            own = entries.where((F.col("size") == size) & (F.col("kind") == kind))
+            own = own.select(F.col("key").alias(f"_{kind}"), F.col("values").alias(kind))
+            rows = rows.join(own, f"_{kind}", "left")
+        if size > 1:
+            shorter = before.select(F.col("gram").alias("_end"), F.col("p").alias("_before"))
+            rows = rows.withColumn("_end", F.expr("substring(gram, 2)")).join(shorter, "_end")
+        p = [
+            F.coalesce(F.col("p")[k], F.lit(0.0))
+            + (F.coalesce(F.col("b")[k], F.lit(1.0)) if size > 1 else F.lit(empty[k]))
+            * (F.col("_before")[k] if size > 1 else F.lit(1.0 / UNIFORM))
+            for k in range(len(names))
+        ]
+        before = stage(rows.select("gram", F.array(*p).alias("p")), "language-endings")
+        found.append(before.join(grams.where(F.length("gram") == size), "gram"))
+    every = reduce(DataFrame.union, found)
+    bits = F.transform("p", lambda v: -F.log2(F.greatest(v, F.lit(1e-12))))
+    return every.select("gram", bits.alias("bits"))
 
 
-def _identify_joined(texts: DataFrame, models: Models, result: str) -> DataFrame:
+def _identify_joined(texts: DataFrame, models: Models) -> DataFrame:
     """``identify`` by joins: texts to words, words to n-grams, n-grams to the models."""
     names = list(models)
     rows = stage(texts.withColumn("_row", F.monotonically_increasing_id()), "language-texts")
 
-    def words_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def words_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = []
-            for row, text in zip(batch["_row"], batch["_text"], strict=True):
-                counts: dict[str, int] = {}
-                for raw in (text or "").encode("utf-8").split():
-                    word = cleaned(raw)
-                    counts[word] = counts.get(word, 0) + 1
-                counts.pop("", None)
-                found += [(row, word, n) for word, n in counts.items()]
-            if found:
-                yield pd.DataFrame(found, columns=["_row", "word", "n"])
+            for part in parts(batch, "_text"):
+                bounds, at, words = split_words(part.column("_text"))
+                row = np.repeat(np.arange(len(part)), np.diff(bounds))
+                clean = [cleaned(w) for w in words]
+                own, n = np.unique(row * len(words) + at, return_counts=True)
+                has = np.array([bool(c) for c in clean], bool)[own % max(1, len(words))]
+                own, n = own[has], n[has]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column("_row").take(pa.array(own // max(1, len(words)))),
+                        pa.array(clean, pa.string()).take(pa.array(own % max(1, len(words)))),
+                        pa.array(n),
+                    ],
+                    names=["_row", "word", "n"],
+                )
 
     used = stage(
-        rows.select("_row", "_text").mapInPandas(words_of, "_row long, word string, n long"),
+        rows.select("_row", "_text")
+        .mapInArrow(words_of, "_row long, word string, n long")
+        .groupBy("_row", "word")
+        .agg(F.sum("n").alias("n")),
         "language-words",
     )
     framed = F.concat(F.lit(" "), "word", F.lit(" "))
@@ -394,33 +526,41 @@ def _identify_joined(texts: DataFrame, models: Models, result: str) -> DataFrame
         )
     )
 
-    def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known, none = np.array([*names, UNDETERMINED], object), np.zeros(len(names))
-        for batch in batches:
-            if len(batch):
-                bits = np.array([none if b is None else b for b in batch["bits"]], float)
-                sizes = batch["size"].fillna(0).to_numpy(np.int64)
-                yield pd.DataFrame({"doc_id": batch["doc_id"], **_verdicts(bits, sizes, known)})
+    def work() -> Callable:
+        known, none = np.array([*names, UNDETERMINED], object), [0.0] * len(names)
+
+        def judge(_: pa.Array, found: pa.Array, sizes: pa.Array) -> tuple[None, list]:
+            bits = np.array([none if b is None else b for b in found.to_pylist()], float)
+            whole = pa.compute.fill_null(sizes, 0).to_numpy(zero_copy_only=False)
+            return None, _verdicts(bits, whole, known)
+
+        return judge
 
     found = rows.select("_row", "doc_id").join(totals, "_row", "left")
-    return found.select("doc_id", "bits", "size").mapInPandas(judge, result)
+    found = found.withColumn("_text", F.lit(None).cast("string"))
+    return beside(found, ["doc_id"], "_text", VERDICT, work, ["bits", "size"])
+
+
+#: What is found about a text.
+VERDICT = {"lang_pred": "string", "cost": "double", "score": "double"}
 
 
-def _verdicts(bits: np.ndarray, sizes: np.ndarray, names: np.ndarray) -> dict:
+def _verdicts(bits: np.ndarray, sizes: np.ndarray, names: np.ndarray) -> list:
+    """The columns of VERDICT."""
     if bits.shape[1] == 0:
         nothing = np.zeros(len(bits))
-        return {"lang_pred": UNDETERMINED, "cost": nothing, "score": nothing}
+        return [[UNDETERMINED] * len(bits), nothing, nothing]
     costs = bits / np.maximum(sizes, 1)[:, None]
     best = costs.argmin(axis=1)
     least = costs.min(axis=1)
     weight = np.minimum(sizes, EVIDENCE)[:, None]
     posterior = 1.0 / np.exp2((least[:, None] - costs) * weight).sum(axis=1)
     known = sizes > 0
-    return {
-        "lang_pred": names[np.where(known, best, len(names) - 1)],
-        "cost": np.where(known, least, 0.0),
-        "score": np.where(known, posterior, 0.0),
-    }
+    return [
+        names[np.where(known, best, len(names) - 1)],
+        np.where(known, least, 0.0),
+        np.where(known, posterior, 0.0),
+    ]
 
 
 def calibrated(found: DataFrame, training: DataFrame) -> DataFrame:

@@ -13,19 +13,21 @@ Only one number per window is shuffled and grouped, with partial counts before t
 a passage that a third of all documents share is no hot spot.
 
 Defined cases: null and empty texts, and texts of fewer than three lines, stay as they are.
-Documents of equal id don't remove each other's lines; rows with a null id come last. An
-empty table gives an empty result. Further columns, of any name but ``n_removed``, pass through.
+A null id comes after all others. Different texts of equal id go by a hash of the text, and of rows of equal
+id and text one, not said which, counts as the first. An empty table gives an empty result. Further columns pass
+through, whatever their names; one called ``n_removed`` is replaced.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from reelrank.llm.common import beside
 from reelrank.session import stage
 
 #: Longer lines are wrapped, and a unit of a wrapped line has UNIT to 2 * UNIT - 1 words.
@@ -37,9 +39,6 @@ LEAST_WORDS = LINES
 #: Rounds after which what is undecided (long runs of one word) is decided place by place.
 ROUNDS = 12
 
-#: Characters of text that are cut together.
-TOGETHER = 500_000
-
 #: Scripts without spaces between words: a character of theirs counts as a word.
 SPACELESS = (
     (0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3040, 0x30FF), (0x31F0, 0x31FF),
@@ -170,71 +169,56 @@ def lines_of(text: str) -> list[str]:
     return Units([text]).of(0)
 
 
-def without(text: str, starts: set[int]) -> tuple[str, int]:
-    """The text without the lines of the windows that start at ``starts``."""
+def without(text: str, starts: set[int] | None) -> tuple[str, int]:
+    """The text without the lines of the windows that start at ``starts``, or of all windows."""
     lines = lines_of(text)
     places = [k for k, line in enumerate(lines) if not line.isspace() and line]
+    if starts is None:
+        starts = range(len(places) - LINES + 1)
     gone = {places[s + k] for s in starts for k in range(LINES)}
     return "".join([x for k, x in enumerate(lines) if k not in gone]), len(gone)
 
 
-def _windows(rows: Iterable[tuple]) -> Iterator[tuple]:
-    """(id, text hash, windows) of rows; texts are cut many at a time."""
-
-    def cut() -> Iterator[tuple]:
-        found = Units([text for *_, text in waiting]).windows() if waiting else []
-        for (*keys, _), windows in zip(waiting, found, strict=True):
-            yield *keys, windows
-
-    waiting, size = [], 0
-    for *keys, text in rows:
-        waiting.append((*keys, text or ""))
-        size += len(text or "") + 1
-        if size >= TOGETHER:
-            yield from cut()
-            waiting, size = [], 0
-    yield from cut()
-
-
 def window_table(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(id, text_hash, windows, starts, again): a row per text with windows, written once.
 
     ``windows`` are those that are new within the text, at ``starts``; ``again`` are the
     starts of windows that the text itself had before.
     """
-    id_type = docs.schema[id_col].dataType.simpleString()
-
-    def build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = []
-            texts = batch.itertuples(index=False, name=None)
-            for key, text_hash, windows in _windows(texts):
-                if not len(windows):
-                    continue
-                _, first = np.unique(windows, return_index=True)
-                new = np.sort(first)
-                again = np.setdiff1d(np.arange(len(windows)), new, assume_unique=True)
-                rows.append((key, text_hash, windows[new], new, again))
-            yield pd.DataFrame(rows, columns=["id", "text_hash", "windows", "starts", "again"])
+
+    def work() -> Callable:
+        def build(texts: pa.Array) -> tuple[list[int], list]:
+            rows, columns = [], ([], [], [])
+            found = Units([t or "" for t in texts.to_pylist()]).windows()
+            for k, windows in enumerate(found):
+                if len(windows):
+                    _, first = np.unique(windows, return_index=True)
+                    new = np.sort(first)
+                    again = np.setdiff1d(np.arange(len(windows)), new, assume_unique=True)
+                    rows.append(k)
+                    for column, value in zip(columns, (windows[new], new, again), strict=True):
+                        column.append(value)
+            return rows, columns
+
+        return build
 
     texts = docs.select(
-        F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col)
+        F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("_text")
     )
-    return stage(
-        texts.mapInPandas(
-            build,
-            f"id {id_type}, text_hash long, windows array<long>, starts array<int>, "
-            "again array<int>",
-        ),
-        "line-windows",
+    fields = {"windows": "array<long>", "starts": "array<int>", "again": "array<int>"}
+    return stage(beside(texts, ["id", "text_hash"], "_text", fields, work), "line-windows")
+
+
+def _exploded(found: DataFrame) -> DataFrame:
+    zipped = F.explode(F.arrays_zip("windows", "starts")).alias("_w")
+    return found.select("id", "text_hash", zipped).select(
+        "id", "text_hash", F.col("_w.windows").alias("window"), F.col("_w.starts").alias("at")
     )
 
 
 def repeats(found: DataFrame) -> DataFrame:
     """(id, text_hash, starts) of the windows to remove, one row per text that has any."""
-    rows = found.select(
-        "id", "text_hash", F.explode(F.arrays_zip("windows", "starts")).alias("_w")
-    ).select("id", "text_hash", F.col("_w.windows").alias("window"), F.col("_w.starts").alias("at"))
+    rows = _exploded(found)
     shared = stage(
         rows.groupBy("window")
         .agg(F.min("id").alias("_first"), F.count("*").alias("_n"))
@@ -246,32 +230,64 @@ def repeats(found: DataFrame) -> DataFrame:
     later = F.coalesce(F.col("id") > F.col("_first"), F.col("_first").isNotNull())
     across = rows.join(shared, "window").where(later).select("id", "text_hash", "at")
     inside = found.select("id", "text_hash", F.explode("again").alias("at"))
-    return across.union(inside).groupBy("id", "text_hash").agg(F.collect_set("at").alias("starts"))
+    marks = across.union(inside).union(_among_equal_ids(found, shared))
+    return marks.groupBy("id", "text_hash").agg(F.collect_set("at").alias("starts"))
+
+
+def _among_equal_ids(found: DataFrame, shared: DataFrame) -> DataFrame:
+    """(id, text_hash, at): of different texts of the first id, those of larger hashes."""
+    several = (
+        found.select("id", "text_hash").distinct().groupBy("id").count().where("count > 1")
+    ).select(F.col("id").alias("_several"))
+    own = _exploded(found.join(several, F.col("id").eqNullSafe(F.col("_several")), "left_semi"))
+    own = own.join(shared, "window").where(F.col("id").eqNullSafe(F.col("_first")))
+    first = own.groupBy("window").agg(F.min("text_hash").alias("_least"))
+    return own.join(first, "window").where("text_hash > _least").select("id", "text_hash", "at")
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without repeated windows, and ``n_removed`` lines per row."""
     docs = docs.drop("n_removed")
-    marks = repeats(window_table(docs, id_col, text_col)).toDF("_id", "_hash", "_starts")
-    joined = docs.withColumn("_text_hash", F.xxhash64(text_col)).join(
-        marks,
-        F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_text_hash") == F.col("_hash")),
-        "left",
+    found = window_table(docs, id_col, text_col)
+    marks = repeats(found)
+    copies = stage(
+        found.groupBy("id", "text_hash").count().where("count > 1").drop("count"), "line-copies"
     )
-
-    def remove(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            texts, removed = [], []
-            for text, starts in zip(batch[text_col], batch["_starts"], strict=True):
+    rest = [F.col(f"`{c}`") for c in docs.columns if c != text_col]
+    rows = docs.select(
+        F.struct(*rest).alias("row"),
+        F.col(text_col).alias("text"),
+        F.col(id_col).alias("id"),
+        F.xxhash64(text_col).alias("text_hash"),
+    )
+    here = F.col("id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash"))
+    joined = rows.join(marks.toDF("_id", "_hash", "starts"), here, "left").drop("_id", "_hash")
+    if copies.isEmpty():
+        numbered = joined.withColumn("copy", F.lit(1))
+    else:
+        # Rows of equal id and text: each but one has every window again.
+        equal = copies.toDF("_id", "_hash")
+        order = Window.partitionBy("id", "text_hash").orderBy("text_hash")
+        again = joined.join(equal, here, "left_semi").withColumn("copy", F.row_number().over(order))
+        numbered = joined.join(equal, here, "left_anti").withColumn("copy", F.lit(1)).union(again)
+
+    def work() -> Callable:
+        def remove(texts: pa.Array, starts: pa.Array, copy: pa.Array) -> tuple[None, list]:
+            out, removed = [], []
+            lists = (c.to_pylist() for c in (texts, starts, copy))
+            for text, own, number in zip(*lists, strict=True):
                 n = 0
-                if starts is not None:
-                    text, n = without(text, {int(s) for s in starts})
-                texts.append(text)
+                if number > 1 and text:
+                    text, n = without(text, None)
+                elif own is not None:
+                    text, n = without(text, set(own))
+                out.append(text)
                 removed.append(n)
-            out = batch.drop(columns="_starts")
-            out[text_col], out["n_removed"] = texts, removed
-            yield out
+            return None, [out, removed]
+
+        return remove
 
-    rows = joined.drop("_id", "_hash", "_text_hash")
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return rows.mapInPandas(remove, f"{fields}, n_removed int")
+    fields = {"cut": "string", "n_removed": "int"}
+    cut = beside(numbered, ["row"], "text", fields, work, ["starts", "copy"])
+    own = [F.col("cut").alias(c) if c == text_col else F.col(f"row.`{c}`") for c in docs.columns]
+    return cut.select(*own, "n_removed")

@@ -11,10 +11,12 @@ lower end of a band also visit the band below, so no pair across bands is lost.
 2. Tiles that still hold several components are dealt into blocks of bounded size; pairs of
    different components are tested block against block. The number of differing bits of two parity
    bitmaps (four to eight bits an element) never exceeds the number of differing elements, which
-   bounds the overlap from above; only pairs within the bound are intersected.
+   bounds the overlap from above; only pairs within the bound are intersected. Of the pairs of two
+   components a block first gives the nearest one, as one link joins them; blocks that held more are tested again
+   after the components were joined, with more pairs each time, until none is left.
 
-Every pair of different components within the bound is intersected exactly, so no link that
-could join two components is lost, and no limit is set on partners or candidates.
+Every pair within the bound whose documents are not in one component yet is intersected exactly, so no
+link that could join two components is lost, and no limit is set on partners or candidates.
 
 Defined cases: documents without words, or null texts, have an empty set and no links;
 with fewer than five words the sequence is one shingle. Equal rows, and rows of equal id,
@@ -24,14 +26,16 @@ of their component (null if there is none). An empty table gives an empty result
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from reelrank.llm.common import beside
 from reelrank.llm.components import components
 from reelrank.session import new_path, stage
 
@@ -43,6 +47,10 @@ NUMERATOR, DENOMINATOR = 3, 4
 #: Rounds of single comparisons, sets in a block of a tile, digests that a worker keeps.
 ROUNDS, BLOCK, REMEMBERED = 2, 256, 1_000_000
 
+#: Factor by which the pairs that a run gives of two components grow from round to round, and pairs whose
+#: bitmaps are compared together.
+MORE, STEP = 16, 1 << 14
+
 
 def _mixed(x: np.ndarray) -> np.ndarray:
     """Spreads the bits of 64-bit numbers (a finaliser of two rounds)."""
@@ -170,25 +178,31 @@ def _digest(tokens: np.ndarray) -> int:
 
 
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_text"))
+    return docs.select(
+        F.col(id_col).alias("doc_id"),
+        F.col(text_col).alias("_text"),
+        F.xxhash64(text_col).alias("text_hash"),
+    )
 
 
-#: Bits of the filters over hashes; one MB each at any size of the input.
-FILTER_BITS = 1 << 23
+#: Bits of a filter for each number in it, and the least and most bits that one has (16 MB).
+FILTER_RATE, LEAST_BITS, MOST_BITS = 32, 1 << 16, 1 << 27
 
 #: A shingle is frequent if so many of a task's texts, or of CHUNK shingles' texts, have it.
 FREQUENT, CHUNK = 4, 2_000_000
 
 
 def filter_of(values: DataFrame) -> np.ndarray:
-    """A bitmap over the numbers in the one column of ``values``, as bytes of FILTER_BITS bits."""
+    """A bitmap over the numbers in the one column of ``values``; its size follows their count."""
+    values = stage(values.toDF("_at").where("_at IS NOT NULL").distinct(), "ngram-filter")
+    wanted_bits = min(MOST_BITS, max(LEAST_BITS, values.count() * FILTER_RATE))
+    size = 1 << (wanted_bits - 1).bit_length()
     parts = (
-        values.toDF("_at")
-        .withColumn("_at", F.pmod("_at", F.lit(FILTER_BITS)))
+        values.withColumn("_at", F.pmod("_at", F.lit(size)))
         .groupBy(F.bitmap_bucket_number("_at").alias("bucket"))
         .agg(F.bitmap_construct_agg(F.bitmap_bit_position("_at")).alias("bits"))
     )
-    wanted = np.zeros(FILTER_BITS, np.uint8)
+    wanted = np.zeros(size, np.uint8)
     for bucket, bits in parts.collect():
         own = np.unpackbits(np.frombuffer(bits, np.uint8), bitorder="little")
         # Place 0 has a bucket of its own; the others run from 1.
@@ -196,10 +210,16 @@ def filter_of(values: DataFrame) -> np.ndarray:
             wanted[0] |= own[0]
         else:
             lo = (bucket - 1) * len(own) + 1
-            wanted[lo : lo + len(own)] |= own[: FILTER_BITS - lo]
+            wanted[lo : lo + len(own)] |= own[: size - lo]
     return np.packbits(wanted, bitorder="little")
 
 
+def passed(values: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """Which numbers a filter may hold."""
+    at = values & (8 * len(bits) - 1)
+    return (bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
+
+
 def frequent_shingles(docs: DataFrame, text_col: str = "text") -> np.ndarray:
     """A filter over shingles that many texts share, from all texts, counted task by task.
 
@@ -230,27 +250,26 @@ def _often(kept: list[np.ndarray]) -> pd.DataFrame:
 
 def in_order(tokens: np.ndarray, frequent: np.ndarray) -> np.ndarray:
     """The hashes of a set, frequent ones last."""
-    at = tokens & (FILTER_BITS - 1)
-    last = (frequent[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
+    last = passed(tokens, frequent)
     return np.concatenate([tokens[~last], tokens[last]]) if last.any() else tokens
 
 
 def set_heads(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n, sid, head, bits, small) of all documents, written once.
+    """(doc_id, text_hash, n, sid, head, bits) of all documents, written once.
 
     ``sid`` is a digest of the set; equal sets share it, and it is null for empty ones.
     ``head`` holds the first n - ceil(t n) + 1 hashes in the order that puts frequent ones
-    last, ``bits`` the bitmap, ``small`` the same folded to a quarter. Of equal sets a task
-    writes both once, so a large group of copies brings no more rows than there are tasks.
+    last, ``bits`` the bitmap. Of equal sets a task writes both once, so a large group of copies
+    brings no more rows than there are tasks.
     """
-    id_type = docs.schema[id_col].dataType.simpleString()
     shared = docs.sparkSession.sparkContext.broadcast(frequent_shingles(docs, text_col))
 
-    def build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def work() -> Callable:
         shingler, seen, frequent = Shingler(), set(), shared.value
-        for batch in batches:
+
+        def build(texts: pa.Array) -> tuple[None, list]:
             sizes, digests, heads, bits = [], [], [], []
-            for tokens in shingler.batches(list(batch["_text"])):
+            for tokens in shingler.shingles(texts.to_pylist()):
                 n = len(tokens)
                 sid = _digest(tokens) if n else None
                 new = n > 0 and sid not in seen
@@ -261,29 +280,30 @@ def set_heads(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
                 sizes.append(n)
                 digests.append(sid)
                 head = n - -(-n * NUMERATOR // DENOMINATOR) + 1
-                heads.append(in_order(tokens, frequent)[:head].copy() if new else None)
+                heads.append(in_order(tokens, frequent)[:head] if new else None)
                 bits.append(bitmap(tokens) if new else None)
-            yield pd.DataFrame(
-                {
-                    "doc_id": batch["doc_id"].to_numpy(),
-                    "n": sizes,
-                    "sid": pd.array(digests, dtype="Int64"),
-                    "head": heads,
-                    "bits": bits,
-                    "small": [None if b is None else quarter(b) for b in bits],
-                }
-            )
+            return None, [sizes, digests, heads, bits]
 
-    sets = _texts(docs, id_col, text_col).mapInPandas(
-        build, f"doc_id {id_type}, n long, sid long, head array<long>, bits binary, small binary"
-    )
-    return _written(sets, "ngram-heads")
+        return build
+
+    fields = {"n": "long", "sid": "long", "head": "array<long>", "bits": "binary"}
+    texts = _texts(docs, id_col, text_col)
+    return _written(beside(texts, ["doc_id", "text_hash"], "_text", fields, work), "ngram-heads")
 
 
-def signatures(heads: DataFrame) -> DataFrame:
-    """(sid, n, bits, small), one row per set."""
-    own = heads.where("head IS NOT NULL").select("sid", "n", "bits", "small")
-    return _written(own.dropDuplicates(["sid"]), "ngram-signatures")
+def signatures(heads: DataFrame, tiled: DataFrame) -> DataFrame:
+    """(sid, n, bits, small) of the sets in tiles, one row each; ``small`` is a quarter of ``bits``."""
+    wanted = tiled.select("sid").distinct()
+    own = heads.where("head IS NOT NULL").select("sid", "n", "bits")
+    own = own.join(wanted, "sid", "left_semi").dropDuplicates(["sid"])
+
+    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield batch.assign(small=[quarter(b) for b in batch["bits"]])
+
+    return _written(
+        own.mapInPandas(fold, "sid long, n long, bits binary, small binary"), "ngram-signatures"
+    )
 
 
 def _written(frame: DataFrame, name: str) -> DataFrame:
@@ -351,35 +371,49 @@ def stars(members: DataFrame) -> DataFrame:
 
 
 def paired_sets(
-    docs: DataFrame, pairs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame,
+    heads: DataFrame,
+    pairs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
 ) -> DataFrame:
     """(sid, tokens) of the sets in ``pairs``, one row each.
 
-    The sets are built from the texts again instead of being kept, as most are in no
-    pair. A bitmap of fixed size over the wanted digests leaves the others out at the
-    scan; what it lets through besides is harmless.
+    The sets are built from the texts again instead of being kept, as most are in no pair. A filter over
+    the hashes of the wanted texts leaves the others out before they are cut into words; what it
+    lets through besides is harmless.
     """
-    wanted = filter_of(pairs.select(F.explode(F.array("a", "b"))))
-    shared = docs.sparkSession.sparkContext.broadcast(wanted)
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct()
+    known = heads.where("head IS NOT NULL").select("sid", "text_hash")
+    shared = docs.sparkSession.sparkContext.broadcast(
+        filter_of(known.join(wanted, "sid").select("text_hash"))
+    )
 
-    def build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        shingler, seen, filter_bits = Shingler(), set(), shared.value
-        for batch in batches:
-            rows = []
-            for tokens in shingler.batches(list(batch["_text"])):
-                if not len(tokens):
-                    continue
-                sid = _digest(tokens)
-                at = sid % FILTER_BITS
-                if sid not in seen and filter_bits[at >> 3] >> (at & 7) & 1:
+    def work() -> Callable:
+        shingler, seen, bits = Shingler(), set(), shared.value
+
+        def build(texts: pa.Array, hashes: pa.Array) -> tuple[list[int], list]:
+            at = np.flatnonzero(passed(hashes.to_numpy(zero_copy_only=False), bits))
+            sids, sets = [], []
+            own = texts.take(pa.array(at)).to_pylist() if len(at) else []
+            for tokens in shingler.shingles(own) if own else ():
+                sid = _digest(tokens) if len(tokens) else None
+                if sid is not None and sid not in seen:
                     if len(seen) >= REMEMBERED:
                         seen.clear()
                     seen.add(sid)
-                    rows.append((sid, tokens))
-            yield pd.DataFrame(rows, columns=["sid", "tokens"])
+                    sids.append(sid)
+                    sets.append(tokens)
+            # Any row will do, as no column is kept.
+            return [0] * len(sids), [sids, sets]
+
+        return build
 
-    sets = _texts(docs, id_col, text_col).mapInPandas(build, "sid long, tokens array<long>")
-    return _written(sets.dropDuplicates(["sid"]), "ngram-sets")
+    fields = {"sid": "long", "tokens": "array<long>"}
+    texts = _texts(docs, id_col, text_col)
+    sets = beside(texts, [], "_text", fields, work, ["text_hash"])
+    sets = sets.dropDuplicates(["sid"]).join(wanted, "sid", "left_semi")
+    return _written(sets, "ngram-sets")
 
 
 def within_bound(pairs: DataFrame, known: DataFrame) -> DataFrame:
@@ -429,11 +463,12 @@ def linked(pairs: DataFrame, unique: DataFrame) -> DataFrame:
     return both.mapInPandas(intersect, "a long, b long")
 
 
-def open_pairs(members: DataFrame, known: DataFrame) -> DataFrame:
-    """Pairs of different components within the bound, from the tiles that hold several.
+#: Columns that name a run: a tile, and the two blocks of it that meet.
+RUN = ["band", "token", "i", "j"]
 
-    Rows carry the small bitmaps; the pairs that they leave are tested by the large ones.
-    """
+
+def open_rows(members: DataFrame, known: DataFrame) -> DataFrame:
+    """The rows of tiles that hold several components, dealt into runs, with the small bitmaps."""
     tile = Window.partitionBy("band", "token")
     several = (
         members.withColumn("_low", F.min("root").over(tile))
@@ -442,7 +477,7 @@ def open_pairs(members: DataFrame, known: DataFrame) -> DataFrame:
         .where("_low < _high")
     )
     own = F.pmod(F.xxhash64("sid"), F.col("_blocks")).cast("int")
-    dealt = (
+    return (
         several.withColumn("own", own)
         .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
         .select(
@@ -456,84 +491,134 @@ def open_pairs(members: DataFrame, known: DataFrame) -> DataFrame:
         )
         .join(known.select("sid", "n", F.col("small").alias("bits")), "sid")
     )
-    keys = ["band", "token", "i", "j"]
-    pairs = (
-        dealt.repartition(*keys)
-        .sortWithinPartitions(*keys)
-        .mapInPandas(_test_blocks, "a long, b long")
-        .distinct()
+
+
+def tested(rows: DataFrame, most: int) -> DataFrame:
+    """(a, b) pairs of different components within the bound, and (band, token, i, j) of cut runs.
+
+    Of two components a run gives the ``most`` pairs that are nearest by their bitmaps; one link joins
+    them. A run that had more pairs is named, with a and b null, and has to come again.
+    """
+    return stage(
+        rows.repartition(*RUN)
+        .sortWithinPartitions(*RUN)
+        .mapInPandas(
+            lambda batches: _test_blocks(batches, most),
+            "a long, b long, band int, token long, i int, j int",
+        )
+        .distinct(),
+        "ngram-open",
     )
-    return within_bound(pairs, known)
 
 
-def _test_blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _test_blocks(batches: Iterator[pd.DataFrame], most: int) -> Iterator[pd.DataFrame]:
     """Runs of equal keys, block against block; a run is at most two blocks long."""
-    keys, rest = ["band", "token", "i", "j"], None
+    rest = None
     for batch in batches:
         rows = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
-        marks = rows[keys].to_numpy()
+        if not len(rows):
+            continue
+        marks = rows[RUN].to_numpy()
         starts = np.flatnonzero(np.r_[True, (marks[1:] != marks[:-1]).any(axis=1)])
-        rest = rows.iloc[starts[-1] :] if len(starts) else rows
-        yield _pairs_of_runs(rows, starts)
+        rest = rows.iloc[starts[-1] :]
+        yield from _pairs_of_runs(rows.iloc[: starts[-1]], starts, most)
     if rest is not None and len(rest):
-        yield _pairs_of_runs(rest.reset_index(drop=True), np.array([0, len(rest)]))
+        yield from _pairs_of_runs(rest.reset_index(drop=True), np.array([0, len(rest)]), most)
 
 
-def _pairs_of_runs(rows: pd.DataFrame, starts: np.ndarray) -> pd.DataFrame:
+def _pairs_of_runs(rows: pd.DataFrame, starts: np.ndarray, most: int) -> Iterator[pd.DataFrame]:
+    run = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
     sid, root, n, own = (rows[c].to_numpy() for c in ("sid", "root", "n", "own"))
-    first, second, band = (rows[c].to_numpy() for c in ("i", "j", "band"))
-    bits, found = rows["bits"].to_numpy(), []
-    for lo, hi in zip(starts, starts[1:], strict=False):
-        size = small_width(int(band[lo])) // 8
-        block = np.stack([folded(b, size) for b in bits[lo:hi]])
-        home = n[lo:hi] < 2 << band[lo]
-        across = first[lo] != second[lo]
-        step = max(1, 2_000_000 // block.size)
-        for x in range(0, hi - lo, step):
-            a = slice(lo + x, min(hi, lo + x + step))
-            apart = np.bitwise_count(block[x : x + step, None, :] ^ block[None, :, :]).sum(
-                axis=2, dtype=np.int64
-            )
-            n_a, n_b = n[a][:, None], n[lo:hi][None, :]
-            good = apart <= most_differing(n_a, n_b)
-            good &= (n_a * NUMERATOR <= n_b * DENOMINATOR) & (n_b * NUMERATOR <= n_a * DENOMINATOR)
-            good &= (root[a][:, None] != root[lo:hi][None, :]) & (sid[a][:, None] < sid[lo:hi])
-            good &= home[x : x + step, None] | home[None, :]
-            if across:
-                good &= own[a][:, None] != own[lo:hi][None, :]
-            p, q = np.nonzero(good)
-            found.append(np.stack([sid[a][p], sid[lo:hi][q]]))
-    pairs = np.unique(np.concatenate(found, axis=1), axis=1) if found else np.empty((2, 0), int)
-    return pd.DataFrame({"a": pairs[0], "b": pairs[1]})
+    across = rows["i"].to_numpy() != rows["j"].to_numpy()
+    band, bits, found = rows["band"].to_numpy(), rows["bits"].to_numpy(), []
+    for value in np.unique(band).tolist():
+        lo, hi = np.searchsorted(band, [value, value + 1])
+        width = small_width(value) // 8
+        block = np.stack([folded(b, width) for b in bits[lo:hi]])
+        home = n[lo:hi] < 2 << value
+        # Rows that are so far apart, in all runs at once.
+        for apart in range(1, hi - lo):
+            x = np.flatnonzero(run[lo : hi - apart] == run[lo + apart : hi])
+            if not len(x):
+                break
+            y = x + apart
+            n_x, n_y = n[lo + x], n[lo + y]
+            good = (root[lo + x] != root[lo + y]) & (home[x] | home[y])
+            good &= (n_x * NUMERATOR <= n_y * DENOMINATOR) & (n_y * NUMERATOR <= n_x * DENOMINATOR)
+            good &= ~across[lo + x] | (own[lo + x] != own[lo + y])
+            x, y = x[good], y[good]
+            for k in range(0, len(x), STEP):
+                a, b = x[k : k + STEP], y[k : k + STEP]
+                differ = np.bitwise_count(block[a] ^ block[b]).sum(axis=1, dtype=np.int64)
+                near = differ <= most_differing(n[lo + a], n[lo + b])
+                found.append(np.stack([lo + a[near], lo + b[near], differ[near]]))
+    if not found:
+        return
+    x, y, differ = np.concatenate(found, axis=1)
+    low, high = np.minimum(root[x], root[y]), np.maximum(root[x], root[y])
+    order = np.lexsort((differ, high, low, run[x]))
+    x, y, low, high = (v[order] for v in (x, y, low, high))
+    keys = np.stack([run[x], low, high])
+    first = np.flatnonzero(np.r_[True, (keys[:, 1:] != keys[:, :-1]).any(axis=0)][: len(x)])
+    rank = np.arange(len(x)) - np.repeat(first, np.diff(np.r_[first, len(x)]))
+    kept = rank < most
+    pairs = np.stack([np.minimum(sid[x], sid[y]), np.maximum(sid[x], sid[y])])[:, kept]
+    nothing = pd.array([None], "Int64").repeat(pairs.shape[1])
+    named = {c: nothing for c in RUN}
+    yield pd.DataFrame({"a": pairs[0], "b": pairs[1], **named})
+    cut = rows.iloc[starts[np.unique(run[x[~kept]])]]
+    nothing = pd.array([None], "Int64").repeat(len(cut))
+    yield pd.DataFrame({"a": nothing, "b": nothing, **{c: cut[c].to_numpy() for c in RUN}})
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id) for every document."""
     sets = set_heads(docs, id_col, text_col)
-    known = signatures(sets)
     tiled = stage(tiles(sets), "ngram-tiles")
+    known = signatures(sets, tiled)
 
     def links_of(pairs: DataFrame) -> DataFrame:
-        pairs = stage(pairs, "ngram-pairs")
+        pairs = stage(within_bound(pairs, known), "ngram-pairs")
         if pairs.isEmpty():
             return pairs
-        arrays = paired_sets(docs, pairs, id_col, text_col)
+        arrays = paired_sets(docs, sets, pairs, id_col, text_col)
         return stage(linked(pairs, arrays), "ngram-links")
 
     links, roots = None, None
-    for step in range(ROUNDS + 1):
-        members = rooted(tiled, roots)
-        if step < ROUNDS:
-            more = links_of(within_bound(stars(members), known))
-        else:
-            more = links_of(open_pairs(members, known))
+    for _ in range(ROUNDS):
+        more = links_of(stars(rooted(tiled, roots)))
         links = more if links is None else links.union(more)
         roots = components(links)
-    rows = sets.select("doc_id", "n", "sid").join(roots.toDF("sid", "root"), "sid", "left")
-    rows = rows.withColumn("root", F.coalesce("root", "sid"))
-    smallest = rows.where("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("_least"))
-    return rows.join(smallest, "root", "left").select(
-        "doc_id",
-        F.col("n").alias("n_shingles"),
-        F.coalesce("_least", "doc_id").alias("component_id"),
+    # What is left: all pairs of different components, a few of two components at a time.
+    waiting, most = None, 1
+    while True:
+        rows = open_rows(rooted(tiled, roots), known)
+        if waiting is not None:
+            rows = rows.join(waiting, RUN, "left_semi")
+        found = tested(rows, most)
+        more = links_of(found.where("a IS NOT NULL").select("a", "b"))
+        if not more.isEmpty():
+            links = links.union(more)
+            roots = components(links)
+        waiting, most = found.where("a IS NULL").select(RUN), most * MORE
+        if waiting.isEmpty():
+            break
+    return _component_ids(sets, roots)
+
+
+def _component_ids(sets: DataFrame, roots: DataFrame) -> DataFrame:
+    """The smallest id of every document's component: found per set, then per component."""
+    least = sets.where("sid IS NOT NULL").groupBy("sid").agg(F.min("doc_id").alias("least"))
+    rooted_sets = least.join(roots.toDF("sid", "root"), "sid", "left")
+    rooted_sets = rooted_sets.withColumn("root", F.coalesce("root", "sid"))
+    smallest = rooted_sets.groupBy("root").agg(F.min("least").alias("_least"))
+    of_set = rooted_sets.join(smallest, "root").select("sid", "_least")
+    return (
+        sets.select("doc_id", "n", "sid")
+        .join(of_set, "sid", "left")
+        .select(
+            "doc_id",
+            F.col("n").alias("n_shingles"),
+            F.coalesce("_least", "doc_id").alias("component_id"),
+        )
     )

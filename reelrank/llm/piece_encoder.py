@@ -21,19 +21,23 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Sequence
 from typing import NamedTuple
 
 import ahocorasick
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from reelrank.llm.common import beside
+
 #: Fixed value: the character that stands for a space.
 MARK = "▁"
 
-#: Encoded units that a worker keeps; it starts anew when there are more.
-REMEMBERED = 800_000
+#: Encoded units, each of under LONG characters, and pairs of pieces that a worker keeps; it starts anew
+#: when there are more. Together they take some 300 MB at most.
+REMEMBERED, REMEMBERED_PAIRS = 600_000, 300_000
 
 #: Parts of so many characters are cut further and not remembered.
 LONG = 100
@@ -126,7 +130,7 @@ class PieceEncoder:
             return True
         known = self.compatible.get((left, right))
         if known is None:
-            if len(self.compatible) > REMEMBERED // 2:
+            if len(self.compatible) > REMEMBERED_PAIRS:
                 self.compatible.clear()
             known = self.compatible[left, right] = self.merge(left + right) == [left, right]
         return known
@@ -279,39 +283,41 @@ def encode_texts(
     id_col: str = "doc_id",
     text_col: str = "text",
     with_ids: bool = True,
+    with_text: bool = True,
 ) -> DataFrame:
-    """(doc_id, n_tokens, ids, decoded, ids_sha256, decoded_sha256) of every whole text.
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256, ids, decoded) of every whole text.
 
-    ``with_ids=False`` leaves ``ids`` and ``decoded`` out where digests do. The
-    vocabulary, of fixed size, is broadcast; rows are encoded where they are, without
-    a shuffle.
+    ``with_ids`` and ``with_text`` ask for the last two where digests don't do. The vocabulary, of fixed
+    size, is broadcast; rows are encoded where they are, without a shuffle.
     """
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
-    id_type = docs.schema[id_col].dataType.simpleString()
-    wide = ", ids array<int>, decoded string" if with_ids else ""
-
-    def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        work = encoder(shared.value)
-        for batch in batches:
-            rows = []
-            for key, text in zip(batch["doc_id"], batch["_text"], strict=True):
-                units = work.encode(text)
+    fields = {"n_tokens": "long", "ids_sha256": "string", "decoded_sha256": "string"}
+    fields |= {"ids": "array<int>"} if with_ids else {}
+    fields |= {"decoded": "string"} if with_text else {}
+
+    def work() -> Callable:
+        coder = encoder(shared.value)
+
+        def encode(texts: pa.Array) -> tuple[None, list]:
+            rows: list[list] = [[] for _ in fields]
+            for text in texts.to_pylist():
+                units = coder.encode(text)
                 ids = ",".join([u[1] for u in units])
                 decoded = without_first_space("".join([u[2] for u in units]))
                 row = [
-                    key,
                     sum([u[0] for u in units]),
                     hashlib.sha256(ids.encode()).hexdigest(),
                     hashlib.sha256(decoded.encode("utf-8")).hexdigest(),
                 ]
                 if with_ids:
-                    row += [[int(i) for i in ids.split(",")] if ids else [], decoded]
-                rows.append(row)
-            yield pd.DataFrame(rows, columns=columns)
-
-    columns = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
-    columns += ["ids", "decoded"] if with_ids else []
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_text")).mapInPandas(
-        encode,
-        f"doc_id {id_type}, n_tokens long, ids_sha256 string, decoded_sha256 string{wide}",
-    )
+                    row.append(np.array(ids.split(","), np.int32) if ids else [])
+                if with_text:
+                    row.append(decoded)
+                for column, value in zip(rows, row, strict=True):
+                    column.append(value)
+            return None, rows
+
+        return encode
+
+    named = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_text"))
+    return beside(named, ["doc_id"], "_text", fields, work)

@@ -19,16 +19,17 @@ label 1 (0.5 if there are none).
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelrank.llm.common import fold, labelled_sample
+from reelrank.llm.common import beside, fold, labelled_sample
 
 #: Labelled rows that fitting looks at, at most.
 SAMPLE_ROWS = 8_000
@@ -220,16 +221,15 @@ def score_texts(
 ) -> DataFrame:
     """(doc_id, score) for every row of ``docs``."""
     shared = docs.sparkSession.sparkContext.broadcast(machine)
-    id_type = docs.schema[id_col].dataType.simpleString()
 
-    def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def work() -> Callable:
         own, places = shared.value, Places()
-        for batch in batches:
-            scores = [
-                own.score(features(t, m, places))
-                for t, m in zip(batch["_text"], batch["_meta"], strict=True)
-            ]
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "score": scores})
+
+        def judge(texts: pa.Array, metas: pa.Array) -> tuple[None, list]:
+            rows = zip(texts.to_pylist(), metas.to_pylist(), strict=True)
+            return None, [[own.score(features(t, m, places)) for t, m in rows]]
+
+        return judge
 
     meta = F.col(meta_col) if meta_col else F.lit(None)
     rows = docs.select(
@@ -237,4 +237,4 @@ def score_texts(
         F.col(text_col).alias("_text"),
         meta.cast("double").alias("_meta"),
     )
-    return rows.mapInPandas(judge, f"doc_id {id_type}, score double")
+    return beside(rows, ["doc_id"], "_text", {"score": "double"}, work, ["_meta"])

@@ -21,15 +21,16 @@ the lexicon is empty and every score is 0.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelrank.llm.common import fold, labelled_sample
+from reelrank.llm.common import beside, fold, labelled_sample
 from reelrank.session import stage
 
 #: Labelled rows that learning looks at, at most.
@@ -39,12 +40,12 @@ SAMPLE_ROWS = 20_000
 CONTEXT = 12
 
 #: Shortest term that is matched with an edit, and words that a worker keeps.
-FUZZY_LENGTH, REMEMBERED = 5, 600_000
+FUZZY_LENGTH, REMEMBERED = 4, 600_000
 
 #: Lengths of stems, longest first, and the toxic words that a stem needs.
 STEMS, STEM_WORDS = (6, 5, 4), 3
 
-#: Terms that are toxic in a smaller share of their documents are worth nothing.
+#: Terms that are toxic in a smaller share of their documents are weak.
 LEAST_WORTH = 0.8
 
 #: Chance that any word of the sample enters the lexicon without being toxic.
@@ -192,12 +193,19 @@ def hits(text: str | None, matcher: Matcher) -> list[tuple[str, bool, bool]]:
 
 
 def score(found: list[tuple[str, bool, bool]], model: Model) -> float:
-    """Chance that one of the hits is abuse; repeats of a hit count once."""
-    clean = 1.0
+    """Chance that one of the hits is abuse; repeats of a hit count once.
+
+    Weak terms often come together in clean texts, so of their hits the best one counts, by half.
+    """
+    clean, weak = 1.0, 0.0
     for term, exact, quoted in set(found):
         worth = (model.exact if exact else model.fuzzy).get(term, 0.0)
-        clean *= 1.0 - worth * (model.quoted if quoted else 1.0)
-    return 1.0 - clean
+        worth *= model.quoted if quoted else 1.0
+        if model.exact.get(term, 0.0) >= LEAST_WORTH:
+            clean *= 1.0 - worth
+        else:
+            weak = max(weak, worth / 2)
+    return max(1.0 - clean, weak)
 
 
 def learn(
@@ -302,9 +310,10 @@ def _weigh(sample: DataFrame, model: Model) -> None:
     for term in terms:
         toxic, n = plain.get((term, True), (0, 0))
         worth = (toxic + 1) / (n + 1.5)
-        model.exact[term] = worth if worth >= LEAST_WORTH else 0.0
+        model.exact[term] = worth
         toxic, n = plain.get((term, False), (0, 0))
-        model.fuzzy[term] = (toxic + 1.8) / (n + 3)
+        # A misspelling is never worth more than the term itself.
+        model.fuzzy[term] = min(worth, (toxic + 1.8) / (n + 3))
     model.quoted = (quoted_toxic + 3) / (quoted_n + 10)
 
 
@@ -312,32 +321,32 @@ def score_texts(
     docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """(doc_id, score, n_hits, terms) for every row of ``docs``."""
-    id_type = docs.schema[id_col].dataType.simpleString()
 
-    def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def work() -> Callable:
         matcher = Matcher(model.terms)
-        for batch in batches:
-            found = [hits(text, matcher) for text in batch["_text"]]
-            yield pd.DataFrame(
-                {
-                    "doc_id": batch["doc_id"],
-                    "score": [score(f, model) for f in found],
-                    "n_hits": [len(f) for f in found],
-                    "terms": [sorted({term for term, _, _ in f}) for f in found],
-                }
-            )
-
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_text")).mapInPandas(
-        judge, f"doc_id {id_type}, score double, n_hits long, terms array<string>"
-    )
+
+        def judge(texts: pa.Array) -> tuple[None, list]:
+            found = [hits(text, matcher) for text in texts.to_pylist()]
+            terms = [sorted({term for term, _, _ in f}) for f in found]
+            return None, [[score(f, model) for f in found], [len(f) for f in found], terms]
+
+        return judge
+
+    named = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_text"))
+    fields = {"score": "double", "n_hits": "long", "terms": "array<string>"}
+    return beside(named, ["doc_id"], "_text", fields, work)
 
 
 def keep_clean(docs: DataFrame, model: Model, limit: float = 0.5, text_col: str = "text"):
     """The rows of ``docs`` that score below ``limit``, with their own columns."""
 
-    def keep(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def work() -> Callable:
         matcher = Matcher(model.terms)
-        for batch in batches:
-            yield batch[[score(hits(t, matcher), model) < limit for t in batch[text_col]]]
 
-    return docs.mapInPandas(keep, docs.schema)
+        def keep(texts: pa.Array) -> tuple[list[int], list]:
+            scores = [score(hits(t, matcher), model) for t in texts.to_pylist()]
+            return [k for k, s in enumerate(scores) if s < limit], []
+
+        return keep
+
+    return beside(docs, docs.columns, text_col, {}, work)

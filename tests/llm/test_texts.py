@@ -182,7 +182,7 @@ def test_automaton_equals_distance():
             elif len(word) > 2:
                 del word[k]
         word = "".join(word)
-        near = [t for t in terms if len(t) >= 5 and edits(t, word) <= 1]
+        near = [t for t in terms if len(t) >= 4 and edits(t, word) <= 1]
         assert trie.nearest(word) == (min(near) if near else None), word
 
 
