@@ -13,11 +13,11 @@ from pyspark.sql import functions as F
 from reelrank.llm import line_dedup, mixture, ngram_join, piece_encoder, toxicity
 from reelrank.llm.catalog import piece_vocabulary
 from reelrank.llm.common import DOCUMENT_COLUMNS, ship, table
-from reelrank.session import new_path
+from reelrank.session import new_path, stage
 
 
 def clean_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops the documents that the toxicity model rejects."""
+    """Drops the documents that the toxicity model rejects; null and empty texts stay."""
     model = toxicity.learn(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return toxicity.keep_clean(docs.select(DOCUMENT_COLUMNS), model)
 
@@ -30,19 +30,29 @@ def fresh_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of every group of near duplicates.
+    """Keeps one row of every group of near duplicates: of the smallest id, then text hash.
 
-    Rows without an id can't be told apart and stay; of rows of equal id one stays.
+    Every row has a key of its own, so rows of equal id are told apart; a null id comes last. Rows without
+    words are linked with nothing and stay.
     """
-    groups = ngram_join.near_duplicates(docs)
-    kept = groups.where("doc_id = component_id").select("doc_id").distinct()
-    rows = docs.select(DOCUMENT_COLUMNS)
-    chosen = rows.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return chosen.union(rows.where("doc_id IS NULL"))
+    key = F.struct(
+        F.col("doc_id").isNull().alias("none"),
+        F.coalesce("doc_id", F.lit(0)).alias("id"),
+        F.xxhash64("text").alias("hash"),
+        F.monotonically_increasing_id().alias("row"),
+    )
+    rows = stage(docs.select(key.alias("_key"), *DOCUMENT_COLUMNS), "pipeline-rows")
+    groups = ngram_join.near_duplicates(rows, "_key")
+    kept = groups.where("doc_id = component_id").select(F.col("doc_id").alias("_key"))
+    return rows.join(kept, "_key", "left_semi").select(DOCUMENT_COLUMNS)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Mixes the sources; a document that is taken twice is there twice."""
+    """Mixes the sources; a document that is taken twice is there twice.
+
+    Documents of equal id are taken alike, a null source is a source of its own, and documents without
+    words stay or go with the hash of their id.
+    """
     _, cuts = mixture.plan(docs)
     return (
         mixture.mix(docs.select(DOCUMENT_COLUMNS), cuts)
@@ -53,8 +63,11 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document, and digests of the ids and of what they decode to."""
-    coded = piece_encoder.encode_texts(docs, piece_vocabulary())
+    """Token ids of every document, and digests of the ids and of what they decode to.
+
+    Null and empty texts have no ids; every row has a result.
+    """
+    coded = piece_encoder.encode_texts(docs, piece_vocabulary(), with_text=False)
     return coded.select("doc_id", "n_tokens", "ids", "ids_sha256", "decoded_sha256")
 
 
