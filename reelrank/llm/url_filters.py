@@ -2,35 +2,44 @@
 
 1. Urls are cut into host and path. Rules name a domain and a path prefix; the longest that
    fits decides, and what rules decide serves as labels unless others are given.
-2. Per host, paths become templates. Segments with digits keep only their shape; of the other segments
-   below a branch, those on LEAST_PAGES pages or more may stay, and the rest become one wildcard. Levels go on as
-   deep as a branch has segments and could still be split: with LEAST_PAGES pages, both blocked and not.
-3. Branches of one parent whose share of blocked pages is statistically like that of all
-   branches together (a two-sided test of proportions) are merged into the wildcard.
-4. A template is rejected if its share of blocked pages, smoothed towards its host's
-   and that towards the overall share, reaches LIMIT.
+2. Per host, paths become templates, level by level. Variable segments become one wildcard: those with digits,
+   and those on fewer than LEAST_PAGES pages of their branch. The others are branches of their own.
+3. A page is blocked, allowed or unlabelled, and branches of one parent are compared by their shares of blocked and
+   of allowed pages. Ordered by these shares, neighbours that two tests of proportions can't tell apart
+   are merged; a section with labels so parts from one without. Levels go on as deep as a branch has
+   segments, LEAST_PAGES pages and pages of more than one kind.
+4. A template is rejected if the share of blocked pages among its labelled ones, smoothed towards the share of
+   blocked pages among all, reaches LIMIT. So a template without labels is allowed unless half of all pages are
+   known to be bad.
 
 Everything is joins, groupings and expressions. Pages are grouped to their shapes first,
-so the tree sees each shape once, however many pages a host has.
+so the tree sees each shape once, however many pages a host has. Before neighbours are compared, branches whose
+shares lie in the same of CLASSES classes are one, so a host with very many sections brings a bounded number of rows to
+that comparison.
 
-Defined cases: null urls and urls without ``://`` have an empty host and path and are judged by the
-overall share. Repeated rows count as often as they occur and are judged alike. Without labels
-every template is allowed. An empty table gives an empty result; further columns pass
+Defined cases: null urls and urls without ``://`` have an empty host and path and are judged like any template.
+Repeated rows count as often as they occur and are judged alike. Without labels
+every template is allowed. An empty table gives an empty result; further columns, of any name, pass
 through, but for those of the result's own names.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reelrank.session import stage
 
 #: A segment stays only if it has at least so many pages, however many its branch has.
-LEAST_PAGES = 5
+LEAST_PAGES = 2
+
+#: Classes of a share, of equal width on the arcsine scale, where its spread is the same everywhere.
+CLASSES = 16
 
 #: Standard errors up to which branches count as alike, the smoothing weight, the limit.
 ALIKE, WEIGHT, LIMIT = 1.96, 5.0, 0.5
@@ -78,60 +87,113 @@ def shapes(path: Column) -> Column:
     return F.filter(F.split(shaped, "/"), lambda s: s != "")
 
 
+COUNTS = ("n", "labelled", "blocked")
+
+
+def _sums() -> list[Column]:
+    return [F.sum(c).alias(c) for c in COUNTS]
+
+
+def _class(part: Column) -> Column:
+    """The class of the share of ``part`` among the pages, from 0 to CLASSES - 1."""
+    angle = F.asin(F.sqrt(part / F.col("n"))) * (2 * CLASSES / math.pi)
+    return F.least(F.floor(angle), F.lit(CLASSES - 1)).cast("int")
+
+
+def _apart(part: str, other: str, n: str, other_n: str) -> Column:
+    """Whether two shares differ by more than ALIKE standard errors of their pooled share."""
+    pooled = (F.col(part) + F.col(other)) / (F.col(n) + F.col(other_n))
+    error = F.sqrt(pooled * (1 - pooled) * (1 / F.col(n) + 1 / F.col(other_n)))
+    return F.abs(F.col(part) / F.col(n) - F.col(other) / F.col(other_n)) > ALIKE * error
+
+
+def merged_branches(children: DataFrame) -> DataFrame:
+    """(host, template, name, label) for children (host, template, name, n, labelled, blocked).
+
+    Children with one label are one branch from here on: ``*`` if variable segments are among them,
+    the segment if it stands alone, and else the first of them with the number of the others.
+    """
+    branch = ["host", "template"]
+    allowed = F.col("labelled") - F.col("blocked")
+    placed = children.withColumns({"_x": _class(F.col("blocked")), "_y": _class(allowed)})
+    classes = (
+        placed.groupBy(*branch, "_x", "_y")
+        .agg(
+            *_sums(),
+            F.min("name").alias("first"),
+            F.count("*").alias("size"),
+            F.bool_or(F.col("name") == "*").alias("variable"),
+        )
+        .withColumn("allowed", allowed)
+    )
+    # CLASSES ** 2 rows for a branch at most.
+    order = Window.partitionBy(*branch).orderBy("_x", "_y")
+    before = {f"_{c}": F.lag(c).over(order) for c in ("n", "blocked", "allowed")}
+    differs = _apart("blocked", "_blocked", "n", "_n") | _apart("allowed", "_allowed", "n", "_n")
+    numbered = classes.withColumns(before).withColumn(
+        "_step", F.coalesce(differs.cast("int"), F.lit(0))
+    )
+    grouped = numbered.withColumn("_group", F.sum("_step").over(order))
+    whole = Window.partitionBy(*branch, "_group")
+    first, others = F.min("first").over(whole), F.sum("size").over(whole) - 1
+    label = (
+        F.when(F.bool_or("variable").over(whole), F.lit("*"))
+        .when(others == 0, first)
+        .otherwise(F.concat(F.lit("{"), first, F.lit("+"), others.cast("string"), F.lit("}")))
+    )
+    labels = grouped.select(*branch, "_x", "_y", label.alias("label"))
+    return placed.join(labels, [*branch, "_x", "_y"]).select(*branch, "name", "label")
+
+
 def template_table(grouped: DataFrame) -> DataFrame:
-    """(host, shape, template) for the distinct shapes of ``grouped`` (host, shape, n, ...).
+    """(host, shape, n, labelled, blocked, template) for ``grouped``, which has all but the last.
 
-    Level by level: at each depth a branch is its host and the template so far, and its
-    children keep their segment or become ``*``. Below a branch that no test can split, as its
-    pages are few or all alike, every segment becomes ``*`` at once.
+    Level by level: a branch is a host and the template so far. Where a branch can't be split, as its
+    pages are few or all of a kind, the rest of every path becomes wildcards at once.
     """
-    counts = ("n", "labelled", "blocked")
     rows, parts, depth = grouped.withColumn("template", F.lit("")), [], 0
+    most_of_a_kind = F.greatest(
+        "blocked", F.col("labelled") - F.col("blocked"), F.col("n") - F.col("labelled")
+    )
     while True:
         segment = F.get("shape", F.lit(depth))
-        branch = (
+        open_branches = (
             rows.where(segment.isNotNull())
             .groupBy("host", "template")
-            .agg(*[F.sum(c).alias(f"all_{c}") for c in counts])
-            .where(F.col("all_n") >= LEAST_PAGES)
-            .where("all_blocked > 0 AND all_blocked < all_labelled")
-            .drop("all_n")
+            .agg(*_sums())
+            .where((F.col("n") >= LEAST_PAGES) & (most_of_a_kind < F.col("n")))
+            .select("host", "template", F.lit(True).alias("open"))
         )
         # Written, as it is read several times by the next level, so the plans don't multiply.
-        found = stage(rows.join(branch, ["host", "template"], "left"), "url-branches")
-        splits = F.col("all_labelled").isNotNull() & segment.isNotNull()
+        found = stage(rows.join(open_branches, ["host", "template"], "left"), "url-branches")
+        splits = F.col("open").isNotNull() & segment.isNotNull()
         rest = F.repeat(F.lit("/*"), F.size("shape") - depth)
         parts.append(
             found.where(~splits).select(
-                "host", "shape", *counts, F.concat("template", rest).alias("template")
+                "host", "shape", *COUNTS, F.concat("template", rest).alias("template")
             )
         )
-        rows = found.where(splits).withColumn("segment", segment)
+        rows = found.where(splits).drop("open").withColumn("segment", segment)
         if rows.isEmpty():
             break
-        children = rows.groupBy(
-            "host", "template", "segment", "all_labelled", "all_blocked"
-        ).agg(*[F.sum(c).alias(c) for c in counts])
-        share = F.col("all_blocked") / F.col("all_labelled")
-        spread = F.sqrt(share * (1 - share) / F.col("labelled"))
-        apart = F.abs(F.col("blocked") / F.col("labelled") - share) > ALIKE * spread
-        stays = (
-            children.where(F.col("n") >= LEAST_PAGES)
-            .where(~F.col("segment").contains("#") & (F.col("labelled") > 0) & apart)
-            .select("host", "template", "segment", F.lit(True).alias("stays"))
+        segments = rows.groupBy("host", "template", "segment").agg(*_sums())
+        constant = ~F.col("segment").contains("#") & (F.col("n") >= LEAST_PAGES)
+        named = stage(
+            segments.withColumn("name", F.when(constant, F.col("segment")).otherwise(F.lit("*"))),
+            "url-segments",
+        )
+        children = named.groupBy("host", "template", "name").agg(*_sums())
+        labels = named.select("host", "template", "segment", "name").join(
+            merged_branches(children), ["host", "template", "name"]
         )
-        name = F.when(F.col("stays"), F.concat(F.lit("/"), "segment")).otherwise(F.lit("/*"))
         rows = stage(
-            rows.join(stays, ["host", "template", "segment"], "left").select(
-                "host", "shape", *counts, F.concat("template", name).alias("template")
+            rows.join(labels, ["host", "template", "segment"]).select(
+                "host", "shape", *COUNTS, F.concat("template", F.lit("/"), "label").alias("template")
             ),
             "url-level",
         )
         depth += 1
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.union(part)
-    return out
+    return reduce(DataFrame.union, parts)
 
 
 def templates(pages: DataFrame) -> DataFrame:
@@ -145,26 +207,16 @@ def templates(pages: DataFrame) -> DataFrame:
         "url-shapes",
     )
     tree = template_table(grouped)
-    counts = [F.sum(c).alias(c) for c in ("labelled", "blocked")]
     # One row of totals.
-    blocked, labelled = tree.agg(F.sum("blocked"), F.sum("labelled")).first()
-    overall = F.lit((blocked or 0) / (labelled or 1))
-    by_host = tree.groupBy("host").agg(*counts).select(
-        "host", _smoothed(overall).alias("host_share")
-    )
-    judged = (
-        tree.groupBy("host", "template")
-        .agg(*counts)
-        .join(by_host, "host")
-        .select("host", "template", _smoothed(F.col("host_share")).alias("purity"))
+    blocked, n = grouped.agg(F.sum("blocked"), F.sum("n")).first()
+    share = (blocked or 0) / (n or 1)
+    purity = (F.col("blocked") + WEIGHT * F.lit(share)) / (F.col("labelled") + WEIGHT)
+    judged = tree.groupBy("host", "template").agg(*_sums()).select(
+        "host", "template", purity.alias("purity")
     )
     return tree.select("host", "shape", "template").join(judged, ["host", "template"])
 
 
-def _smoothed(towards: Column) -> Column:
-    return (F.col("blocked") + WEIGHT * towards) / (F.col("labelled") + WEIGHT)
-
-
 def judge(
     pages: DataFrame, rules: Sequence[Rule], url_col: str = "url", label: Column | None = None
 ) -> DataFrame:
@@ -176,30 +228,23 @@ def judge(
     own = ["host", "path", "rule", "template", "purity", "verdict"]
     host, path = parts_of(F.col(url_col))
     base = pages.drop(*[c for c in own if c != url_col])
-    known = base.withColumn("_host", host).withColumn("_path", path)
-    known = known.withColumn("_rule", rule_of(rules, F.col("_host"), F.col("_path")))
+    bad = F.lit(None).cast("int") if label is None else label
+    known = base.select(
+        F.struct("*").alias("row"), host.alias("host"), path.alias("path"), bad.alias("label")
+    ).withColumn("rule", rule_of(rules, F.col("host"), F.col("path")))
     if label is None:
-        label = (F.col("_rule.verdict") == BLOCK).cast("int")
-    tree = stage(
-        templates(
-            known.select(
-                F.col("_host").alias("host"), F.col("_path").alias("path"), label.alias("label")
-            )
-        ),
-        "url-verdicts",
-    )
-    found = known.withColumn("_shape", shapes(F.col("_path"))).join(
-        tree.toDF("_h", "_t", "_s", "_purity"),
-        (F.col("_host") == F.col("_h")) & (F.col("_shape") == F.col("_s")),
-        "left",
+        known = known.withColumn("label", (F.col("rule.verdict") == BLOCK).cast("int"))
+    tree = stage(templates(known.select("host", "path", "label")), "url-verdicts")
+    found = known.withColumn("shape", shapes(F.col("path"))).join(
+        tree.select("host", "shape", "template", "purity"), ["host", "shape"], "left"
     )
-    by_template = F.when(F.col("_purity") >= LIMIT, F.lit(BLOCK)).otherwise(F.lit(ALLOW))
+    by_template = F.when(F.col("purity") >= LIMIT, F.lit(BLOCK)).otherwise(F.lit(ALLOW))
     return found.select(
-        *base.columns,
-        F.col("_host").alias("host"),
-        F.col("_path").alias("path"),
-        F.col("_rule.pattern").alias("rule"),
-        F.col("_t").alias("template"),
-        F.col("_purity").alias("purity"),
-        F.coalesce("_rule.verdict", by_template).alias("verdict"),
+        *[F.col(f"row.`{c}`") for c in base.columns],
+        "host",
+        "path",
+        F.col("rule.pattern").alias("rule"),
+        "template",
+        "purity",
+        F.coalesce("rule.verdict", by_template).alias("verdict"),
     )
