@@ -230,15 +230,22 @@ def repeats(found: DataFrame) -> DataFrame:
     later = F.coalesce(F.col("id") > F.col("_first"), F.col("_first").isNotNull())
     across = rows.join(shared, "window").where(later).select("id", "text_hash", "at")
     inside = found.select("id", "text_hash", F.explode("again").alias("at"))
-    marks = across.union(inside).union(_among_equal_ids(found, shared))
+    marks = across.union(inside)
+    several = stage(
+        found.select("id", "text_hash")
+        .distinct()
+        .groupBy(F.col("id").alias("_several"))
+        .agg(F.count("*").alias("_n"))
+        .where("_n > 1"),
+        "line-equal-ids",
+    )
+    if not several.isEmpty():
+        marks = marks.union(_among_equal_ids(found, shared, several))
     return marks.groupBy("id", "text_hash").agg(F.collect_set("at").alias("starts"))
 
 
-def _among_equal_ids(found: DataFrame, shared: DataFrame) -> DataFrame:
+def _among_equal_ids(found: DataFrame, shared: DataFrame, several: DataFrame) -> DataFrame:
     """(id, text_hash, at): of different texts of the first id, those of larger hashes."""
-    several = (
-        found.select("id", "text_hash").distinct().groupBy("id").count().where("count > 1")
-    ).select(F.col("id").alias("_several"))
     own = _exploded(found.join(several, F.col("id").eqNullSafe(F.col("_several")), "left_semi"))
     own = own.join(shared, "window").where(F.col("id").eqNullSafe(F.col("_first")))
     first = own.groupBy("window").agg(F.min("text_hash").alias("_least"))

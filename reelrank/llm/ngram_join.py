@@ -45,7 +45,7 @@ WORDS = 5
 NUMERATOR, DENOMINATOR = 3, 4
 
 #: Rounds of single comparisons, sets in a block of a tile, digests that a worker keeps.
-ROUNDS, BLOCK, REMEMBERED = 2, 256, 1_000_000
+ROUNDS, BLOCK, REMEMBERED = 2, 256, 300_000
 
 #: Factor by which the pairs that a run gives of two components grow from round to round, and pairs whose
 #: bitmaps are compared together.

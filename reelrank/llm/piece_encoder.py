@@ -22,6 +22,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Callable, Sequence
+from copy import copy
 from typing import NamedTuple
 
 import ahocorasick
@@ -35,7 +36,7 @@ from reelrank.llm.common import beside
 #: Fixed value: the character that stands for a space.
 MARK = "▁"
 
-#: Encoded units, each of under LONG characters, and pairs of pieces that a worker keeps; it starts anew
+#: Encoded units, each of under LONG characters, and pairs of pieces that a task keeps; it starts anew
 #: when there are more. Together they take some 300 MB at most.
 REMEMBERED, REMEMBERED_PAIRS = 600_000, 300_000
 
@@ -110,6 +111,12 @@ class PieceEncoder:
         if self.has_matcher:
             self.matcher.make_automaton()
 
+    def forgetful(self) -> PieceEncoder:
+        """The same encoder with nothing remembered; its memory goes with it."""
+        fresh = copy(self)
+        fresh.compatible, fresh.units = {}, {}
+        return fresh
+
     def merge(self, text: str) -> list[str]:
         """The pieces of a short text by the merges themselves: best score, then leftmost."""
         parts, score, none = list(text), self.score.get, float("-inf")
@@ -266,7 +273,7 @@ _ENCODERS: dict[int, PieceEncoder] = {}
 
 
 def encoder(vocabulary: Vocabulary) -> PieceEncoder:
-    """This worker's encoder, with what it has remembered so far."""
+    """This worker's encoder."""
     key = hash(vocabulary)
     if key not in _ENCODERS:
         _ENCODERS[key] = PieceEncoder(vocabulary)
@@ -296,7 +303,7 @@ def encode_texts(
     fields |= {"decoded": "string"} if with_text else {}
 
     def work() -> Callable:
-        coder = encoder(shared.value)
+        coder = encoder(shared.value).forgetful()
 
         def encode(texts: pa.Array) -> tuple[None, list]:
             rows: list[list] = [[] for _ in fields]

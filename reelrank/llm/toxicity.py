@@ -40,7 +40,7 @@ SAMPLE_ROWS = 20_000
 CONTEXT = 12
 
 #: Shortest term that is matched with an edit, and words that a worker keeps.
-FUZZY_LENGTH, REMEMBERED = 4, 600_000
+FUZZY_LENGTH, REMEMBERED = 4, 300_000
 
 #: Lengths of stems, longest first, and the toxic words that a stem needs.
 STEMS, STEM_WORDS = (6, 5, 4), 3
