@@ -9,14 +9,15 @@ never sorted, and a larger budget keeps all that a smaller one takes.
 Defined cases: a null text has no words; a null source is a source of its own,
 ordered last; a null id hashes as the empty text. Rows of equal id share their
 hash and are taken or left together. A source without words has target 0 and
-takes nothing. An empty table gives an empty result.
+takes nothing. An empty table gives an empty result; further columns, of any name but those of the
+result, pass through.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reelrank.llm.common import WORD
@@ -27,25 +28,23 @@ LEVEL_BITS, LEVELS = 12, 3
 HASH_DIGITS = LEVEL_BITS * LEVELS // 4
 
 
-def hashed(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """``docs`` with ``_mix_hash``, 36 bits of the id's md5."""
+def mix_hash(id_col: str) -> Column:
+    """36 bits of the id's md5."""
     key = F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")))
-    return docs.withColumn(
-        "_mix_hash", F.conv(F.substring(key, 1, HASH_DIGITS), 16, 10).cast("long")
-    )
+    return F.conv(F.substring(key, 1, HASH_DIGITS), 16, 10).cast("long")
 
 
 def sizes(
     docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text"
 ) -> DataFrame:
-    """(doc_id, source, size, _mix_hash); one narrow row per document, written once."""
+    """(doc_id, source, size, hash); one narrow row per document, written once."""
     words = F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long")
     return stage(
-        hashed(docs, id_col).select(
+        docs.select(
             F.col(id_col).alias("doc_id"),
             F.col(source_col).alias("source"),
             words.alias("size"),
-            "_mix_hash",
+            mix_hash(id_col).alias("hash"),
         ),
         "mixture-sizes",
     )
@@ -95,8 +94,8 @@ def targets(
 def cuts(sized: DataFrame, wanted: DataFrame, most: int = 3) -> DataFrame:
     """(source, source_size, target, passes, cut): whole passes and the threshold of the rest.
 
-    ``wanted`` is a table of ``targets``. A level joins the rows to their source's
-    open bucket only, which spreads a hot source over its buckets.
+    ``wanted`` is a table of ``targets``. Below the first level rows meet their source's open bucket, one row a
+    source, before they are grouped; those in no open bucket go no further.
     """
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size")))
     whole = F.least(F.coalesce(whole, F.lit(0)), F.lit(most)).cast("int")
@@ -114,11 +113,16 @@ def cuts(sized: DataFrame, wanted: DataFrame, most: int = 3) -> DataFrame:
         rows = sized.select(
             F.col("source").alias("_source"),
             "size",
-            F.expr(f"shiftright(_mix_hash, {above})").alias("_above"),
-            F.expr(f"shiftright(_mix_hash, {above - LEVEL_BITS})").alias("_bucket"),
+            F.expr(f"shiftright(hash, {above})").alias("_above"),
+            F.expr(f"shiftright(hash, {above - LEVEL_BITS})").alias("_bucket"),
         )
-        sums = rows.groupBy("_source", "_above", "_bucket").agg(F.sum("size").alias("_sum"))
-        same = F.col("source").eqNullSafe(F.col("_source")) & (F.col("prefix") == F.col("_above"))
+        same = F.col("source").eqNullSafe(F.col("_source"))
+        if level > 1:
+            # Written, so its size is known: Spark broadcasts it if it is small.
+            open_bucket = stage(open_bucket, "mixture-open")
+            here = same & (F.col("prefix") == F.col("_above"))
+            rows = rows.join(open_bucket.select("source", "prefix"), here, "left_semi")
+        sums = rows.groupBy("_source", "_bucket").agg(F.sum("size").alias("_sum"))
         within = Window.partitionBy("source").orderBy("_bucket")
         running = open_bucket.drop("last").join(sums, same).withColumn("_upto", F.sum("_sum").over(within))
         # The first bucket whose running sum passes the rest; the one before it if none does.
@@ -147,16 +151,20 @@ def mix(
     known and Spark broadcasts it if it is small; else the join is by source, and
     Spark splits a hot one.
     """
-    chosen = cut_table.select(
-        F.col("source").alias("_mix_source"), "source_size", "target", "passes", "cut"
+    added = ["source_size", "target", "repeats"]
+    kept = [c for c in docs.columns if c not in added]
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"),
+        F.col(source_col).alias("row_source"),
+        mix_hash(id_col).alias("hash"),
     )
-    base = docs.drop("source_size", "target", "repeats", "passes", "cut")
-    if "_mix_hash" not in base.columns:
-        base = hashed(base, id_col)
-    joined = base.join(chosen, F.col(source_col).eqNullSafe(F.col("_mix_source")), "left")
-    extra = (F.col("_mix_hash") < F.col("cut")).cast("int")
-    return joined.withColumn("repeats", F.col("passes") + extra).drop(
-        "_mix_source", "_mix_hash", "passes", "cut"
+    joined = rows.join(cut_table, F.col("row_source").eqNullSafe(F.col("source")), "left")
+    extra = (F.col("hash") < F.col("cut")).cast("int")
+    return joined.select(
+        *[F.col(f"row.`{c}`") for c in kept],
+        "source_size",
+        "target",
+        (F.col("passes") + extra).alias("repeats"),
     )
 
 

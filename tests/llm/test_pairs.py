@@ -218,3 +218,27 @@ def test_vector_search_edge_rows(spark):
     first = [(0, k + 1, 6 + k, 1.0) for k in range(4)]
     assert found == first + [(20, k + 1, 6 + k, 1.25) for k in range(4)]
     assert vector_search.nearest(df.limit(0), 4, 20).count() == 0
+
+
+def test_dense_groups_are_joined_by_few_pairs(spark, monkeypatch):
+    """Many near copies, of which some pairs link and others don't, in blocks of few sets."""
+    monkeypatch.setattr(ngram_join, "ROUNDS", 1)
+    monkeypatch.setattr(ngram_join, "BLOCK", 8)
+    monkeypatch.setattr(ngram_join, "MORE", 2)
+    rng = random.Random(21)
+    docs, k = [], 0
+    for group in range(3):
+        base = [f"g{group}w{rng.randrange(400)}" for _ in range(120)]
+        for _ in range(45):
+            own = list(base)
+            for _ in range(rng.randrange(1, 9)):
+                own[rng.randrange(len(own))] = f"x{rng.random()}"
+            docs.append((k, " ".join(own)))
+            k += 1
+            if rng.random() < 0.3:
+                # The group drifts, so its ends are only linked by what lies between.
+                base = own
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    got, want = found_components(df), brute_components(dict(docs))
+    assert got == want
+    assert 3 < len({c for _, c in want.values()}) < len(docs)

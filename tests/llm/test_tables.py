@@ -234,3 +234,18 @@ def test_entry_works_without_the_subpackage(tmp_path):
     out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True)
     assert out.returncode == 0, out.stderr
     assert int(out.stdout.split()[0]) > 80
+
+
+def test_mixture_refines_only_open_buckets(spark):
+    rows = [(k, f"s{k % 3}", "w " * (1 + k % 5)) for k in range(500)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    sized = mixture.sizes(df)
+    plan = mixture.cuts(sized, mixture.targets(sized))._jdf.queryExecution().toString()
+    plan = plan.split("== Physical Plan ==")[1]
+    # The rows of the last level meet the open buckets below the grouping.
+    assert "LeftSemi" in plan and plan.index("LeftSemi") > plan.index("HashAggregate")
+    wide = df.withColumns({n: F.lit(7) for n in ("_mix_hash", "hash", "row", "cut", "passes")})
+    _, cut_table = mixture.plan(wide)
+    got = {r["doc_id"]: r["repeats"] for r in mixture.mix(wide, cut_table).collect()}
+    assert got == {r["doc_id"]: r["repeats"] for r in mixed(df).collect()}
+    assert all(r["_mix_hash"] == r["cut"] == 7 for r in mixture.mix(wide, cut_table).collect())
