@@ -467,8 +467,8 @@ def linked(pairs: DataFrame, unique: DataFrame) -> DataFrame:
 RUN = ["band", "token", "i", "j"]
 
 
-def open_rows(members: DataFrame, known: DataFrame) -> DataFrame:
-    """The rows of tiles that hold several components, dealt into runs, with the small bitmaps."""
+def open_rows(members: DataFrame) -> DataFrame:
+    """The rows of tiles that hold several components, dealt into runs."""
     tile = Window.partitionBy("band", "token")
     several = (
         members.withColumn("_low", F.min("root").over(tile))
@@ -489,21 +489,22 @@ def open_rows(members: DataFrame, known: DataFrame) -> DataFrame:
             "sid",
             "root",
         )
-        .join(known.select("sid", "n", F.col("small").alias("bits")), "sid")
     )
 
 
-def tested(rows: DataFrame, most: int) -> DataFrame:
+def tested(rows: DataFrame, known: DataFrame, most: int, whole: bool) -> DataFrame:
     """(a, b) pairs of different components within the bound, and (band, token, i, j) of cut runs.
 
-    Of two components a run gives the ``most`` pairs that are nearest by their bitmaps; one link joins
-    them. A run that had more pairs is named, with a and b null, and has to come again.
+    Of two components a run gives the ``most`` pairs that are nearest by their bitmaps, ``whole`` or small
+    ones; one link joins them. A run that had more pairs is named, with a and b null, and has to come again.
     """
+    bits = F.col("bits" if whole else "small").alias("bits")
     return stage(
-        rows.repartition(*RUN)
+        rows.join(known.select("sid", "n", bits), "sid")
+        .repartition(*RUN)
         .sortWithinPartitions(*RUN)
         .mapInPandas(
-            lambda batches: _test_blocks(batches, most),
+            lambda batches: _test_blocks(batches, most, bitmap_width if whole else small_width),
             "a long, b long, band int, token long, i int, j int",
         )
         .distinct(),
@@ -511,7 +512,9 @@ def tested(rows: DataFrame, most: int) -> DataFrame:
     )
 
 
-def _test_blocks(batches: Iterator[pd.DataFrame], most: int) -> Iterator[pd.DataFrame]:
+def _test_blocks(
+    batches: Iterator[pd.DataFrame], most: int, width_of: Callable[[int], int]
+) -> Iterator[pd.DataFrame]:
     """Runs of equal keys, block against block; a run is at most two blocks long."""
     rest = None
     for batch in batches:
@@ -521,19 +524,22 @@ def _test_blocks(batches: Iterator[pd.DataFrame], most: int) -> Iterator[pd.Data
         marks = rows[RUN].to_numpy()
         starts = np.flatnonzero(np.r_[True, (marks[1:] != marks[:-1]).any(axis=1)])
         rest = rows.iloc[starts[-1] :]
-        yield from _pairs_of_runs(rows.iloc[: starts[-1]], starts, most)
+        yield from _pairs_of_runs(rows.iloc[: starts[-1]], starts, most, width_of)
     if rest is not None and len(rest):
-        yield from _pairs_of_runs(rest.reset_index(drop=True), np.array([0, len(rest)]), most)
+        one = np.array([0, len(rest)])
+        yield from _pairs_of_runs(rest.reset_index(drop=True), one, most, width_of)
 
 
-def _pairs_of_runs(rows: pd.DataFrame, starts: np.ndarray, most: int) -> Iterator[pd.DataFrame]:
+def _pairs_of_runs(
+    rows: pd.DataFrame, starts: np.ndarray, most: int, width_of: Callable[[int], int]
+) -> Iterator[pd.DataFrame]:
     run = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
     sid, root, n, own = (rows[c].to_numpy() for c in ("sid", "root", "n", "own"))
     across = rows["i"].to_numpy() != rows["j"].to_numpy()
     band, bits, found = rows["band"].to_numpy(), rows["bits"].to_numpy(), []
     for value in np.unique(band).tolist():
         lo, hi = np.searchsorted(band, [value, value + 1])
-        width = small_width(value) // 8
+        width = width_of(value) // 8
         block = np.stack([folded(b, width) for b in bits[lo:hi]])
         home = n[lo:hi] < 2 << value
         # Rows that are so far apart, in all runs at once.
@@ -592,10 +598,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # What is left: all pairs of different components, a few of two components at a time.
     waiting, most = None, 1
     while True:
-        rows = open_rows(rooted(tiled, roots), known)
+        rows = open_rows(rooted(tiled, roots))
         if waiting is not None:
+            # Few runs come again, so their rows may carry the whole bitmaps, which leave little to try.
             rows = rows.join(waiting, RUN, "left_semi")
-        found = tested(rows, most)
+        found = tested(rows, known, most, waiting is not None)
         more = links_of(found.where("a IS NOT NULL").select("a", "b"))
         if not more.isEmpty():
             links = links.union(more)
