@@ -5,15 +5,15 @@ in one order, by hash with frequent shingles last; two sets of similarity t shar
 within their first n - ceil(t n) + 1 ones. A tile is such a hash and a size band (a power of two); sets at the
 lower end of a band also visit the band below, so no pair across bands is lost.
 
-1. Equal sets are one set. In each tile a set looks to the first set of another component, and
-   is compared with the one that it meets in most tiles. After ROUNDS rounds copies are
-   joined, with as many comparisons as sets, not pairs.
+1. Equal sets are one set. In each tile a set looks to the first set of another component, in an order of
+   the round's own, and is compared with the one that it meets in most tiles. After ROUNDS rounds most
+   copies are joined, with as many comparisons as sets, not pairs.
 2. Tiles that still hold several components are dealt into blocks of bounded size; pairs of
    different components are tested block against block. The number of differing bits of two parity
    bitmaps (four to eight bits an element) never exceeds the number of differing elements, which
-   bounds the overlap from above; only pairs within the bound are intersected. Of the pairs of two
-   components a block first gives the nearest one, as one link joins them; blocks that held more are tested again
-   after the components were joined, with more pairs each time, until none is left.
+   bounds the overlap from above; only pairs within the bound are intersected. Of a component's pairs a
+   block first gives the nearest one, so near copies grow together with as many pairs as components; blocks that
+   held more are tested again after the components were joined, with more pairs each time, until none is left.
 
 Every pair within the bound whose documents are not in one component yet is intersected exactly, so no
 link that could join two components is lost, and no limit is set on partners or candidates.
@@ -47,7 +47,7 @@ NUMERATOR, DENOMINATOR = 3, 4
 #: Rounds of single comparisons, sets in a block of a tile, digests that a worker keeps.
 ROUNDS, BLOCK, REMEMBERED = 2, 256, 300_000
 
-#: Factor by which the pairs that a run gives of two components grow from round to round, and pairs whose
+#: Factor by which the pairs that a run gives of a component grow from round to round, and pairs whose
 #: bitmaps are compared together.
 MORE, STEP = 16, 1 << 14
 
@@ -348,20 +348,20 @@ def rooted(tiled: DataFrame, roots: DataFrame | None) -> DataFrame:
     return known.withColumn("root", F.coalesce("root", "sid"))
 
 
-def stars(members: DataFrame) -> DataFrame:
+def stars(members: DataFrame, salt: int) -> DataFrame:
     """(a, b): for each set the one of another component that most of its tiles name.
 
-    A tile names its smallest set of another component. Sets that share a passage meet in a
+    A tile names its first set of another component, in an order that ``salt`` decides, so that a pair
+    which was no link isn't all that the next round tries. Sets that share a passage meet in a
     few tiles, copies in most.
     """
     tile = Window.partitionBy("band", "token")
-    lowest = F.min(F.struct("sid", "root")).over(tile)
-    other = F.min(F.when(F.col("root") != F.col("_low.root"), F.col("sid"))).over(tile)
+    place = F.xxhash64("sid", F.lit(salt)).alias("place")
+    lowest = F.min(F.struct(place, "sid", "root")).over(tile)
+    apart = F.col("root") != F.col("_low.root")
+    other = F.min(F.when(apart, F.struct(place, "sid"))).over(tile)
     named = members.withColumn("_low", lowest).withColumn("_other", other).select(
-        "sid",
-        F.when(F.col("root") != F.col("_low.root"), F.col("_low.sid"))
-        .otherwise(F.col("_other"))
-        .alias("named"),
+        "sid", F.when(apart, F.col("_low.sid")).otherwise(F.col("_other.sid")).alias("named")
     )
     votes = named.where("named IS NOT NULL").groupBy("sid", "named").count()
     most = votes.groupBy("sid").agg(F.max(F.struct("count", "named")).alias("_most"))
@@ -495,8 +495,8 @@ def open_rows(members: DataFrame) -> DataFrame:
 def tested(rows: DataFrame, known: DataFrame, most: int, whole: bool) -> DataFrame:
     """(a, b) pairs of different components within the bound, and (band, token, i, j) of cut runs.
 
-    Of two components a run gives the ``most`` pairs that are nearest by their bitmaps, ``whole`` or small
-    ones; one link joins them. A run that had more pairs is named, with a and b null, and has to come again.
+    Of each component a run gives the ``most`` pairs that are nearest by their bitmaps, ``whole`` or small
+    ones. A run that had more pairs is named, with a and b null, and has to come again.
     """
     bits = F.col("bits" if whole else "small").alias("bits")
     return stage(
@@ -558,16 +558,18 @@ def _pairs_of_runs(
                 differ = np.bitwise_count(block[a] ^ block[b]).sum(axis=1, dtype=np.int64)
                 near = differ <= most_differing(n[lo + a], n[lo + b])
                 found.append(np.stack([lo + a[near], lo + b[near], differ[near]]))
-    if not found:
+    if not any(part.shape[1] for part in found):
         return
     x, y, differ = np.concatenate(found, axis=1)
-    low, high = np.minimum(root[x], root[y]), np.maximum(root[x], root[y])
-    order = np.lexsort((differ, high, low, run[x]))
-    x, y, low, high = (v[order] for v in (x, y, low, high))
-    keys = np.stack([run[x], low, high])
-    first = np.flatnonzero(np.r_[True, (keys[:, 1:] != keys[:, :-1]).any(axis=0)][: len(x)])
-    rank = np.arange(len(x)) - np.repeat(first, np.diff(np.r_[first, len(x)]))
-    kept = rank < most
+    # Each pair counts for both of its components.
+    ends = np.concatenate([root[x], root[y]])
+    runs, near = np.tile(run[x], 2), np.tile(differ, 2)
+    order = np.lexsort((near, ends, runs))
+    runs, ends = runs[order], ends[order]
+    first = np.flatnonzero(np.r_[True, (runs[1:] != runs[:-1]) | (ends[1:] != ends[:-1])])
+    rank = np.arange(len(order)) - np.repeat(first, np.diff(np.r_[first, len(order)]))
+    kept = np.zeros(len(x), bool)
+    kept[order[rank < most] % len(x)] = True
     pairs = np.stack([np.minimum(sid[x], sid[y]), np.maximum(sid[x], sid[y])])[:, kept]
     nothing = pd.array([None], "Int64").repeat(pairs.shape[1])
     named = {c: nothing for c in RUN}
@@ -591,11 +593,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         return stage(linked(pairs, arrays), "ngram-links")
 
     links, roots = None, None
-    for _ in range(ROUNDS):
-        more = links_of(stars(rooted(tiled, roots)))
+    for salt in range(ROUNDS):
+        more = links_of(stars(rooted(tiled, roots), salt))
         links = more if links is None else links.union(more)
         roots = components(links)
-    # What is left: all pairs of different components, a few of two components at a time.
+    # What is left: all pairs of different components, a few of each component at a time.
     waiting, most = None, 1
     while True:
         rows = open_rows(rooted(tiled, roots))
