@@ -592,11 +592,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         arrays = paired_sets(docs, sets, pairs, id_col, text_col)
         return stage(linked(pairs, arrays), "ngram-links")
 
-    links, roots = None, None
+    # Each components() call reads the new links and the earlier components, not all links again.
+    roots = None
     for salt in range(ROUNDS):
         more = links_of(stars(rooted(tiled, roots), salt))
-        links = more if links is None else links.union(more)
-        roots = components(links)
+        roots = components(more, roots)
     # What is left: all pairs of different components, a few of each component at a time.
     waiting, most = None, 1
     while True:
@@ -607,8 +607,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         found = tested(rows, known, most, waiting is not None)
         more = links_of(found.where("a IS NOT NULL").select("a", "b"))
         if not more.isEmpty():
-            links = links.union(more)
-            roots = components(links)
+            roots = components(more, roots)
         waiting, most = found.where("a IS NULL").select(RUN), most * MORE
         if waiting.isEmpty():
             break

@@ -117,6 +117,17 @@ def test_components(spark):
     assert got == roots(list(got), links)
 
 
+def test_components_after_known(spark):
+    """Earlier components stand for their links; a dense group is not read again link by link."""
+    old = [(a, b) for a in range(12) for b in range(a + 1, 12)] + [(40, 41), (41, 42)]
+    new = [(11, 50), (50, 51), (42, 60), (70, 71)]
+    frame = "a long, b long"
+    known = components(spark.createDataFrame(old, frame))
+    got = dict(components(spark.createDataFrame(new, frame), known).collect())
+    assert got == roots(list(got), old + new)
+    assert set(got) == {n for link in old + new for n in link}
+
+
 def brute_lines(docs):
     seen, out = set(), {}
     for key, text in sorted(docs.items()):
