@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from reelrank.operators.counts import features_single_pass, rating_counts
 from reelrank.operators.genres import explode_genres, with_mask
+from reelrank.operators.lookup import IdSet
 from reelrank.operators.topk import latest_genre_lists, popular_bounded
 from reelrank.operators.upsert import append_bounded, latest_by_key
 from reelrank.plans.feature_tables import last_batch_metrics, with_ratios
@@ -38,7 +39,8 @@ def kept_rows(*columns: str) -> Output:
 
 def day_counts(batch: DataFrame, movies: DataFrame) -> DataFrame:
     """Counts of every user and movie by day, genres included."""
-    masked = with_mask(batch.select("userId", "movieId", "rating", DAY), movies)
+    ratings = batch.select("userId", "movieId", "rating", DAY)
+    masked = with_mask(ratings, movies, IdSet.of(batch, "movieId"))
     return features_single_pass(masked, DAY, genres=True)
 
 
@@ -144,7 +146,8 @@ def genre_hot(movies: DataFrame) -> Output:
         return counts.join(newest, ["genreId", DAY], "left_semi")
 
     def change(batch: DataFrame) -> Append:
-        exploded = explode_genres(rating_counts(batch, DAY, "movieId"), movies)
+        ids = IdSet.of(batch, "movieId")
+        exploded = explode_genres(rating_counts(batch, DAY, "movieId"), movies, ids)
         return Append(exploded.select("genreId", DAY, "movieId", "cnt"), merge)
 
     return change
