@@ -28,9 +28,15 @@ def publish_kafka(messages: DataFrame, servers: str, topic: str = TOPIC) -> None
     )
 
 
+#: Bytes of a row group before compression. A file is read by at most a task for each group, and
+#: the source takes whole files, so one group would leave a micro-batch of a large file to one task.
+TOPIC_GROUP = 8 << 20
+
+
 def publish_files(messages: DataFrame, path: str, *folders: str) -> None:
     """Appends messages as files, for the file stream source, in folders by the given columns."""
     writer = messages.select("key", "value", *folders).write.mode("append")
+    writer = writer.option("parquet.block.size", TOPIC_GROUP)
     (writer.partitionBy(*folders) if folders else writer).parquet(path)
 
 
